@@ -12,18 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tickloom.functions.series import BY_SYMBOL
-from tickloom.operators import breadth, earnings, price, regime, risk, strength, volume
-from tickloom.operators.long_series import over_series
-from tickloom.operators.silver import SILVER, enrich, type_dividends, type_earnings, type_prices
+from tickloom.operators import breadth, earnings, price, risk, strength
+from tickloom.operators.silver import KEY, SILVER, enrich, type_dividends, type_earnings, type_prices
 from tickloom.plans import batch, tables
 from tickloom.sources import feed
 from tickloom.sources.dictionary import column_audit, with_comments
 from tickloom.sources.tables import (
     GOLD_TABLES,
-    RAW_TABLES,
     read_table,
     scratch_dir,
     table_path,
@@ -91,14 +87,12 @@ COLUMNS = {
 def _emit(df: DataFrame, columns: list[str]) -> DataFrame:
     """The checked columns: days as text, means cut to four digits."""
 
-    def shown(name: str):
+    def shown(name: str) -> str:
         if name == "DATE":
-            return F.col(name).cast("string").alias(name)
-        if name in CUT:
-            return (F.floor(F.col(name) * 1e4 + 0.5) / 1e4).alias(name)
-        return F.col(name)
+            return "cast(DATE AS string) AS DATE"
+        return f"floor(`{name}` * 1e4D + 0.5D) / 1e4D AS `{name}`" if name in CUT else f"`{name}`"
 
-    return df.select(*[shown(c) for c in columns])
+    return df.selectExpr(*[shown(c) for c in columns])
 
 
 def _symbol_days(key: str, build: Query) -> Query:
@@ -106,35 +100,33 @@ def _symbol_days(key: str, build: Query) -> Query:
 
 
 def _price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.price_metrics(feed.prices(spark, sf_dir), feed.weeks(spark, sf_dir))
+    return tables.price_metrics(feed.prices(feed.trades(spark, sf_dir)), feed.LONGEST)
 
 
 def _volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.volume_liquidity(feed.prices(spark, sf_dir), feed.weeks(spark, sf_dir))
+    return tables.volume_liquidity(feed.prices(feed.trades(spark, sf_dir)), feed.LONGEST)
 
 
 def _regime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.market_regime(feed.prices(spark, sf_dir), feed.weeks(spark, sf_dir))
+    return tables.market_regime(feed.prices(feed.trades(spark, sf_dir)), feed.LONGEST)
 
 
 def _risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.risk_metrics(feed.prices(spark, sf_dir), feed.weeks(spark, sf_dir))
+    return tables.risk_frame(feed.prices(feed.trades(spark, sf_dir)), feed.LONGEST)
 
 
-def _risk_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = feed.prices(spark, sf_dir)
-    return tables.risk_frame(prices, tables.part_rows(prices, feed.weeks(spark, sf_dir)))
+def _index(trades: DataFrame) -> DataFrame:
+    return tables.index_frame(feed.index_bars(trades), longest=feed.LONGEST)
 
 
 def _index_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = strength.benchmark_bars(feed.index_bars(spark, sf_dir))
-    parts = tables.part_rows(bars, feed.weeks(spark, sf_dir))
-    return over_series(bars, BY_SYMBOL, strength.add_index_return, strength.INDEX_REACH, part_rows=parts)
+    return _index(feed.trades(spark, sf_dir))
 
 
 def _strength(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = strength.index_by_day(_index_bars(spark, sf_dir))
-    return tables.relative_strength(feed.prices(spark, sf_dir), longest=feed.weeks(spark, sf_dir), index=index)
+    trades = feed.trades(spark, sf_dir)
+    index = strength.index_by_day(_index(trades))
+    return tables.relative_strength(feed.prices(trades), longest=feed.LONGEST, index=index)
 
 
 def _latest_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,18 +134,21 @@ def _latest_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(feed.prices(spark, sf_dir), feed.earnings(spark, sf_dir), feed.dividends(spark, sf_dir))
+    trades = feed.trades(spark, sf_dir)
+    return enrich(feed.prices(trades), feed.earnings(trades), feed.dividends(trades))
 
 
 def _earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Dividends are not read by this table, so only earnings are joined.
-    silver = feed.prices(spark, sf_dir).join(feed.earnings(spark, sf_dir), ["SYMBOL", "DATE"], "left")
-    return tables.earnings_reaction(silver, feed.weeks(spark, sf_dir))
+    trades = feed.trades(spark, sf_dir)
+    silver = feed.prices(trades).join(feed.earnings(trades), KEY, "left")
+    return tables.earnings_reaction(silver, feed.LONGEST)
 
 
 def _breadth_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = strength.index_by_day(_index_bars(spark, sf_dir))
-    return tables.breadth_frame(feed.prices(spark, sf_dir), longest=feed.weeks(spark, sf_dir), index=index)
+    trades = feed.trades(spark, sf_dir)
+    index = strength.index_by_day(_index(trades))
+    return tables.breadth_frame(feed.prices(trades), longest=feed.LONGEST, index=index)
 
 
 def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,11 +156,11 @@ def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _typed(name: str, typing: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: typing(feed.raw_tables(spark, sf_dir)[name])
+    return lambda spark, sf_dir: typing(feed.raw_tables(feed.trades(spark, sf_dir))[name])
 
 
 def _write_raw_csv(spark: SparkSession, sf_dir: str, base_dir: str) -> None:
-    for name, raw in feed.raw_tables(spark, sf_dir).items():
+    for name, raw in feed.raw_tables(feed.trades(spark, sf_dir)).items():
         raw.write.mode("overwrite").csv(table_path(base_dir, f"raw_{name}"), header=True)
 
 
@@ -191,13 +186,14 @@ def batch_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = None
     for name in GOLD_TABLES:
         table = read_table(spark, base_dir, name)
-        symbols = F.count_distinct("SYMBOL") if "SYMBOL" in table.columns else F.lit(0).cast("bigint")
-        summary = table.agg(
-            F.count("*").alias("ROW_COUNT"),
-            symbols.alias("SYMBOLS"),
-            F.min("DATE").cast("string").alias("FIRST_DAY"),
-            F.max("DATE").cast("string").alias("LAST_DAY"),
-        ).select(F.lit(name).alias("TABLE_NAME"), "*")
+        symbols = "count(DISTINCT SYMBOL)" if "SYMBOL" in table.columns else "0L"
+        summary = table.selectExpr(
+            f"'{name}' AS TABLE_NAME",
+            "count(*) AS ROW_COUNT",
+            f"{symbols} AS SYMBOLS",
+            "cast(min(DATE) AS string) AS FIRST_DAY",
+            "cast(max(DATE) AS string) AS LAST_DAY",
+        )
         found = summary if found is None else found.unionByName(summary)
     return found
 
@@ -234,9 +230,9 @@ _BUILDERS: dict[str, Query] = {
     "silver_dividends": _typed("dividends", type_dividends),
     "silver_enriched": _silver,
     "bronze_ingest": _ingested,
-    "rolling_return": _risk_parts,
-    "rolling_volatility": _risk_parts,
-    "rolling_drawdown": _risk_parts,
+    "rolling_return": _risk,
+    "rolling_volatility": _risk,
+    "rolling_drawdown": _risk,
     "risk_metrics": _risk,
     "index_return_20d": _index_bars,
     "relative_strength": _strength,

@@ -1,24 +1,21 @@
-"""Text labels derived from comparisons."""
+"""Text labels derived from comparisons, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+SPIKE_FACTOR = "1.5D"
 
-SPIKE_FACTOR = 1.5
 
-
-def compared(value: Column, other: Column, above: str, below: str, rest: str) -> Column:
+def compared(value: str, other: str, above: str, below: str, rest: str) -> str:
     """Label a comparison; equal values and NULLs both take ``rest``."""
-    return F.when(value > other, above).when(value < other, below).otherwise(rest)
+    return f"CASE WHEN {value} > {other} THEN '{above}' WHEN {value} < {other} THEN '{below}' ELSE '{rest}' END"
 
 
-def signed(value: Column, above: str, below: str, zero: str) -> Column:
+def signed(value: str, above: str, below: str, zero: str) -> str:
     """Label the sign of a value; NULL stays NULL."""
-    return F.when(value.isNotNull(), compared(value, F.lit(0.0), above, below, zero))
+    return f"CASE WHEN {value} IS NOT NULL THEN {compared(value, '0D', above, below, zero)} END"
 
 
-def spike(value: Column, usual: Column) -> Column:
+def spike(value: str, usual: str) -> str:
     """SPIKE above 1.5 times the usual level, else NORMAL; NULL without a usable level."""
-    usable = value.isNotNull() & (usual != 0)
-    return F.when(usable, F.when(value > SPIKE_FACTOR * usual, "SPIKE").otherwise("NORMAL"))
+    label = f"if({value} > {SPIKE_FACTOR} * {usual}, 'SPIKE', 'NORMAL')"
+    return f"CASE WHEN {value} IS NOT NULL AND {usual} <> 0 THEN {label} END"

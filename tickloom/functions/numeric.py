@@ -1,41 +1,37 @@
-"""Arithmetic and casts that give NULL where the ANSI forms would raise."""
+"""Arithmetic and casts, as SQL text, that give NULL where the ANSI forms would raise."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """Double division; NULL for a zero or NULL denominator."""
-    return F.try_divide(numerator, denominator)
+    return f"try_divide({numerator}, {denominator})"
 
 
-def pct_change(new: Column, old: Column) -> Column:
+def pct_change(new: str, old: str) -> str:
     """Change from old to new in percent points."""
-    return ratio(new - old, old) * 100
+    return f"{ratio(f'{new} - {old}', old)} * 100"
 
 
-def growth(new: Column, old: Column) -> Column:
+def growth(new: str, old: str) -> str:
     """Change from old to new as a fraction."""
-    return ratio(new, old) - 1
+    return f"{ratio(new, old)} - 1"
 
 
-def to_double(text: Column) -> Column:
-    return text.try_cast("double")
+def to_double(text: str) -> str:
+    return f"try_cast({text} AS double)"
 
 
-def to_day(text: Column) -> Column:
-    return text.try_cast("date")
+def to_day(text: str) -> str:
+    return f"try_cast({text} AS date)"
 
 
-def to_long(text: Column) -> Column:
+def to_long(text: str) -> str:
     """Whole part of a plain decimal; NULL for any other text.
 
     ``'123.7'`` gives 123 (cut, not rounded) and ``'1e3'`` gives NULL. A plain
     ``try_cast`` to bigint would give NULL for every text with a point.
     """
-    plain = r"^[\x00-\x20]*([+-]?[0-9]*)([.]?)[0-9]*[\x00-\x20]*$"
-    whole = F.regexp_extract(text, plain, 1)
-    point = F.regexp_extract(text, plain, 2)
-    return F.when(whole.rlike("[0-9]"), whole.try_cast("bigint")).when(point != "", F.lit(0).cast("bigint"))
+    plain = r"r'^[\x00-\x20]*([+-]?[0-9]*)([.]?)[0-9]*[\x00-\x20]*$'"
+    whole, point = f"regexp_extract({text}, {plain}, 1)", f"regexp_extract({text}, {plain}, 2)"
+    return f"CASE WHEN {whole} RLIKE '[0-9]' THEN try_cast({whole} AS bigint) WHEN {point} <> '' THEN 0L END"

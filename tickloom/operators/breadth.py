@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.series import BY_SYMBOL, Series
+from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 OUTPUT = [
     "DATE",
@@ -30,29 +30,27 @@ def add_first_of_day(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
     the window the price metrics already need, where a distinct count would
     shuffle every bar once more.
     """
-    return bars.withColumn("FIRST_OF_DAY", ~F.col("DATE").eqNullSafe(series.before("DATE")))
+    return add_columns(bars, {"FIRST_OF_DAY": f"NOT (DATE <=> {series.before('DATE')})"})
 
 
-def _share(column: str, label: str) -> Column:
-    return F.avg(F.when(F.col(column) == label, 1).otherwise(0))
+def _share(column: str, label: str) -> str:
+    return f"avg(if({column} = '{label}', 1, 0))"
 
 
 def market_breadth(bars: DataFrame) -> DataFrame:
     """One row per day from bars with price, risk and strength columns side by side."""
-    rising = F.col("PCT_STOCKS_UP")
-    regime = F.lit(LOWEST_REGIME)
-    for name, floor in reversed(REGIMES):
-        regime = F.when(rising >= floor, name).otherwise(regime)
-    daily = (
-        bars.filter(F.col("SYMBOL").isNotNull() & F.col("DATE").isNotNull())
+    daily = {
+        "TOTAL_STOCKS": "count_if(FIRST_OF_DAY)",
+        "PCT_STOCKS_UP": _share("DAILY_DIRECTION", "UP"),
+        "PCT_STOCKS_DOWN": _share("DAILY_DIRECTION", "DOWN"),
+        "PCT_STOCKS_OUTPERFORMING": _share("RELATIVE_STRENGTH_DIRECTION", "OUTPERFORM"),
+        "PCT_RS_STRENGTHENING": _share("RS_TREND", "STRENGTHENING"),
+        "AVG_MARKET_VOLATILITY": "avg(ROLLING_VOLATILITY_20D)",
+    }
+    counted = (
+        bars.filter("SYMBOL IS NOT NULL AND DATE IS NOT NULL")
         .groupBy("DATE")
-        .agg(
-            F.count_if("FIRST_OF_DAY").alias("TOTAL_STOCKS"),
-            _share("DAILY_DIRECTION", "UP").alias("PCT_STOCKS_UP"),
-            _share("DAILY_DIRECTION", "DOWN").alias("PCT_STOCKS_DOWN"),
-            _share("RELATIVE_STRENGTH_DIRECTION", "OUTPERFORM").alias("PCT_STOCKS_OUTPERFORMING"),
-            _share("RS_TREND", "STRENGTHENING").alias("PCT_RS_STRENGTHENING"),
-            F.avg("ROLLING_VOLATILITY_20D").alias("AVG_MARKET_VOLATILITY"),
-        )
+        .agg(*[F.expr(f"{sql} AS {name}") for name, sql in daily.items()])
     )
-    return daily.withColumn("BREADTH_REGIME", regime).select(*OUTPUT)
+    bands = " ".join(f"WHEN PCT_STOCKS_UP >= {floor}D THEN '{name}'" for name, floor in REGIMES)
+    return add_columns(counted, {"BREADTH_REGIME": f"CASE {bands} ELSE '{LOWEST_REGIME}' END"}).select(*OUTPUT)

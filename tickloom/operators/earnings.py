@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tickloom.functions.labels import compared, signed, spike
 from tickloom.functions.numeric import pct_change, ratio
-from tickloom.functions.series import BY_SYMBOL, Series
+from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 OUTPUT = [
     "SYMBOL",
@@ -47,101 +46,87 @@ OUTPUT = [
 REACH = 1
 
 
-def traded_bar() -> Column:
-    """Bars that belong to the earnings series."""
-    needed = ("SYMBOL", "DATE", "OPEN_PRICE", "CLOSE_PRICE")
-    return F.expr(" AND ".join(f"{name} IS NOT NULL" for name in needed))
+TRADED_BAR = "SYMBOL IS NOT NULL AND DATE IS NOT NULL AND OPEN_PRICE IS NOT NULL AND CLOSE_PRICE IS NOT NULL"
+
+_SPAN, _USUAL = "INTRADAY_RANGE_PCT", "`20_DAY_AVG_INTRADAY_RANGE_PCT`"
 
 
 def add_eps_surprise(bars: DataFrame) -> DataFrame:
     """The estimate divides with its sign: beating a negative estimate reads NEGATIVE."""
-    reported, expected = F.col("EPS"), F.col("EPS_ESTIMATE")
-    return bars.withColumns(
-        {
-            "EPS_SURPRISE_AMT": reported - expected,
-            "EPS_SURPRISE_PCT": pct_change(reported, expected),
-        }
-    ).withColumn(
-        "SURPRISE_DIRECTION", signed(F.col("EPS_SURPRISE_PCT"), "POSITIVE", "NEGATIVE", "NO_SURPRISE")
+    measured = add_columns(
+        bars,
+        {"EPS_SURPRISE_AMT": "EPS - EPS_ESTIMATE", "EPS_SURPRISE_PCT": pct_change("EPS", "EPS_ESTIMATE")},
     )
+    label = signed("EPS_SURPRISE_PCT", "POSITIVE", "NEGATIVE", "NO_SURPRISE")
+    return add_columns(measured, {"SURPRISE_DIRECTION": label})
 
 
 def add_event_context(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
-    """Neighbouring bars. Needs bars for which ``traded_bar`` holds."""
-    return bars.withColumns(
+    """Neighbouring bars. Needs bars for which ``TRADED_BAR`` holds."""
+    return add_columns(
+        bars,
         {
             "PRE_EARNINGS_CLOSE": series.before("CLOSE_PRICE"),
             "PRE_EARNINGS_VOLUME": series.before("VOLUME"),
             "POST_EARNINGS_OPEN": series.after("OPEN_PRICE"),
             "POST_EARNINGS_CLOSE": series.after("CLOSE_PRICE"),
             "POST_EARNINGS_VOLUME": series.after("VOLUME"),
-        }
+        },
     )
 
 
-def add_event_returns(bars: DataFrame) -> DataFrame:
-    before, today, after = F.col("PRE_EARNINGS_CLOSE"), F.col("CLOSE_PRICE"), F.col("POST_EARNINGS_CLOSE")
-    both_sides = before.isNotNull() & after.isNotNull()
-    return bars.withColumns(
+def add_event_readings(bars: DataFrame) -> DataFrame:
+    """Returns around the bar, and its range and volume against their usual level."""
+    before, today, after = "PRE_EARNINGS_CLOSE", "CLOSE_PRICE", "POST_EARNINGS_CLOSE"
+    both_sides = f"{before} IS NOT NULL AND {after} IS NOT NULL"
+    measured = add_columns(
+        bars,
         {
-            "EARNING_DIRECTION": F.when(both_sides, compared(after, before, "UP", "DOWN", "FLAT")),
+            "EARNING_DIRECTION": f"CASE WHEN {both_sides} THEN {compared(after, before, 'UP', 'DOWN', 'FLAT')} END",
             "EVENT_WINDOW_RETURN_PCT": pct_change(after, before),
             "EARNINGS_DAY_RETURN_PCT": pct_change(today, before),
             "NEXT_DAY_RETURN_PCT": pct_change(after, today),
-        }
+        },
     )
-
-
-def add_volatility_reading(bars: DataFrame) -> DataFrame:
-    span, usual = F.col("INTRADAY_RANGE_PCT"), F.col("20_DAY_AVG_INTRADAY_RANGE_PCT")
-    return bars.withColumns(
+    return add_columns(
+        measured,
         {
-            "VOLATILITY_SPIKE_FLAG": spike(span, usual),
-            "VOLATILITY_MULTIPLIER": ratio(span, usual),
-            "EARNINGS_REACTION_STRENGTH": ratio(F.col("EVENT_WINDOW_RETURN_PCT"), usual),
-        }
+            "VOLATILITY_SPIKE_FLAG": spike(_SPAN, _USUAL),
+            "VOLATILITY_MULTIPLIER": ratio(_SPAN, _USUAL),
+            "EARNINGS_REACTION_STRENGTH": ratio("EVENT_WINDOW_RETURN_PCT", _USUAL),
+            "VOLUME_SPIKE_FLAG": spike("VOLUME", "`20_DAY_AVG_VOLUME`"),
+            "DRIFT_DIRECTION": signed("NEXT_DAY_RETURN_PCT", "UP", "DOWN", "FLAT"),
+        },
     )
 
 
-def add_volume_spike(bars: DataFrame) -> DataFrame:
-    return bars.withColumn("VOLUME_SPIKE_FLAG", spike(F.col("VOLUME"), F.col("20_DAY_AVG_VOLUME")))
-
-
-def add_reaction_flags(bars: DataFrame) -> DataFrame:
-    surprise, move, activity = F.col("SURPRISE_DIRECTION"), F.col("EARNING_DIRECTION"), F.col("VOLUME_SPIKE_FLAG")
-    agrees = ((surprise == "POSITIVE") & (move == "UP")) | ((surprise == "NEGATIVE") & (move == "DOWN"))
-    undecided = (surprise == "NO_SURPRISE") | (move == "FLAT")
+def add_event_flags(bars: DataFrame) -> DataFrame:
+    """How surprise, volume and the next day's drift agree with the move."""
+    surprise, move, drift = "SURPRISE_DIRECTION", "EARNING_DIRECTION", "DRIFT_DIRECTION"
+    agrees = f"({surprise}, {move}) IN (('POSITIVE', 'UP'), ('NEGATIVE', 'DOWN'))"
     # A NULL move matches neither branch, so the confirmation ends NEUTRAL and is never NULL.
-    moved = move.isin("UP", "DOWN") & F.col("VOLUME_DIRECTION").isNotNull()
-    return bars.withColumns(
+    moved = f"{move} IN ('UP', 'DOWN') AND VOLUME_DIRECTION IS NOT NULL"
+    return add_columns(
+        bars,
         {
-            "REACTION_ALIGNMENT_FLAG": F.when(
-                surprise.isNotNull() & move.isNotNull(),
-                F.when(agrees, "ALIGNED").when(undecided, "NEUTRAL").otherwise("MISALIGNED"),
-            ),
-            "VOLUME_CONFIRMATION_FLAG": F.when(moved & (activity == "SPIKE"), "CONFIRMED")
-            .when(moved & (activity == "NORMAL"), "WEAK")
-            .otherwise("NEUTRAL"),
-        }
-    )
-
-
-def add_drift_flags(bars: DataFrame) -> DataFrame:
-    move, drift = F.col("EARNING_DIRECTION"), F.col("DRIFT_DIRECTION")
-    return bars.withColumn(
-        "DRIFT_DIRECTION", signed(F.col("NEXT_DAY_RETURN_PCT"), "UP", "DOWN", "FLAT")
-    ).withColumn(
-        "DRIFT_ALIGNMENT_FLAG",
-        F.when(
-            move.isNotNull() & drift.isNotNull(),
-            F.when((move == "FLAT") | (drift == "FLAT"), "NEUTRAL")
-            .when(move == drift, "CONTINUATION")
-            .otherwise("REVERSAL"),
-        ),
+            "REACTION_ALIGNMENT_FLAG": f"""
+                CASE WHEN {surprise} IS NULL OR {move} IS NULL THEN NULL
+                     WHEN {agrees} THEN 'ALIGNED'
+                     WHEN {surprise} = 'NO_SURPRISE' OR {move} = 'FLAT' THEN 'NEUTRAL'
+                     ELSE 'MISALIGNED' END""",
+            "VOLUME_CONFIRMATION_FLAG": f"""
+                CASE WHEN {moved} AND VOLUME_SPIKE_FLAG = 'SPIKE' THEN 'CONFIRMED'
+                     WHEN {moved} AND VOLUME_SPIKE_FLAG = 'NORMAL' THEN 'WEAK'
+                     ELSE 'NEUTRAL' END""",
+            "DRIFT_ALIGNMENT_FLAG": f"""
+                CASE WHEN {move} IS NULL OR {drift} IS NULL THEN NULL
+                     WHEN 'FLAT' IN ({move}, {drift}) THEN 'NEUTRAL'
+                     WHEN {move} = {drift} THEN 'CONTINUATION'
+                     ELSE 'REVERSAL' END""",
+        },
     )
 
 
 def add_earnings_reaction(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
     """Every earnings column, for every bar and not only for announcement days."""
-    reading = add_volatility_reading(add_event_returns(add_event_context(add_eps_surprise(bars), series)))
-    return add_drift_flags(add_reaction_flags(add_volume_spike(reading)))
+    return add_event_flags(add_event_readings(add_event_context(add_eps_surprise(bars), series)))

@@ -13,12 +13,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.series import Series
+from tickloom.functions.series import Series, add_columns
 
-MAX_ROWS = 200_000
+MAX_ROWS = 1_000_000
 # Rows without a full key may be many on one day; they are spread over this many slots.
 SLOTS = 256
 
@@ -35,16 +35,16 @@ class Profile:
 
 
 def profile_keys(bars: DataFrame) -> Profile:
-    """Rows of the longest series, and of the most repeated full (SYMBOL, DATE) key.
+    """Rows of the table, of its longest series and of its most repeated full (SYMBOL, DATE) key.
 
     Both steps combine on the map side first, so a hot key costs nothing extra.
     """
-    full_key = F.col("SYMBOL").isNotNull() & F.col("DATE").isNotNull()
-    per_key = bars.groupBy("SYMBOL", "DATE").agg(F.count("*").alias("rows"))
+    per_key = bars.groupBy("SYMBOL", "DATE").agg(F.expr("count(*) AS n"))
+    full_key = "SYMBOL IS NOT NULL AND DATE IS NOT NULL"
     per_series = per_key.groupBy("SYMBOL").agg(
-        F.sum("rows").alias("rows"), F.max(F.when(full_key, F.col("rows"))).alias("copies")
+        F.expr("sum(n) AS n"), F.expr(f"max(n) FILTER (WHERE {full_key}) AS copies")
     )
-    found = per_series.agg(F.sum("rows"), F.max("rows"), F.max("copies")).first()
+    found = per_series.selectExpr("sum(n)", "max(n)", "max(copies)").first()
     return Profile(*[value or 0 for value in found])
 
 
@@ -71,42 +71,42 @@ def over_series(
     if part_rows < reach:
         raise ValueError(f"parts of {part_rows} rows are shorter than the reach of {reach} rows")
     parts, part_series = _cut(bars, series, reach, ahead, part_rows)
-    return step(parts, part_series).filter(~F.col("_COPY")).drop("_BUCKET", "_SLOT", "_PART", "_COPY")
+    return step(parts, part_series).filter("NOT _COPY").drop("_BUCKET", "_SLOT", "_PART", "_COPY")
 
 
 def _cut(bars: DataFrame, series: Series, reach: int, ahead: bool, part_rows: int) -> tuple[DataFrame, Series]:
     # Parts are made of whole buckets: a month of one symbol, or a hash slot of
     # a day among rows without a full key. (_BUCKET, _SLOT) follows the order
     # (DATE, _SLOT), and the hash is the same when a lost task runs again.
-    keyless = F.col("SYMBOL").isNull() | F.col("DATE").isNull()
-    slot = F.when(keyless, F.pmod(F.xxhash64(*bars.columns), F.lit(SLOTS))).otherwise(F.lit(0).cast("bigint"))
-    bucket = F.when(F.col("SYMBOL").isNull(), F.col("DATE")).otherwise(F.trunc("DATE", "month"))
-    bucketed = bars.withColumns({"_BUCKET": bucket, "_SLOT": slot})
+    every = ", ".join(f"`{name}`" for name in bars.columns)
+    bucketed = add_columns(
+        bars,
+        {
+            "_BUCKET": "if(SYMBOL IS NULL, DATE, trunc(DATE, 'month'))",
+            "_SLOT": f"if(SYMBOL IS NULL OR DATE IS NULL, pmod(xxhash64({every}), {SLOTS}), 0)",
+        },
+    )
     place = [*series.keys, "_BUCKET", "_SLOT"]
+    sizes = bucketed.groupBy(*place).agg(F.expr("count(*) AS n"))
+    in_order = f"OVER (PARTITION BY {', '.join(series.keys)} ORDER BY _BUCKET, _SLOT"
+    placed = add_columns(sizes, {"end": f"sum(n) {in_order} ROWS UNBOUNDED PRECEDING)"})
+    numbered = add_columns(placed, {"own": f"(end - n) div {part_rows}"})
 
-    in_order = Window.partitionBy(*series.keys).orderBy("_BUCKET", "_SLOT")
-    end = F.sum("rows").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    part = F.floor((F.col("end") - F.col("rows")) / part_rows)
-    sizes = (
-        bucketed.groupBy(*place)
-        .agg(F.count("*").alias("rows"))
-        .withColumn("end", end)
-        .withColumn("own", part)
-    )
     # A part starts within ``reach`` rows of the end of a bucket only if its
-    # number lies in this range, because the number is its start / part_rows.
-    later = F.sequence(F.floor(F.col("end") / part_rows), F.floor((F.col("end") + reach - 1) / part_rows))
-    serves = F.concat(F.array("own"), F.filter(later, lambda p: p > F.col("own")))
+    # number lies in this range, because the number is its start div part_rows.
+    later = f"sequence(end div {part_rows}, (end + {reach - 1}) div {part_rows})"
+    serves = f"array(own), filter({later}, p -> p > own)"
     if ahead:
-        previous = F.lag("own").over(in_order)
-        serves = F.concat(serves, F.filter(F.array(previous), lambda p: p < F.col("own")))
+        serves += f", filter(array(lag(own) {in_order})), p -> p < own)"
     members = (
-        sizes.select(*place, "own", F.explode(serves).alias("_PART"))
-        .withColumn("_COPY", F.col("_PART") != F.col("own"))
-        .drop("own")
+        add_columns(numbered, {"parts": f"concat({serves})"})
+        .selectExpr(*place, "own", "explode(parts) AS _PART")
+        .selectExpr(*place, "_PART", "_PART <> own AS _COPY")
+    )
+    # Null-safe, so that rows without a full key find their place too.
+    same_place = " AND ".join(f"bar.{name} <=> member.{name}" for name in place)
+    joined = bucketed.alias("bar").join(members.alias("member"), F.expr(same_place), "inner")
+    return (
+        joined.select("bar.*", "member._PART", "member._COPY"),
+        replace(series.by("_PART"), order=(*series.order, "_SLOT")),
     )
-
-    left, right = bucketed.alias("bar"), members.alias("member")
-    same_place = [F.col(f"bar.{name}").eqNullSafe(F.col(f"member.{name}")) for name in place]
-    joined = left.join(right, same_place, "inner").select("bar.*", "member._PART", "member._COPY")
-    return joined, replace(series.by("_PART"), order=(*series.order, "_SLOT"))

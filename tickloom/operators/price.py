@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickloom.functions.labels import compared
 from tickloom.functions.numeric import pct_change, ratio
-from tickloom.functions.series import BY_SYMBOL, Series
+from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 INPUT = ["SYMBOL", "DATE", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "CLOSE_PRICE"]
 OUTPUT = [
@@ -26,25 +25,26 @@ REACH = 20
 
 
 def add_price_metrics(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
-    opened, closed = F.col("OPEN_PRICE"), F.col("CLOSE_PRICE")
-    span = F.col("HIGH_PRICE") - F.col("LOW_PRICE")
-    previous = F.col("PREV_CLOSE_PRICE")
-    ranged = bars.withColumns(
+    ranged = add_columns(
+        bars,
         {
-            "INTRADAY_RANGE_AMT": span,
-            "INTRADAY_RANGE_PCT": ratio(span, closed) * 100,
-        }
+            "INTRADAY_RANGE_AMT": "HIGH_PRICE - LOW_PRICE",
+            "INTRADAY_RANGE_PCT": f"{ratio('HIGH_PRICE - LOW_PRICE', 'CLOSE_PRICE')} * 100",
+        },
     )
-    return ranged.withColumns(
+    framed = add_columns(
+        ranged,
         {
             "PREV_CLOSE_PRICE": series.before("CLOSE_PRICE"),
             "20_DAY_AVG_INTRADAY_RANGE_PCT": series.mean("INTRADAY_RANGE_PCT", 20),
-        }
-    ).withColumns(
+        },
+    )
+    return add_columns(
+        framed,
         {
-            "DAILY_RETURN_PCT": pct_change(closed, previous),
-            "GAP_AMOUNT": opened - previous,
-            "GAP_DIRECTION": compared(opened, previous, "UP", "DOWN", "NO_GAP"),
-            "DAILY_DIRECTION": compared(closed, previous, "UP", "DOWN", "FLAT"),
-        }
+            "DAILY_RETURN_PCT": pct_change("CLOSE_PRICE", "PREV_CLOSE_PRICE"),
+            "GAP_AMOUNT": "OPEN_PRICE - PREV_CLOSE_PRICE",
+            "GAP_DIRECTION": compared("OPEN_PRICE", "PREV_CLOSE_PRICE", "UP", "DOWN", "NO_GAP"),
+            "DAILY_DIRECTION": compared("CLOSE_PRICE", "PREV_CLOSE_PRICE", "UP", "DOWN", "FLAT"),
+        },
     )

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickloom.functions.labels import SPIKE_FACTOR
-from tickloom.functions.series import BY_SYMBOL, Series
+from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 OUTPUT = [
     "SYMBOL",
@@ -19,28 +18,29 @@ OUTPUT = [
     "30_DAY_TREND_SLOPE",
     "VOLATILITY_REGIME_FLAG",
 ]
-CALM_FACTOR = 0.7
+CALM_FACTOR = "0.7D"
 REACH = 180
 
 
 def add_regime(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
     """Needs the intraday range columns of the price metrics."""
-    span, usual = F.col("INTRADAY_RANGE_PCT"), F.col("20_DAY_AVG_INTRADAY_RANGE_PCT")
-    # Bars without a full key keep their averages but have no regime.
-    rated = F.col("SYMBOL").isNotNull() & F.col("DATE").isNotNull() & (span != 0) & (usual != 0)
-    averaged = bars.withColumns(
+    averaged = add_columns(
+        bars,
         {
             "30_DAYS_AVG_SMA": series.mean("CLOSE_PRICE", 30),
             "100_DAYS_AVG_SMA": series.mean("CLOSE_PRICE", 100),
             "6_MONTHS_AVG_SMA": series.mean("CLOSE_PRICE", 180),
-        }
+        },
     )
     slopes = {
-        f"{rows}_DAY_TREND_SLOPE": (F.col("30_DAYS_AVG_SMA") - series.before("30_DAYS_AVG_SMA", rows)) / rows
+        f"{rows}_DAY_TREND_SLOPE": f"(`30_DAYS_AVG_SMA` - {series.before('`30_DAYS_AVG_SMA`', rows)}) / {rows}"
         for rows in (5, 10, 30)
     }
-    flag = F.when(
-        rated,
-        F.when(span > SPIKE_FACTOR * usual, "HIGH").when(span < CALM_FACTOR * usual, "LOW").otherwise("NORMAL"),
+    span, usual = "INTRADAY_RANGE_PCT", "`20_DAY_AVG_INTRADAY_RANGE_PCT`"
+    # Bars without a full key keep their averages but have no regime.
+    rated = f"SYMBOL IS NOT NULL AND DATE IS NOT NULL AND {span} <> 0 AND {usual} <> 0"
+    flag = (
+        f"CASE WHEN {rated} THEN CASE WHEN {span} > {SPIKE_FACTOR} * {usual} THEN 'HIGH' "
+        f"WHEN {span} < {CALM_FACTOR} * {usual} THEN 'LOW' ELSE 'NORMAL' END END"
     )
-    return averaged.withColumns({**slopes, "VOLATILITY_REGIME_FLAG": flag})
+    return add_columns(averaged, {**slopes, "VOLATILITY_REGIME_FLAG": flag})

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tickloom.functions.numeric import growth, ratio
-from tickloom.functions.series import BY_SYMBOL, Series
+from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 OUTPUT = [
     "SYMBOL",
@@ -20,46 +19,43 @@ OUTPUT = [
 REACH = 40
 
 
-def priced_bar() -> Column:
-    """Bars that belong to the risk series."""
-    return F.col("SYMBOL").isNotNull() & F.col("DATE").isNotNull() & F.col("CLOSE_PRICE").isNotNull()
+PRICED_BAR = "SYMBOL IS NOT NULL AND DATE IS NOT NULL AND CLOSE_PRICE IS NOT NULL"
 
 
 def add_risk_metrics(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
-    """Needs DAILY_RETURN_PCT, and bars for which ``priced_bar`` holds.
+    """Needs DAILY_RETURN_PCT, and bars for which ``PRICED_BAR`` holds.
 
     Volatility is the root mean square of (return - own trailing mean): each
     bar in the frame is measured against the mean of the 20 bars before *it*,
     so this is not a standard deviation of the frame. Drawdown likewise takes
     the lowest of 20 values, each measured against its own trailing high.
     """
-    closed, volatility = F.col("CLOSE_PRICE"), F.col("ROLLING_VOLATILITY_20D")
-    levels = bars.withColumns(
+    levels = add_columns(
+        bars,
         {
             "CLOSE_PRICE_20D": series.before("CLOSE_PRICE", 20),
             "AVG_RETURN_20D": series.mean("DAILY_RETURN_PCT", 20),
             "ROLLING_MAX_CLOSE_20D": series.highest("CLOSE_PRICE", 20),
-        }
+        },
     )
-    surprise = F.col("DAILY_RETURN_PCT") - F.col("AVG_RETURN_20D")
-    measured = levels.withColumns(
+    surprise = "(DAILY_RETURN_PCT - AVG_RETURN_20D)"
+    measured = add_columns(
+        levels,
         {
-            "SQUARED_SURPRISE": surprise * surprise,
-            "DRAWDOWN_TODAY": growth(closed, F.col("ROLLING_MAX_CLOSE_20D")),
-            "ROLLING_RETURN_20D": growth(closed, F.col("CLOSE_PRICE_20D")),
-        }
+            "SQUARED_SURPRISE": f"{surprise} * {surprise}",
+            "DRAWDOWN_TODAY": growth("CLOSE_PRICE", "ROLLING_MAX_CLOSE_20D"),
+            "ROLLING_RETURN_20D": growth("CLOSE_PRICE", "CLOSE_PRICE_20D"),
+        },
     )
-    return (
-        measured.withColumns(
-            {
-                "VARIANCE_20D": series.mean("SQUARED_SURPRISE", 20),
-                "MAX_DRAWDOWN_LOOKBACK": series.lowest("DRAWDOWN_TODAY", 20),
-            }
-        )
-        .drop("SQUARED_SURPRISE")
-        .withColumn("ROLLING_VOLATILITY_20D", F.sqrt("VARIANCE_20D"))
-        .withColumn(
-            "RISK_ADJUSTED_RETURN_20D",
-            F.when(volatility > 0, ratio(F.col("ROLLING_RETURN_20D"), volatility)),
-        )
+    nested = add_columns(
+        measured,
+        {
+            "VARIANCE_20D": series.mean("SQUARED_SURPRISE", 20),
+            "MAX_DRAWDOWN_LOOKBACK": series.lowest("DRAWDOWN_TODAY", 20),
+        },
     )
+    rooted = add_columns(nested, {"ROLLING_VOLATILITY_20D": "sqrt(VARIANCE_20D)"})
+    adjusted = ratio("ROLLING_RETURN_20D", "ROLLING_VOLATILITY_20D")
+    return add_columns(
+        rooted, {"RISK_ADJUSTED_RETURN_20D": f"CASE WHEN ROLLING_VOLATILITY_20D > 0 THEN {adjusted} END"}
+    ).drop("SQUARED_SURPRISE")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import to_day, to_double, to_long
 
@@ -53,9 +52,7 @@ DIVIDENDS = {
 
 
 def _typed(raw: DataFrame, rules: dict) -> DataFrame:
-    return raw.select(
-        *[(cast(F.col(name)) if cast else F.col(name)).alias(target) for name, (target, cast) in rules.items()]
-    )
+    return raw.selectExpr(*[f"{cast(name) if cast else name} AS {target}" for name, (target, cast) in rules.items()])
 
 
 def type_prices(raw: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.labels import compared, signed
 from tickloom.functions.numeric import growth
-from tickloom.functions.series import BY_SYMBOL, Series
+from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 OUTPUT = [
     "SYMBOL",
@@ -24,15 +24,13 @@ REACH = 1
 
 
 def benchmark_bars(bars: DataFrame, symbol: str = BENCHMARK) -> DataFrame:
-    return bars.select("SYMBOL", "DATE", "CLOSE_PRICE").filter(
-        (F.col("SYMBOL") == symbol) & F.col("DATE").isNotNull() & F.col("CLOSE_PRICE").isNotNull()
-    )
+    chosen = bars.select("SYMBOL", "DATE", "CLOSE_PRICE").filter(F.col("SYMBOL") == symbol)
+    return chosen.filter("DATE IS NOT NULL AND CLOSE_PRICE IS NOT NULL")
 
 
 def add_index_return(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
-    return bars.withColumn("INDEX_CLOSE_20D_AGO", series.before("CLOSE_PRICE", 20)).withColumn(
-        "INDEX_RETURN_20D", growth(F.col("CLOSE_PRICE"), F.col("INDEX_CLOSE_20D_AGO"))
-    )
+    lagged = add_columns(bars, {"INDEX_CLOSE_20D_AGO": series.before("CLOSE_PRICE", 20)})
+    return add_columns(lagged, {"INDEX_RETURN_20D": growth("CLOSE_PRICE", "INDEX_CLOSE_20D_AGO")})
 
 
 def index_by_day(returns: DataFrame) -> DataFrame:
@@ -41,34 +39,24 @@ def index_by_day(returns: DataFrame) -> DataFrame:
     A DATE can hold 3.65 million days at most, a few thousand in practice. Two
     benchmark bars on one day break the unique key and raise.
     """
-    once = F.assert_true(
-        F.col("BARS") == 1,
-        F.concat(F.lit("more than one benchmark bar on "), F.col("DATE").cast("string")),
-    )
-    return (
-        returns.groupBy("DATE")
-        .agg(F.max("INDEX_RETURN_20D").alias("INDEX_RETURN_20D"), F.count("*").alias("BARS"))
-        .select("DATE", F.when(once.isNull(), F.col("INDEX_RETURN_20D")).alias("INDEX_RETURN_20D"))
-    )
+    daily = returns.groupBy("DATE").agg(F.expr("max(INDEX_RETURN_20D) AS value"), F.expr("count(*) AS bars"))
+    repeated = "raise_error(concat('more than one benchmark bar on ', cast(DATE AS string)))"
+    return daily.selectExpr("DATE", f"if(bars = 1, value, cast({repeated} AS double)) AS INDEX_RETURN_20D")
 
 
 def add_relative_strength(bars: DataFrame, index: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
     """Needs ROLLING_RETURN_20D. ``index`` must come from ``index_by_day``: it is broadcast."""
-    strength = F.col("RELATIVE_STRENGTH_20D")
-    return (
-        bars.join(F.broadcast(index), "DATE", "left")
-        .withColumn("RELATIVE_STRENGTH_20D", F.col("ROLLING_RETURN_20D") - F.col("INDEX_RETURN_20D"))
-        .withColumn("PREV_RS_20D", series.before("RELATIVE_STRENGTH_20D"))
-        .withColumns(
-            {
-                "RELATIVE_STRENGTH_DIRECTION": signed(strength, "OUTPERFORM", "UNDERPERFORM", "NEUTRAL"),
-                # A known strength yesterday and none today counts as STABLE.
-                "RS_TREND": F.when(
-                    F.col("PREV_RS_20D").isNotNull(),
-                    compared(strength, F.col("PREV_RS_20D"), "STRENGTHENING", "WEAKENING", "STABLE"),
-                ),
-            }
-        )
+    joined = bars.join(F.broadcast(index), "DATE", "left")
+    measured = add_columns(joined, {"RELATIVE_STRENGTH_20D": "ROLLING_RETURN_20D - INDEX_RETURN_20D"})
+    lagged = add_columns(measured, {"PREV_RS_20D": series.before("RELATIVE_STRENGTH_20D")})
+    # A known strength yesterday and none today counts as STABLE.
+    trend = compared("RELATIVE_STRENGTH_20D", "PREV_RS_20D", "STRENGTHENING", "WEAKENING", "STABLE")
+    return add_columns(
+        lagged,
+        {
+            "RELATIVE_STRENGTH_DIRECTION": signed("RELATIVE_STRENGTH_20D", "OUTPERFORM", "UNDERPERFORM", "NEUTRAL"),
+            "RS_TREND": f"CASE WHEN PREV_RS_20D IS NOT NULL THEN {trend} END",
+        },
     )
 
 
@@ -76,5 +64,5 @@ def latest_complete(strength: DataFrame) -> DataFrame:
     """The newest row of each symbol in which every strength column is known."""
     measures = [c for c in OUTPUT if c not in ("SYMBOL", "DATE")]
     known = strength.select(*OUTPUT).dropna(subset=measures)
-    newest = F.max_by(F.struct("DATE", *measures), F.col("DATE")).alias("newest")
+    newest = F.expr(f"max_by(struct(DATE, {', '.join(measures)}), DATE) AS newest")
     return known.groupBy("SYMBOL").agg(newest).select("SYMBOL", "newest.*")

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickloom.functions.labels import compared
 from tickloom.functions.numeric import pct_change
-from tickloom.functions.series import BY_SYMBOL, Series
+from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 INPUT = ["SYMBOL", "DATE", "VOLUME"]
 OUTPUT = [
@@ -23,16 +22,18 @@ REACH = 20
 
 
 def add_volume_metrics(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
-    today, previous = F.col("VOLUME"), F.col("PREV_VOLUME")
-    return bars.withColumns(
+    framed = add_columns(
+        bars,
         {
             "PREV_VOLUME": series.before("VOLUME"),
             "5_DAY_AVG_VOLUME": series.mean("VOLUME", 5),
             "20_DAY_AVG_VOLUME": series.mean("VOLUME", 20),
-        }
-    ).withColumns(
+        },
+    )
+    return add_columns(
+        framed,
         {
-            "VOLUME_CHANGE_PCT": pct_change(today, previous),
-            "VOLUME_DIRECTION": compared(today, previous, "UP", "DOWN", "FLAT"),
-        }
+            "VOLUME_CHANGE_PCT": pct_change("VOLUME", "PREV_VOLUME"),
+            "VOLUME_DIRECTION": compared("VOLUME", "PREV_VOLUME", "UP", "DOWN", "FLAT"),
+        },
     )

@@ -10,9 +10,8 @@ knows it (or a bound on it); it is measured otherwise.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tickloom.functions.series import BY_SYMBOL, Series
+from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 from tickloom.operators import breadth, earnings, price, regime, risk, strength, volume
 from tickloom.operators.long_series import MAX_ROWS, longest_series, over_series
 
@@ -56,26 +55,31 @@ def earnings_reaction(silver: DataFrame, longest: int | None = None) -> DataFram
     parts = part_rows(silver, longest)
     bars = silver.select(*price.INPUT, "VOLUME", "EPS", "EPS_ESTIMATE")
     measured = over_series(bars, BY_SYMBOL, _with_volume, volume.REACH, part_rows=parts)
-    traded = measured.filter(earnings.traded_bar())
+    traded = measured.filter(earnings.TRADED_BAR)
     added = over_series(traded, BY_SYMBOL, earnings.add_earnings_reaction, earnings.REACH, True, parts)
     return added.select(*earnings.OUTPUT)
 
 
-def risk_frame(silver: DataFrame, parts: int | None = None) -> DataFrame:
+def risk_frame(silver: DataFrame, longest: int | None = None) -> DataFrame:
     """Risk columns with their intermediates. Returns come from every bar, the rest from priced bars."""
-    priced = _priced(silver.select(*price.INPUT), parts).filter(risk.priced_bar())
+    parts = part_rows(silver, longest)
+    priced = _priced(silver.select(*price.INPUT), parts).filter(risk.PRICED_BAR)
     return over_series(priced, BY_SYMBOL, risk.add_risk_metrics, risk.REACH, part_rows=parts)
 
 
 def risk_metrics(silver: DataFrame, longest: int | None = None) -> DataFrame:
-    return risk_frame(silver, part_rows(silver, longest)).select(*risk.OUTPUT)
+    return risk_frame(silver, longest).select(*risk.OUTPUT)
 
 
-def index_returns(silver: DataFrame, benchmark: str = strength.BENCHMARK, longest: int | None = None) -> DataFrame:
+def index_frame(silver: DataFrame, benchmark: str = strength.BENCHMARK, longest: int | None = None) -> DataFrame:
+    """The benchmark's bars with its close 20 bars ago and its return since."""
     bars = strength.benchmark_bars(silver, benchmark)
     parts = part_rows(bars, longest)
-    added = over_series(bars, BY_SYMBOL, strength.add_index_return, strength.INDEX_REACH, part_rows=parts)
-    return strength.index_by_day(added)
+    return over_series(bars, BY_SYMBOL, strength.add_index_return, strength.INDEX_REACH, part_rows=parts)
+
+
+def index_returns(silver: DataFrame, benchmark: str = strength.BENCHMARK, longest: int | None = None) -> DataFrame:
+    return strength.index_by_day(index_frame(silver, benchmark, longest))
 
 
 def relative_strength(
@@ -89,7 +93,7 @@ def relative_strength(
     def step(bars: DataFrame, series: Series) -> DataFrame:
         return strength.add_relative_strength(risk.add_risk_metrics(bars, series), index, series)
 
-    priced = _priced(silver.select(*price.INPUT), parts).filter(risk.priced_bar())
+    priced = _priced(silver.select(*price.INPUT), parts).filter(risk.PRICED_BAR)
     reach = risk.REACH + strength.REACH
     return over_series(priced, BY_SYMBOL, step, reach, part_rows=parts).select(*strength.OUTPUT)
 
@@ -113,17 +117,18 @@ def breadth_frame(
     rows = longest_series(silver) if longest is None else longest
     parts = part_rows(silver, rows)
     index = index_returns(silver, benchmark, rows) if index is None else index
-    bars = silver.select(*price.INPUT).withColumn("HAS_CLOSE", F.col("CLOSE_PRICE").isNotNull())
+    bars = silver.select(*price.INPUT)
     priced = over_series(bars, BY_SYMBOL, _with_first_of_day, price.REACH, part_rows=parts)
-    keyed = priced.filter(F.col("SYMBOL").isNotNull() & F.col("DATE").isNotNull())
+    keyed = add_columns(priced, {"HAS_CLOSE": "CLOSE_PRICE IS NOT NULL"})
+    keyed = keyed.filter("SYMBOL IS NOT NULL AND DATE IS NOT NULL")
 
     def step(bars: DataFrame, series: Series) -> DataFrame:
         return strength.add_relative_strength(risk.add_risk_metrics(bars, series), index, series)
 
     reach = risk.REACH + strength.REACH
     added = over_series(keyed, BY_SYMBOL.by("HAS_CLOSE"), step, reach, part_rows=parts)
-    measures = [c for c in dict.fromkeys(risk.OUTPUT + strength.OUTPUT) if c not in ("SYMBOL", "DATE")]
-    return added.withColumns({c: F.when(F.col("HAS_CLOSE"), F.col(c)) for c in measures})
+    measures = {*risk.OUTPUT[2:], *strength.OUTPUT[2:]}
+    return added.selectExpr(*[f"if(HAS_CLOSE, {c}, NULL) AS {c}" if c in measures else f"`{c}`" for c in added.columns])
 
 
 def market_breadth(

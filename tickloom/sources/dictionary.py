@@ -112,6 +112,6 @@ def column_audit(df: DataFrame) -> DataFrame:
 
     One pass with a map-side count per column; a single row is unpivoted.
     """
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    counts = df.selectExpr(*[f"count(`{c}`) AS `{c}`" for c in df.columns])
     long = counts.unpivot([], df.columns, "COLUMN_NAME", "KNOWN_VALUES")
     return long.withColumn("DESCRIBED", F.col("COLUMN_NAME").isin(*COLUMNS))

@@ -8,12 +8,27 @@ part of the trades still reaches the shuffle as one row per task and week.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.series import add_columns
 from tickloom.operators.silver import DIVIDENDS, EARNINGS, PRICES
 from tickloom.operators.strength import BENCHMARK
 
+# Bars are grouped by symbol and week, and a DATE holds the years 1 to 9999:
+# no symbol can have more bars than this, whatever the data.
+LONGEST = 9999 * 366 // 7 + 1
+
+# All buffers are plain numbers, so this is a hash aggregate. Ordering trades
+# by a struct would sort every row before the shuffle.
+_BAR = {
+    "OPEN_PRICE": "min_by(price, place)",
+    "HIGH_PRICE": "max(price)",
+    "LOW_PRICE": "min(price)",
+    "CLOSE_PRICE": "max_by(price, place)",
+    "VOLUME": "cast(sum(l_quantity) AS bigint)",
+}
+
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their week, price and place in the week.
@@ -23,96 +38,80 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     Trades with the same place have the same price, so ties cannot matter.
     """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    day = F.col("l_shipdate").cast("date")
-    place = F.weekday(day) * F.lit(10**14) + F.col("cents") * 100 + F.col("l_quantity").cast("bigint")
-    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
-    return lines.withColumn("cents", cents).withColumns(
+    dated = lines.selectExpr(
+        "l_suppkey",
+        "l_quantity",
+        "l_tax",
+        "l_returnflag",
+        "cast(l_shipdate AS date) AS day",
+        "floor(l_extendedprice * 100 + 0.5D) AS cents",
+        "l_extendedprice / l_quantity AS price",
+    )
+    return add_columns(
+        dated,
         {
-            "DATE": F.trunc(day, "week"),
-            "place": place,
-            "price": F.col("l_extendedprice") / F.col("l_quantity"),
-        }
+            "DATE": "trunc(day, 'week')",
+            "place": "weekday(day) * 100000000000000L + cents * 100 + cast(l_quantity AS bigint)",
+        },
     )
 
 
-def _bars(grouped, symbol: Column) -> DataFrame:
-    """All buffers are plain numbers, so this is a hash aggregate.
-
-    Ordering trades by a struct would sort every row before the shuffle.
-    """
-    bars = grouped.agg(
-        F.min_by("price", "place").alias("OPEN_PRICE"),
-        F.max("price").alias("HIGH_PRICE"),
-        F.min("price").alias("LOW_PRICE"),
-        F.max_by("price", "place").alias("CLOSE_PRICE"),
-        F.sum("l_quantity").cast("bigint").alias("VOLUME"),
-    )
-    return bars.select(
-        symbol.alias("SYMBOL"),
+def _bars(grouped, symbol: str) -> DataFrame:
+    bars = grouped.agg(*[F.expr(f"{sql} AS {name}") for name, sql in _BAR.items()])
+    return bars.selectExpr(
+        f"{symbol} AS SYMBOL",
         "DATE",
         "OPEN_PRICE",
         "HIGH_PRICE",
         "LOW_PRICE",
         "CLOSE_PRICE",
-        F.col("CLOSE_PRICE").alias("CLOSE_ADJUSTED_PRICE"),
+        "CLOSE_PRICE AS CLOSE_ADJUSTED_PRICE",
         "VOLUME",
-        F.lit(1.0).alias("SPLIT_COEFFICIENT"),
+        "1.0D AS SPLIT_COEFFICIENT",
     )
 
 
-def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bars(trades(spark, sf_dir).groupBy("l_suppkey", "DATE"), F.col("l_suppkey").cast("string"))
-
-
-def index_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bars(trades(spark, sf_dir).groupBy("DATE"), F.lit(BENCHMARK))
+def supplier_bars(trades: DataFrame) -> DataFrame:
+    return _bars(trades.groupBy("l_suppkey", "DATE"), "cast(l_suppkey AS string)")
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return supplier_bars(spark, sf_dir).unionByName(index_bars(spark, sf_dir))
+def index_bars(trades: DataFrame) -> DataFrame:
+    return _bars(trades.groupBy("DATE"), f"'{BENCHMARK}'")
 
 
-def weeks(spark: SparkSession, sf_dir: str) -> int:
-    """Calendar weeks the trades can touch: a bound on the bars of any symbol, from one column."""
-    shipped = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_shipdate")
-    first, last = shipped.agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
-    return 0 if first is None else (last - first).days // 7 + 2
+def prices(trades: DataFrame) -> DataFrame:
+    return supplier_bars(trades).unionByName(index_bars(trades))
 
 
-def earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def earnings(trades: DataFrame) -> DataFrame:
     """Revenue per unit of the quarter, expected to equal that of the quarter before."""
-    revenue = F.sum("cents") / 100
-    units = F.sum(F.col("l_quantity").cast("bigint"))
-    quarterly = (
-        trades(spark, sf_dir)
-        .groupBy("l_suppkey", F.year("DATE").alias("year"), F.quarter("DATE").alias("quarter"))
-        .agg(F.max("DATE").alias("DATE"), (revenue / units).alias("EPS"))
+    quarterly = trades.groupBy("l_suppkey", F.expr("year(DATE) AS year"), F.expr("quarter(DATE) AS quarter")).agg(
+        F.expr("max(DATE) AS DATE"), F.expr("(sum(cents) / 100) / sum(cast(l_quantity AS bigint)) AS EPS")
     )
-    previous = F.lag("EPS").over(Window.partitionBy("l_suppkey").orderBy("year", "quarter"))
-    return quarterly.select(
-        F.col("l_suppkey").cast("string").alias("SYMBOL"),
+    return quarterly.selectExpr(
+        "cast(l_suppkey AS string) AS SYMBOL",
         "DATE",
-        F.format_string("Q%d %d", "quarter", "year").alias("QUARTER"),
-        previous.alias("EPS_ESTIMATE"),
+        "concat('Q', quarter, ' ', year) AS QUARTER",
+        "lag(EPS) OVER (PARTITION BY l_suppkey ORDER BY year, quarter) AS EPS_ESTIMATE",
         "EPS",
-        F.lit("post").alias("RELEASE_TIME"),
+        "'post' AS RELEASE_TIME",
     )
 
 
-def dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taxed = trades(spark, sf_dir).filter((F.col("l_returnflag") == "R") & (F.col("l_tax") >= 0.07))
-    highest = taxed.groupBy("l_suppkey", "DATE").agg(F.max("l_tax").alias("DIVIDENDS"))
-    return highest.select(F.col("l_suppkey").cast("string").alias("SYMBOL"), "DATE", "DIVIDENDS")
+def dividends(trades: DataFrame) -> DataFrame:
+    taxed = trades.filter("l_returnflag = 'R' AND l_tax >= 0.07D")
+    highest = taxed.groupBy("l_suppkey", "DATE").agg(F.expr("max(l_tax) AS DIVIDENDS"))
+    return highest.selectExpr("cast(l_suppkey AS string) AS SYMBOL", "DATE", "DIVIDENDS")
 
 
 def as_raw(typed: DataFrame, rules: dict) -> DataFrame:
     """The typed frame as the text table it would have been read from."""
-    return typed.select(*[F.col(target).cast("string").alias(name) for name, (target, _) in rules.items()])
+    return typed.selectExpr(*[f"cast({target} AS string) AS {name}" for name, (target, _) in rules.items()])
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(trades: DataFrame) -> dict[str, DataFrame]:
     return {
-        "prices": as_raw(prices(spark, sf_dir), PRICES),
-        "earnings": as_raw(earnings(spark, sf_dir), EARNINGS),
-        "dividends": as_raw(dividends(spark, sf_dir), DIVIDENDS),
+        "prices": as_raw(prices(trades), PRICES),
+        "earnings": as_raw(earnings(trades), EARNINGS),
+        "dividends": as_raw(dividends(trades), DIVIDENDS),
     }
