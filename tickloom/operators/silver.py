@@ -68,5 +68,11 @@ def type_dividends(raw: DataFrame) -> DataFrame:
 
 
 def enrich(prices: DataFrame, earnings: DataFrame, dividends: DataFrame) -> DataFrame:
-    """Every price row with the earnings and dividend of its symbol and day, where known."""
-    return prices.join(earnings, KEY, "left").join(dividends, KEY, "left").select(*SILVER)
+    """Every price row with the earnings and dividend of its symbol and day, where known.
+
+    The two small tables are put together first, so the prices take part in one
+    join only. Adaptive execution can then split a heavy partition of it, such
+    as the one that gets all rows without a key; it cannot in a chain of joins.
+    """
+    events = earnings.join(dividends, KEY, "full")
+    return prices.join(events, KEY, "left").select(*SILVER)
