@@ -161,7 +161,7 @@ def _typed(name: str, typing: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _write_raw_csv(spark: SparkSession, sf_dir: str, base_dir: str) -> None:
     for name, raw in feed.raw_tables(feed.trades(spark, sf_dir)).items():
-        raw.write.mode("overwrite").csv(table_path(base_dir, f"raw_{name}"), header=True)
+        raw.write.csv(table_path(base_dir, f"raw_{name}"), header=True)
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,11 +25,19 @@ TYPING = {"prices": type_prices, "earnings": type_earnings, "dividends": type_di
 ROWS_PER_BUCKET = 10_000_000
 
 
+def _write_all(frames: Mapping[str, DataFrame], files: int | None = None) -> None:
+    """Write independent tables as concurrent jobs, so that one fills the cores another leaves idle."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        jobs = [pool.submit(write_table, df, path, files) for path, df in frames.items()]
+        for job in jobs:
+            job.result()
+
+
 def ingest_bronze(spark: SparkSession, base_dir: str, raw_paths: Mapping[str, str] | None = None) -> None:
     """Land the raw CSVs as text parquet. Paths not given are the layout's own."""
-    for name in RAW_TABLES:
-        path = (raw_paths or {}).get(name) or table_path(base_dir, f"raw_{name}")
-        write_table(read_raw_csv(spark, path), table_path(base_dir, f"bronze_{name}"))
+    given = raw_paths or {}
+    raw = {name: read_raw_csv(spark, given.get(name) or table_path(base_dir, f"raw_{name}")) for name in RAW_TABLES}
+    _write_all({table_path(base_dir, f"bronze_{name}"): df for name, df in raw.items()})
 
 
 def typed_bronze(spark: SparkSession, base_dir: str) -> dict[str, DataFrame]:
@@ -69,8 +78,7 @@ def build_gold(
         "market_regime": tables.market_regime(silver, rows),
         "market_breadth": tables.market_breadth(silver, benchmark, rows),
     }
-    for name, df in gold.items():
-        write_table(with_comments(df), table_path(base_dir, name), files)
+    _write_all({table_path(base_dir, name): with_comments(df) for name, df in gold.items()}, files)
 
 
 def run_all(
