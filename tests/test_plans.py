@@ -116,6 +116,12 @@ def test_breadth_input_equals_joined_tables(silver):
     same(tables.breadth_frame(silver, longest=WHOLE).select(*literal.columns), literal)
 
 
+@pytest.mark.parametrize("name,rows", [("30_DAYS_AVG_SMA", 30), ("100_DAYS_AVG_SMA", 100), ("6_MONTHS_AVG_SMA", 180)])
+def test_long_means_equal_plain_frames(silver, name, rows):
+    plain = silver.selectExpr(*KEY, f"{BY_SYMBOL.mean('CLOSE_PRICE', rows)} AS `{name}`")
+    same(tables.market_regime(silver, WHOLE).select(*KEY, name), plain)
+
+
 # A series cut into parts gives the same values as a whole one.
 
 STEPS = {
@@ -146,7 +152,8 @@ def test_sparse_and_dense_months_in_parts(spark):
 
 @pytest.fixture
 def short_parts(monkeypatch):
-    monkeypatch.setattr(tables, "MAX_ROWS", 180)
+    monkeypatch.setattr(tables, "MAX_ROWS", 200)
+    monkeypatch.setattr(tables, "PART_ROWS", 180)
 
 
 @pytest.mark.parametrize(
@@ -162,13 +169,13 @@ def short_parts(monkeypatch):
     ],
 )
 def test_table_in_parts(silver, short_parts, build):
-    assert longest_series(silver) > 180
+    assert longest_series(silver) > 200
     cut = build(silver)
     assert "_PART" in plan_of(cut)
     same(cut, build(silver, longest=WHOLE))
 
 
-def test_hot_symbol_is_spread_over_tasks(spark, short_parts):
+def test_hot_symbol_is_spread_over_tasks(spark):
     """One symbol with most of the rows: no part holds more than its share."""
     rows = [bar("HOT", n, 1.0 + n % 7) for n in range(3000)] + [bar(f"S{n}", 0, 1.0) for n in range(50)]
     seen = {}

@@ -47,6 +47,12 @@ class Series:
     def mean(self, column: str, rows: int) -> str:
         return self._trailing(f"avg({column})", rows)
 
+    def total(self, column: str, rows: int) -> str:
+        return self._trailing(f"sum({column})", rows)
+
+    def known(self, column: str, rows: int) -> str:
+        return self._trailing(f"count({column})", rows)
+
     def highest(self, column: str, rows: int) -> str:
         return self._trailing(f"max({column})", rows)
 

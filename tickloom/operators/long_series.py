@@ -2,10 +2,11 @@
 
 All metrics look at a bounded number of neighbouring rows. One task per series
 is the cheapest plan while series are short: one shuffle serves every window.
-A key that holds a large part of all rows would put them all into one task, so
-beyond ``MAX_ROWS`` a series is cut into parts, and each part is given copies
-of the neighbouring rows its frames reach. The copies are dropped afterwards,
-so the result is the same.
+A key that holds a large part of all rows would put them all into one task. So
+where the longest series is beyond ``MAX_ROWS``, series are cut into parts of
+about ``PART_ROWS`` rows, and each part is given copies of the neighbouring
+rows its frames reach. The copies are dropped afterwards, so the result is the
+same.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.series import Series, add_columns
 
 MAX_ROWS = 1_000_000
+PART_ROWS = 100_000
 # Rows without a full key may be many on one day; they are spread over this many slots.
 SLOTS = 256
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tickloom.functions.labels import SPIKE_FACTOR
+from tickloom.functions.numeric import ratio
 from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 OUTPUT = [
@@ -21,17 +22,32 @@ OUTPUT = [
 CALM_FACTOR = "0.7D"
 REACH = 180
 
+# The long frames as consecutive blocks: (rows of the block, rows back to it).
+_LAST_100 = [(30, 0), (30, 30), (30, 60), (10, 90)]
+_LAST_180 = [(30, back) for back in range(0, 180, 30)]
+
+
+def _mean_of_blocks(series: Series, blocks: list[tuple[int, int]]) -> str:
+    """Mean over several blocks from their sums and counts.
+
+    A moving frame adds up all its rows again for every bar. Reading the sums
+    of earlier 30-row blocks back replaces 280 of these additions by 8 reads.
+    """
+
+    def added(name: str) -> str:
+        parts = [series.before(f"{name}_{rows}", back) if back else f"{name}_{rows}" for rows, back in blocks]
+        return " + ".join(f"coalesce({part}, 0)" for part in parts)
+
+    return ratio(added("TOTAL"), added("KNOWN"))
+
 
 def add_regime(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
     """Needs the intraday range columns of the price metrics."""
-    averaged = add_columns(
-        bars,
-        {
-            "30_DAYS_AVG_SMA": series.mean("CLOSE_PRICE", 30),
-            "100_DAYS_AVG_SMA": series.mean("CLOSE_PRICE", 100),
-            "6_MONTHS_AVG_SMA": series.mean("CLOSE_PRICE", 180),
-        },
-    )
+    blocks = {}
+    for rows in (30, 10):
+        blocks[f"TOTAL_{rows}"] = series.total("CLOSE_PRICE", rows)
+        blocks[f"KNOWN_{rows}"] = series.known("CLOSE_PRICE", rows)
+    summed = add_columns(add_columns(bars, blocks), {"30_DAYS_AVG_SMA": ratio("TOTAL_30", "KNOWN_30")})
     slopes = {
         f"{rows}_DAY_TREND_SLOPE": f"(`30_DAYS_AVG_SMA` - {series.before('`30_DAYS_AVG_SMA`', rows)}) / {rows}"
         for rows in (5, 10, 30)
@@ -43,4 +59,12 @@ def add_regime(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
         f"CASE WHEN {rated} THEN CASE WHEN {span} > {SPIKE_FACTOR} * {usual} THEN 'HIGH' "
         f"WHEN {span} < {CALM_FACTOR} * {usual} THEN 'LOW' ELSE 'NORMAL' END END"
     )
-    return add_columns(averaged, {**slopes, "VOLATILITY_REGIME_FLAG": flag})
+    return add_columns(
+        summed,
+        {
+            "100_DAYS_AVG_SMA": _mean_of_blocks(series, _LAST_100),
+            "6_MONTHS_AVG_SMA": _mean_of_blocks(series, _LAST_180),
+            **slopes,
+            "VOLATILITY_REGIME_FLAG": flag,
+        },
+    ).drop(*blocks)

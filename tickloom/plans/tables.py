@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 
 from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 from tickloom.operators import breadth, earnings, price, regime, risk, strength, volume
-from tickloom.operators.long_series import MAX_ROWS, longest_series, over_series
+from tickloom.operators.long_series import MAX_ROWS, PART_ROWS, longest_series, over_series
 
 
 def part_rows(bars: DataFrame, longest: int | None) -> int | None:
     """Length of the parts that series must be cut into, or None to keep them whole."""
     rows = longest_series(bars) if longest is None else longest
-    return MAX_ROWS if rows > MAX_ROWS else None
+    return PART_ROWS if rows > MAX_ROWS else None
 
 
 def _priced(silver: DataFrame, parts: int | None) -> DataFrame:
