@@ -6,19 +6,23 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tests.frames import bars
+from tests.test_plans import random_rows
 from tickloom.functions.labels import compared, signed, spike
 from tickloom.functions.numeric import growth, pct_change, ratio, to_day, to_double, to_long
+from tickloom.plans import tables
 
 ODD = ["abc", "", " ", " 7 ", "\t7\n", "123.7", "1e3", "-5.9", "01/05/2020", "2020-1-5", "2020-01-05 10:00:00",
        ".5", "-.5", ".", "+", "-", "+7", "--7", "7.", "1.2.3", "9223372036854775807", "9223372036854775808",
        "-9223372036854775808.9", "NaN", "Infinity", "1_000", "1,000", "0x10", "1 2", None]
 
 
-def lenient(spark, df, *expressions):
+def lenient(spark, build):
+    """Rows of a frame that is built and run with ANSI mode off."""
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        return [tuple(r) for r in df.selectExpr(*expressions).collect()]
+        return [tuple(r) for r in build().collect()]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
@@ -26,7 +30,7 @@ def lenient(spark, df, *expressions):
 def same_as_lenient(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "v string").coalesce(1)
     ours = [tuple(r) for r in df.selectExpr(to_long("v"), to_double("v"), f"cast({to_day('v')} AS string)").collect()]
-    theirs = lenient(spark, df, "cast(v AS bigint)", "cast(v AS double)", "cast(to_date(v) AS string)")
+    theirs = lenient(spark, lambda: df.selectExpr("cast(v AS bigint)", "cast(v AS double)", "cast(to_date(v) AS string)"))
     assert [str(r) for r in ours] == [str(r) for r in theirs]
 
 
@@ -70,3 +74,10 @@ def test_values_read_as_expected(spark):
 )
 def test_expression(spark, sql, expected):
     assert spark.range(1).selectExpr(f"{sql} AS v").first()[0] == expected
+
+
+def test_tables_do_not_depend_on_the_ansi_setting(spark):
+    frame = bars(spark, random_rows(days=80)).coalesce(1)
+    for build in (tables.earnings_reaction, tables.risk_metrics, tables.market_regime):
+        strict = [tuple(r) for r in build(frame, 1).collect()]
+        assert sorted(strict, key=str) == sorted(lenient(spark, lambda: build(frame, 1)), key=str)

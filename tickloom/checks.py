@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.operators import breadth, earnings, price, risk, strength
+from tickloom.operators import breadth, earnings, price, regime, risk, strength, volume
 from tickloom.operators.silver import KEY, SILVER, enrich, type_dividends, type_earnings, type_prices
 from tickloom.plans import batch, tables
 from tickloom.sources import feed
@@ -145,14 +145,11 @@ def _earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.earnings_reaction(silver, feed.LONGEST)
 
 
-def _breadth_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = feed.trades(spark, sf_dir)
     index = strength.index_by_day(_index(trades))
-    return tables.breadth_frame(feed.prices(trades), longest=feed.LONGEST, index=index)
-
-
-def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _emit(breadth.market_breadth(_breadth_frame(spark, sf_dir)), breadth.OUTPUT)
+    daily = tables.market_breadth(feed.prices(trades), longest=feed.LONGEST, index=index)
+    return _emit(daily, breadth.OUTPUT)
 
 
 def _typed(name: str, typing: Callable[[DataFrame], DataFrame]) -> Query:
@@ -199,25 +196,47 @@ def batch_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every column of the breadth input, with its intermediates, against the dictionary."""
-    frame = _breadth_frame(spark, sf_dir).select("SYMBOL", "DATE", *AUDITED)
-    return column_audit(frame)
+    """Every column of every table, with the intermediates, against the dictionary."""
+    trades = feed.trades(spark, sf_dir)
+    prices, longest = feed.prices(trades), feed.LONGEST
+    silver = enrich(prices, feed.earnings(trades), feed.dividends(trades))
+    index = _index(trades)
+    by_day = strength.index_by_day(index)
+    frames = {
+        "silver": silver,
+        "price_metrics": tables.price_metrics(prices, longest),
+        "volume_liquidity": tables.volume_liquidity(prices, longest),
+        "earnings_reaction": tables.earnings_reaction(silver, longest),
+        "relative_strength": tables.strength_frame(prices, longest=longest, index=by_day),
+        "benchmark": index,
+        "market_regime": tables.market_regime(prices, longest),
+        "market_breadth": tables.market_breadth(prices, longest=longest, index=by_day),
+    }
+    found = None
+    for name, df in frames.items():
+        audit = column_audit(df.select(*AUDITED[name])).selectExpr(f"'{name}' AS TABLE_NAME", "*")
+        found = audit if found is None else found.unionByName(audit)
+    return found
 
 
-AUDITED = [
-    *price.OUTPUT[2:],
-    "CLOSE_PRICE_20D",
-    "AVG_RETURN_20D",
-    "VARIANCE_20D",
-    "ROLLING_MAX_CLOSE_20D",
-    "DRAWDOWN_TODAY",
-    *risk.OUTPUT[2:],
-    "INDEX_RETURN_20D",
-    "RELATIVE_STRENGTH_20D",
-    "PREV_RS_20D",
-    "RELATIVE_STRENGTH_DIRECTION",
-    "RS_TREND",
-]
+AUDITED = {
+    "silver": SILVER,
+    "price_metrics": price.OUTPUT,
+    "volume_liquidity": volume.OUTPUT,
+    "earnings_reaction": earnings.OUTPUT,
+    "relative_strength": [
+        *dict.fromkeys(risk.OUTPUT + strength.OUTPUT),
+        "CLOSE_PRICE_20D",
+        "AVG_RETURN_20D",
+        "VARIANCE_20D",
+        "ROLLING_MAX_CLOSE_20D",
+        "DRAWDOWN_TODAY",
+        "PREV_RS_20D",
+    ],
+    "benchmark": ["SYMBOL", "DATE", "CLOSE_PRICE", "INDEX_CLOSE_20D_AGO", "INDEX_RETURN_20D"],
+    "market_regime": regime.OUTPUT,
+    "market_breadth": breadth.OUTPUT,
+}
 
 _BUILDERS: dict[str, Query] = {
     "price_returns": _price,

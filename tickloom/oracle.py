@@ -252,7 +252,7 @@ _NEEDS = {
     "regime": [_TRADES, _PRICES, _PRICE, _REGIME],
     "reaction": [_TRADES, _PRICES, _EARNINGS, _PRICE, _VOLUME, _REACTION],
     "breadth": [*_STRENGTH_PATH, _BREADTH],
-    "all": [*_STRENGTH_PATH, _EARNINGS, _VOLUME, _REGIME, _REACTION, _BREADTH],
+    "all": [*_STRENGTH_PATH, _EARNINGS, _SILVER, _VOLUME, _REGIME, _REACTION, _BREADTH],
 }
 
 _SOURCE = {
@@ -314,11 +314,23 @@ def _latest() -> str:
 
 
 def _audit() -> str:
-    parts = [
-        f"SELECT '{c}' AS \"COLUMN_NAME\", count(\"{c}\") AS \"KNOWN_VALUES\", "
-        f"{str(c in DESCRIBED).lower()} AS \"DESCRIBED\" FROM market"
-        for c in ["SYMBOL", "DATE", *AUDITED]
-    ]
+    tables = {
+        "silver": "silver",
+        "price_metrics": "price",
+        "volume_liquidity": "volume",
+        "earnings_reaction": "reaction",
+        "relative_strength": "market",
+        "benchmark": "index_returns",
+        "market_regime": "regime",
+        "market_breadth": "breadth",
+    }
+    parts = []
+    for name, source in tables.items():
+        for c in AUDITED[name]:
+            parts.append(
+                f"SELECT '{name}' AS \"TABLE_NAME\", '{c}' AS \"COLUMN_NAME\", count(\"{c}\") AS \"KNOWN_VALUES\", "
+                f'{str(c in DESCRIBED).lower()} AS "DESCRIBED" FROM {source}'
+            )
     return "\nUNION ALL ".join(parts)
 
 
@@ -349,6 +361,6 @@ ORACLE = {
     },
     "latest_complete_rs": _with("strength", _latest()),
     "market_breadth": _with("breadth", f"{_select(breadth.OUTPUT)} FROM breadth"),
-    "dictionary_audit": _with("breadth", _audit()),
+    "dictionary_audit": _with("all", _audit()),
     "batch_tables": _with("all", _batch()),
 }

@@ -82,10 +82,13 @@ def index_returns(silver: DataFrame, benchmark: str = strength.BENCHMARK, longes
     return strength.index_by_day(index_frame(silver, benchmark, longest))
 
 
-def relative_strength(
+def strength_frame(
     silver: DataFrame, benchmark: str = strength.BENCHMARK, longest: int | None = None, index: DataFrame | None = None
 ) -> DataFrame:
-    """``index`` takes ready-made index returns, one row per day, in place of the benchmark's bars."""
+    """Risk and strength columns with their intermediates.
+
+    ``index`` takes ready-made index returns, one row per day, in place of the benchmark's bars.
+    """
     rows = longest_series(silver) if longest is None else longest
     parts = part_rows(silver, rows)
     index = index_returns(silver, benchmark, rows) if index is None else index
@@ -95,7 +98,13 @@ def relative_strength(
 
     priced = _priced(silver.select(*price.INPUT), parts).filter(risk.PRICED_BAR)
     reach = risk.REACH + strength.REACH
-    return over_series(priced, BY_SYMBOL, step, reach, part_rows=parts).select(*strength.OUTPUT)
+    return over_series(priced, BY_SYMBOL, step, reach, part_rows=parts)
+
+
+def relative_strength(
+    silver: DataFrame, benchmark: str = strength.BENCHMARK, longest: int | None = None, index: DataFrame | None = None
+) -> DataFrame:
+    return strength_frame(silver, benchmark, longest, index).select(*strength.OUTPUT)
 
 
 def market_regime(silver: DataFrame, longest: int | None = None) -> DataFrame:
