@@ -196,21 +196,22 @@ def batch_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every column of every table, with the intermediates, against the dictionary."""
-    trades = feed.trades(spark, sf_dir)
-    prices, longest = feed.prices(trades), feed.LONGEST
-    silver = enrich(prices, feed.earnings(trades), feed.dividends(trades))
-    index = _index(trades)
-    by_day = strength.index_by_day(index)
+    """Every column of every table, with the intermediates, against the dictionary.
+
+    Silver is stored first: all the other tables read it.
+    """
+    base_dir, longest = scratch_dir(spark), feed.LONGEST
+    write_table(with_comments(_silver(spark, sf_dir)), table_path(base_dir, "silver"))
+    silver = read_table(spark, base_dir, "silver")
     frames = {
         "silver": silver,
-        "price_metrics": tables.price_metrics(prices, longest),
-        "volume_liquidity": tables.volume_liquidity(prices, longest),
+        "price_metrics": tables.price_metrics(silver, longest),
+        "volume_liquidity": tables.volume_liquidity(silver, longest),
         "earnings_reaction": tables.earnings_reaction(silver, longest),
-        "relative_strength": tables.strength_frame(prices, longest=longest, index=by_day),
-        "benchmark": index,
-        "market_regime": tables.market_regime(prices, longest),
-        "market_breadth": tables.market_breadth(prices, longest=longest, index=by_day),
+        "relative_strength": tables.strength_frame(silver, longest=longest),
+        "benchmark": tables.index_frame(silver, longest=longest),
+        "market_regime": tables.market_regime(silver, longest),
+        "market_breadth": tables.market_breadth(silver, longest=longest),
     }
     found = None
     for name, df in frames.items():
