@@ -79,7 +79,8 @@ def over_series(
 def _cut(bars: DataFrame, series: Series, reach: int, ahead: bool, part_rows: int) -> tuple[DataFrame, Series]:
     # Parts are made of whole buckets: a month of one symbol, or a hash slot of
     # a day among rows without a full key. (_BUCKET, _SLOT) follows the order
-    # (DATE, _SLOT), and the hash is the same when a lost task runs again.
+    # (DATE, _SLOT). The hash is the same when a lost task runs again: rows
+    # without a full key occur in raw bars only, the later series leave them out.
     every = ", ".join(f"`{name}`" for name in bars.columns)
     bucketed = add_columns(
         bars,
