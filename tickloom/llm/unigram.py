@@ -5,8 +5,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import sentencepiece
@@ -26,48 +26,52 @@ TOGETHER = 2_000_000
 BLOCK, LONG = 16_384, 128
 
 
-class DoubleArray:
-    """Trie of byte strings: from ``node`` by ``byte`` to ``base[node] + byte``, if ``check`` there is ``node``."""
-
-    def __init__(self, keys: dict[bytes, int]):
-        tree: dict = {}
-        for key, value in keys.items():
-            at = tree
-            for byte in key:
-                at = at.setdefault(byte, {})
-            at[-1] = value
-        self.base, self.check, self.value = [0], [-1], [-1]
-        free, tail, todo = 256, 256, [(0, tree)]
-        while todo:
-            node, at = todo.pop()
-            bytes_ = sorted(b for b in at if b >= 0)
-            self.value[node] = at.get(-1, -1)
-            if not bytes_:
-                continue
-            while free < len(self.check) and self.check[free] >= 0:
-                free += 1
-            # A single child fills the first gap; several are placed behind the last such family.
-            base = (free if len(bytes_) == 1 else tail) - bytes_[0]
-            while any(base + b < len(self.check) and self.check[base + b] != -1 for b in bytes_):
-                base += 1
-            grow = base + 256 - len(self.check)
-            for array in (self.base, self.check, self.value):
-                array.extend([-1] * grow)
-            self.base[node] = base
-            tail = max(tail, base + bytes_[0]) if len(bytes_) > 1 else tail
-            for b in bytes_:
-                self.check[base + b] = node
-                todo.append((base + b, at[b]))
-
-
-@dataclass(frozen=True)
-class Pieces:
-    """A vocabulary: bytes of each id, its log score, and the ids of the 256 single bytes."""
+Trie = tuple[list[int], list[int], list[int]]
+
+
+def double_array(keys: dict[bytes, int]) -> Trie:
+    """Trie of byte strings as three arrays: base, check and value.
+
+    ``byte`` leads from ``node`` to ``base[node] + byte`` if ``check`` there is
+    ``node``. ``value`` is the key's number, or -1 where no key ends.
+    """
+    tree: dict = {}
+    for key, number in keys.items():
+        at = tree
+        for byte in key:
+            at = at.setdefault(byte, {})
+        at[-1] = number
+    base, check, value = [0], [-1], [-1]
+    free, tail, todo = 256, 256, [(0, tree)]
+    while todo:
+        node, at = todo.pop()
+        bytes_ = sorted(b for b in at if b >= 0)
+        value[node] = at.get(-1, -1)
+        if not bytes_:
+            continue
+        while free < len(check) and check[free] >= 0:
+            free += 1
+        # A single child fills the first gap; several are placed behind the last such family.
+        to = (free if len(bytes_) == 1 else tail) - bytes_[0]
+        while any(to + b < len(check) and check[to + b] != -1 for b in bytes_):
+            to += 1
+        for array in (base, check, value):
+            array.extend([-1] * (to + 256 - len(array)))
+        base[node] = to
+        tail = max(tail, to + bytes_[0]) if len(bytes_) > 1 else tail
+        for b in bytes_:
+            check[to + b] = node
+            todo.append((to + b, at[b]))
+    return base, check, value
+
+
+class Pieces(NamedTuple):
+    """A vocabulary: bytes of each id, its log score, the ids of the 256 single bytes, and the trie."""
 
     data: list[bytes]
     score: list[float]
     byte_ids: list[int]
-    trie: DoubleArray
+    trie: Trie
 
     @property
     def unknown(self) -> float:
@@ -97,7 +101,7 @@ def load_pieces(path: str = MODEL) -> Pieces:
             data[i] = bytes([int(model.id_to_piece(i)[3:5], 16)])
         elif i in raw:
             data[i] = model.id_to_piece(i).replace(MARKER, " ").encode()
-    return Pieces(data, [raw.get(i, 0.0) for i in ids], byte_ids, DoubleArray({data[i]: i for i in usual}))
+    return Pieces(data, [raw.get(i, 0.0) for i in ids], byte_ids, double_array({data[i]: i for i in usual}))
 
 
 def width(first: int) -> int:
@@ -111,7 +115,7 @@ def segment(chunk: bytes, pieces: Pieces, unknown: float) -> list[int]:
     At equal sums the piece that starts first wins. A character that is no piece
     by itself may also become its bytes, at the score ``unknown``.
     """
-    base, check, value, score = pieces.trie.base, pieces.trie.check, pieces.trie.value, pieces.score
+    (base, check, value), score = pieces.trie, pieces.score
     size = len(chunk)
     best = [-math.inf] * (size + 1)
     back: list[tuple[int, int]] = [(0, 0)] * (size + 1)
@@ -150,7 +154,7 @@ def segment_all(chunks: list[bytes], pieces: Pieces, unknown: float) -> list[lis
     """
     found: list[list[int]] = [[]] * len(chunks)
     order = sorted(range(len(chunks)), key=lambda i: len(chunks[i]))
-    trie = [np.array(x, np.int32) for x in (pieces.trie.base, pieces.trie.check, pieces.trie.value)]
+    trie = [np.array(x, np.int32) for x in pieces.trie]
     score = np.array(pieces.score)
     for at in range(0, len(order), BLOCK):
         block = order[at : at + BLOCK]
@@ -268,12 +272,12 @@ def encode(docs: DataFrame, keep: list[str], path: str = MODEL) -> DataFrame:
     bytes, and so does the marker's own character, which stands for no space
     in a text. Null becomes no ids, like the empty text.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(path))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(load_pieces(path)))
     kept: list[Encoder] = []
 
     def rows(texts):
         if not kept:
-            kept.append(Encoder(shared.value))
+            kept.append(Encoder(Pieces(*shared.value)))
         return ((ids,) for ids in kept[0].encode(texts))
 
     return map_rows(docs, keep, ["text"], rows, "ids array<int>")
