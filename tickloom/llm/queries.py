@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from tickloom.llm import line_dedup, quality_rules, secrets, unigram
+from tickloom.llm import (
+    language_id,
+    licenses,
+    line_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    unigram,
+)
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_sentencepiece": unigram.op5_sentencepiece,
+    "op6_quality_classifier": quality_classifier.op6_quality_classifier,
+    "op7_licenses": licenses.op7_licenses,
+    "op8_language_id": language_id.op8_language_id,
+    "op10_mixing": mixing.op10_mixing,
 }
-ORACLE = {"op4_line_dedup": line_dedup.OP4_SQL}
+ORACLE = {"op4_line_dedup": line_dedup.OP4_SQL, "op10_mixing": mixing.OP10_SQL}
