@@ -7,6 +7,7 @@ from tickloom.llm import (
     licenses,
     line_dedup,
     mixing,
+    permutation_index,
     quality_classifier,
     quality_rules,
     secrets,
@@ -16,6 +17,7 @@ from tickloom.llm import (
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_permutation_index": permutation_index.op3_permutation_index,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_sentencepiece": unigram.op5_sentencepiece,
     "op6_quality_classifier": quality_classifier.op6_quality_classifier,
