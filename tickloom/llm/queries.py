@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickloom.llm import (
+    jaccard_join,
     language_id,
     licenses,
     line_dedup,
@@ -23,6 +24,7 @@ QUERIES = {
     "op6_quality_classifier": quality_classifier.op6_quality_classifier,
     "op7_licenses": licenses.op7_licenses,
     "op8_language_id": language_id.op8_language_id,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
 }
-ORACLE = {"op4_line_dedup": line_dedup.OP4_SQL, "op10_mixing": mixing.OP10_SQL}
+ORACLE = {"op4_line_dedup": line_dedup.OP4_SQL, "op9_jaccard_join": jaccard_join.OP9_SQL, "op10_mixing": mixing.OP10_SQL}
