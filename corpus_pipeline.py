@@ -1,8 +1,80 @@
-"""Placeholder of the pipeline; stages follow."""
+"""A corpus from raw documents to token ids, in five stages.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that the one before
+kept. All but the last return the columns of the documents, whatever they are.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tickloom.llm import jaccard_join, language_id, line_dedup, mixing, unigram
+from tickloom.llm.common import Scratch, table
+
+#: A document needs at least this share of its letters in its main language.
+LEAST_SHARE = 0.3
+
+
+def with_text(docs: DataFrame, text) -> DataFrame:
+    """``docs`` with another text, and its length where the documents state one."""
+    changed = docs.withColumn("text", text)
+    return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else changed
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language. Those without letters or without a main language go.
+
+    The languages are learned from the documents that state one.
+    """
+    spans = language_id.identify(docs, docs.columns, language_id.learn(docs))
+    found = language_id.main_language(spans, docs.columns)
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    return found.filter(known).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that many hold, which stay in one document each."""
+    kept = line_dedup.dedup_lines(docs, line_dedup.LineIndex.create(docs), docs.columns)
+    return with_text(kept.select(*docs.columns, "kept_text"), F.col("kept_text")).select(*docs.columns)
+
+
+def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies: that of the least doc_id.
+
+    Of rows that repeat a doc_id, all stay or go together. Rows without a doc_id stay.
+    """
+    found = Scratch(spark).store(jaccard_join.join(docs), "components")
+    copies = found.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; one taken in part holds its first words."""
+    return mixing.mixed(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and token ids of each row, and whether they decode to its text."""
+    return unigram.encode_and_decode(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("jaccard_join", join_near),
+    ("mixing", mix_sources),
+    ("sentencepiece", tokenize),
+]
+
+#: Language identification and the encoding have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows for the table ``documents``; what goes from stage to stage is written and read again."""
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    for name, stage in STAGES[:-1]:
+        docs = scratch.store(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,9 +8,12 @@ Equal sets are one set from the start, named by a 64-bit hash of it. Sets are
 partitioned into groups of similar ones: each set is compared with the set it
 seems to be most alike, and what links forms a family. A family is split into groups
 of about ``GROUP_SIZE`` members, and a group's row of the matrix is the union of
-its members' signatures. A signature is the least quarter of a set's hashes,
-and one: two sets that link must share one of these, for if all of them were
-missing in the other set, too few hashes would be left. A query
+its members' signatures. A signature is the first quarter of a set's hashes, and
+one, in an order that all sets share: two sets that link must share one of these,
+for if all of them were missing in the other set, too few hashes would be left.
+Any order is right. The first one is by value, and sets that share nothing in it
+are done with. Among the others, hashes that many sets hold come last, so that a
+passage in very many documents brings none of them together. A query
 set is counted against the groups of other families, and the count bounds its
 overlap with any member; only groups whose bound reaches the least overlap of a
 link are opened, and their members compared with the query in full.
@@ -32,10 +35,12 @@ WORDS = 5
 NEAR, PARTS = 75, 100
 #: Members of one group, on average.
 GROUP_SIZE = 32
-#: Rounds in which sets are compared with one other set, and the least share of a signature they then have in common.
-ROUNDS, ALIKE = 2, 0.4
-#: So many ids at most are broadcast; beyond, the join shuffles both sides.
-BROADCAST_IDS = 1_000_000
+#: Rounds in which a set is compared with one other, and the least share of its hashes to compare that the other has.
+ROUNDS, ALIKE = 3, 0.4
+#: So many numbers at most are broadcast; beyond, the join shuffles both sides.
+BROADCAST_IDS = 4_000_000
+#: Hashes that more sets hold come last; so many of them at most, or only those in twice as many sets, and so on.
+COMMON_FROM, MOST_COMMON = 32, 1_000_000
 
 
 def signed(x: int) -> int:
@@ -77,12 +82,14 @@ def sketches(docs: DataFrame) -> DataFrame:
     return map_rows(docs, ["doc_id"], ["text"], rows, "n long, set_id long, signature array<long>")
 
 
+def bounded(numbers: DataFrame) -> DataFrame:
+    """A stored frame of numbers, marked for broadcast if it has few enough rows."""
+    return F.broadcast(numbers) if numbers.count() <= BROADCAST_IDS else numbers
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id and all hashes of the sets ``wanted`` (set_id, doc_id), from the text of one document each."""
-    ids = wanted.select("doc_id")
-    if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    chosen = docs.select("doc_id", "text").join(bounded(wanted).select("doc_id"), "doc_id", "left_semi")
 
     def rows(texts):
         for text in texts:
@@ -93,6 +100,40 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return made.join(wanted, ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"]).select("set_id", "hashes")
 
 
+def common_hashes(sets: DataFrame) -> np.ndarray:
+    """Hashes in more than ``COMMON_FROM`` sets, sorted; the most common ones if these are too many."""
+    held = sets.select(F.explode("hashes").alias("token")).groupBy("token").agg(F.count("*").alias("held"))
+    often = Scratch(sets.sparkSession).store(held.filter(F.col("held") > COMMON_FROM), "often")
+    least = COMMON_FROM
+    while often.filter(F.col("held") > least).count() > MOST_COMMON:
+        least *= 2
+    return np.sort(often.filter(F.col("held") > least).toPandas()["token"].to_numpy(np.int64))
+
+
+def postings(sets: DataFrame, last: np.ndarray) -> DataFrame:
+    """(set_id, n, token) of the signatures, in the order that has the hashes ``last`` at the end.
+
+    Hashes that only one set has are left out.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(last)
+
+    def rows(lists):
+        behind = shared.value
+        for hashes in lists:
+            found = np.array(hashes, np.int64)
+            place = np.searchsorted(behind, found)
+            common = np.zeros(len(found), bool)
+            inside = place < len(behind)
+            common[inside] = behind[place[inside]] == found[inside]
+            ordered = np.concatenate([found[~common], found[common]])
+            yield len(found), ordered[: signature_size(len(found))]
+
+    signed_sets = map_rows(sets, ["set_id"], ["hashes"], rows, "n long, signature array<long>")
+    tokens = signed_sets.select("set_id", "n", F.explode("signature").alias("token"))
+    held = tokens.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
+    return tokens.join(held, "token")
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose sets link."""
     left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("left"))
@@ -137,19 +178,35 @@ def with_family(rows: DataFrame, families: DataFrame | None) -> DataFrame:
     return rows.join(families, "set_id", "left").withColumn("family", F.coalesce("family", "set_id"))
 
 
-def star_pairs(posted: DataFrame) -> DataFrame:
+def star_pairs(posted: DataFrame, seed: int) -> DataFrame:
     """(a, b): a set, and the set with which it seems to have most in common.
 
-    For each hash, the least set of the least family that has it is the one to
-    compare the others with. This only finds families early; what it
+    For each hash, one set that has it, the first one in an order that ``seed`` decides, is
+    the one to compare the others with. This only finds families early; what it
     leaves out is left to ``open_groups``.
     """
-    hubs = posted.groupBy("token").agg(F.min(F.struct("family", "set_id", "n")).alias("hub"))
+    first = F.struct(F.xxhash64(F.lit(seed), "family"), F.xxhash64(F.lit(seed), "set_id"), "family", "set_id", "n")
+    hubs = posted.groupBy("token").agg(F.min(first).alias("hub"))
     rows = posted.join(hubs, "token").filter("hub.family <> family").filter(sizes_fit(F.col("n"), F.col("hub.n")))
-    met = rows.groupBy(F.col("set_id").alias("a"), "n", F.col("hub.set_id").alias("b")).agg(F.count("*").alias("common"))
-    best = met.groupBy("a", "n").agg(F.max(F.struct("common", "b")).alias("best"))
-    signed_by = F.col("n") - F.ceil(NEAR * F.col("n") / PARTS) + 1
-    return best.filter(F.col("best.common") >= ALIKE * signed_by).select("a", "best.b")
+    met = rows.groupBy(F.col("set_id").alias("a"), "n", "hub").agg(F.count("*").alias("common"))
+    best = met.groupBy("a", "n").agg(F.max(F.struct("common", "hub")).alias("best"), F.sum("common").alias("all"))
+    alike = (F.col("best.common") >= ALIKE * F.col("all")) & (F.col("best.common") >= need(F.col("n"), F.col("best.hub.n")))
+    return best.filter(alike).select("a", F.col("best.hub.set_id").alias("b"))
+
+
+def unseen(n: Column) -> Column:
+    """Hashes of a set of ``n`` that are not in its signature."""
+    return F.ceil(NEAR * n / PARTS) - 1
+
+
+def need(n: Column, m: Column) -> Column:
+    """Hashes that the signatures of two sets must have in common if the sets link (less one, for rounding).
+
+    Both signatures show all hashes up to the first of their ends. Of the set whose
+    signature ends there the rest is not seen, so the overlap is at most the count of
+    common hashes plus that rest. A link needs NEAR / (NEAR + PARTS) of n + m.
+    """
+    return F.ceil(NEAR * (n + m) / (NEAR + PARTS)) - F.greatest(unseen(n), unseen(m)) - 1
 
 
 def grouped(posted: DataFrame) -> DataFrame:
@@ -163,12 +220,9 @@ def grouped(posted: DataFrame) -> DataFrame:
 def open_groups(posted: DataFrame, members: DataFrame) -> DataFrame:
     """(a, b): pairs of sets of two families that the matrix cannot rule out.
 
-    For a query of n hashes, of which s make its signature, and a member of m hashes and
-    a signature of t: both signatures show all hashes up to the lower of their ends. Of the
-    set whose signature ends there, n - s or m - t hashes are not seen, so the
-    overlap is at most the count of common hashes plus the larger of these. A link needs
-    NEAR / (NEAR + PARTS) of n + m. What a group must reach is the least of what its
-    smallest and largest size need (and one less, for rounding).
+    A query's count of hashes in common with a group is at least that with any
+    member. What a group must reach is the least of what its smallest and its largest
+    size need, for the need first grows and then falls with the size.
     """
     rows = posted.select("token", "set_id").join(members, "set_id")
     bounds = members.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"))
@@ -181,15 +235,8 @@ def open_groups(posted: DataFrame, members: DataFrame) -> DataFrame:
     counted = rows.join(matrix, "token").filter(smaller).groupBy("set_id", "n", "of").agg(F.count("*").alias("common"))
     counted = counted.join(bounds.withColumnRenamed("group", "of"), "of")
 
-    def unseen(n: Column) -> Column:
-        return F.ceil(NEAR * n / PARTS) - 1
-
-    def need(m: Column) -> Column:
-        n = F.col("n")
-        return F.ceil(NEAR * (n + m) / (NEAR + PARTS)) - F.greatest(unseen(n), unseen(m)) - 1
-
     fits = (PARTS * F.col("high") >= NEAR * F.col("n")) & (PARTS * F.col("n") >= NEAR * F.col("low"))
-    opened = counted.filter(fits & (F.col("common") >= F.least(need(F.col("low")), need(F.col("high")))))
+    opened = counted.filter(fits & (F.col("common") >= F.least(need(F.col("n"), F.col("low")), need(F.col("n"), F.col("high")))))
     inside = members.select(F.col("group").alias("of"), F.col("set_id").alias("b"), F.col("n").alias("m"))
     pairs = opened.join(inside, "of").filter(sizes_fit(F.col("n"), F.col("m")))
     return pairs.select(F.col("set_id").alias("a"), "b")
@@ -204,19 +251,19 @@ def join(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     rows = scratch.store(sketches(docs), "sketches")
     filled = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    sets = filled.groupBy("set_id").agg(F.min(F.struct("doc_id", "n", "signature")).alias("one"))
-    tokens = sets.select("set_id", F.explode("one.signature").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
-    meeting = scratch.store(tokens.join(shared, "token"), "meeting")
-    sizes = rows.groupBy("set_id").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    known = scratch.store(sizes.join(meeting.select("set_id").distinct(), "set_id"), "known")
-    posted = scratch.store(meeting.join(known.select("set_id", "n"), "set_id"), "posted")
-    live = scratch.store(full_sets(docs, known.select("set_id", "doc_id")), "sets")
+    tokens = filled.select("set_id", F.explode("signature").alias("token"))
+    ends = tokens.groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
+    shared = scratch.store(ends.filter("low <> high").select("token"), "shared")
+    meeting = tokens.join(bounded(shared), "token", "left_semi").select("set_id").distinct()
+    names = filled.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
+    known = scratch.store(names.join(meeting, "set_id"), "known")
+    live = scratch.store(full_sets(docs, known), "sets")
+    posted = scratch.store(postings(live, common_hashes(live)), "posted")
 
     edges: list[DataFrame] = []
     families = None
     for number in range(ROUNDS):
-        pairs = star_pairs(with_family(posted, families))
+        pairs = star_pairs(with_family(posted, families), number)
         edges.append(scratch.store(linked(pairs, live), f"links{number}"))
         families = components(union(edges), scratch, f"families{number}")
     remaining = scratch.store(with_family(posted, families), "remaining")
