@@ -24,11 +24,13 @@ same component. So a group of copies, however large, costs no more than its size
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm.common import Scratch, lower_words_of, map_rows, table
+from tickloom.llm.common import Scratch, lower_words_of, map_batches, map_rows, table
 
 WORDS = 5
 #: Documents link when ``PARTS * intersection >= NEAR * union``.
@@ -39,19 +41,23 @@ GROUP_SIZE = 32
 ROUNDS, ALIKE = 3, 0.4
 #: So many numbers at most are broadcast; beyond, the join shuffles both sides.
 BROADCAST_IDS = 4_000_000
-#: Hashes that more sets hold come last; so many of them at most, or only those in twice as many sets, and so on.
-COMMON_FROM, MOST_COMMON = 32, 1_000_000
+#: Hashes that a task meets in so many documents of one batch, and all tasks in so many documents, come last; of more
+#: than ``MOST_COMMON`` such hashes, those in twice as many documents, and so on. (They only order the others.)
+SEEN_FROM, COMMON_FROM, MOST_COMMON = 3, 24, 1_000_000
 
 
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+NONE = np.zeros(0, np.int64)
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles; of all its words as one if they are too few."""
     words = lower_words_of(text)
     if not words:
-        return np.zeros(0, np.int64)
+        return NONE
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = max(1, len(words) - WORDS + 1)
     mixed = np.full(n, min(len(words), WORDS), np.uint64)
@@ -71,13 +77,39 @@ def signature_size(n: int) -> int:
     return n - (-(-NEAR * n // PARTS)) + 1 if n else 0
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def common_hashes(docs: DataFrame, scratch: Scratch) -> np.ndarray:
+    """Hashes that many documents hold, sorted. Each task counts those of its batches, over all rows."""
+
+    def rows(batches: Iterator[list[list]]) -> Iterator[list]:
+        for (texts,) in batches:
+            found, held = np.unique(np.concatenate([NONE, *map(shingles, texts)]), return_counts=True)
+            often = held >= SEEN_FROM
+            yield [found[often], held[often]]
+
+    seen = map_batches(docs, ["text"], rows, "token long, held long")
+    totals = seen.groupBy("token").agg(F.sum("held").alias("held"))
+    often = scratch.store(totals.filter(F.col("held") >= COMMON_FROM), "often")
+    least = COMMON_FROM
+    while often.filter(F.col("held") >= least).count() > MOST_COMMON:
+        least *= 2
+    return np.sort(often.filter(F.col("held") >= least).toPandas()["token"].to_numpy(np.int64))
+
+
+def signature(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The first hashes of a sorted set, in the order that has those of ``last`` at the end."""
+    place = np.minimum(np.searchsorted(last, hashes), max(0, len(last) - 1))
+    common = last[place] == hashes if len(last) else np.zeros(len(hashes), bool)
+    return np.concatenate([hashes[~common], hashes[common]])[: signature_size(len(hashes))]
+
+
+def sketches(docs: DataFrame, last: np.ndarray) -> DataFrame:
     """Of each row: doc_id, n (size of its set), the set's name, and its signature."""
+    shared = docs.sparkSession.sparkContext.broadcast(last)
 
     def rows(texts):
         for text in texts:
             found = shingles(text)
-            yield len(found), name_of(found), found[: signature_size(len(found))]
+            yield len(found), name_of(found), signature(found, shared.value)
 
     return map_rows(docs, ["doc_id"], ["text"], rows, "n long, set_id long, signature array<long>")
 
@@ -87,6 +119,15 @@ def bounded(numbers: DataFrame) -> DataFrame:
     return F.broadcast(numbers) if numbers.count() <= BROADCAST_IDS else numbers
 
 
+def postings(filled: DataFrame, scratch: Scratch) -> DataFrame:
+    """(set_id, n, token) of the signatures, without hashes that only one set has."""
+    tokens = filled.select("set_id", "n", F.explode("signature").alias("token"))
+    twice = tokens.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
+    met = scratch.store(tokens.join(bounded(scratch.store(twice, "twice")), "token").distinct(), "met")
+    held = met.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
+    return scratch.store(met.join(held, "token"), "posted")
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id and all hashes of the sets ``wanted`` (set_id, doc_id), from the text of one document each."""
     chosen = docs.select("doc_id", "text").join(bounded(wanted).select("doc_id"), "doc_id", "left_semi")
@@ -100,48 +141,18 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return made.join(wanted, ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"]).select("set_id", "hashes")
 
 
-def common_hashes(sets: DataFrame) -> np.ndarray:
-    """Hashes in more than ``COMMON_FROM`` sets, sorted; the most common ones if these are too many."""
-    held = sets.select(F.explode("hashes").alias("token")).groupBy("token").agg(F.count("*").alias("held"))
-    often = Scratch(sets.sparkSession).store(held.filter(F.col("held") > COMMON_FROM), "often")
-    least = COMMON_FROM
-    while often.filter(F.col("held") > least).count() > MOST_COMMON:
-        least *= 2
-    return np.sort(often.filter(F.col("held") > least).toPandas()["token"].to_numpy(np.int64))
-
-
-def postings(sets: DataFrame, last: np.ndarray) -> DataFrame:
-    """(set_id, n, token) of the signatures, in the order that has the hashes ``last`` at the end.
-
-    Hashes that only one set has are left out.
-    """
-    shared = sets.sparkSession.sparkContext.broadcast(last)
-
-    def rows(lists):
-        behind = shared.value
-        for hashes in lists:
-            found = np.array(hashes, np.int64)
-            place = np.searchsorted(behind, found)
-            common = np.zeros(len(found), bool)
-            inside = place < len(behind)
-            common[inside] = behind[place[inside]] == found[inside]
-            ordered = np.concatenate([found[~common], found[common]])
-            yield len(found), ordered[: signature_size(len(found))]
-
-    signed_sets = map_rows(sets, ["set_id"], ["hashes"], rows, "n long, signature array<long>")
-    tokens = signed_sets.select("set_id", "n", F.explode("signature").alias("token"))
-    held = tokens.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
-    return tokens.join(held, "token")
-
-
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose sets link."""
+def linked(pairs: DataFrame, names: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose sets link. ``names``: a doc_id of each set_id."""
+    pairs = scratch.store(pairs, f"{name}-pairs")
+    ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    wanted = scratch.store(names.join(bounded(scratch.store(ids, f"{name}-ids")), "set_id"), f"{name}-wanted")
+    sets = scratch.store(full_sets(docs, wanted), f"{name}-sets")
     left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("right"))
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("left", "right"))
     near = PARTS * common >= NEAR * (F.size("left") + F.size("right") - common)
-    return both.filter(near).select("a", "b")
+    return scratch.store(both.filter(near).select("a", "b"), name)
 
 
 def sizes_fit(n_a: Column, n_b: Column) -> Column:
@@ -249,27 +260,20 @@ def join(docs: DataFrame) -> DataFrame:
     links with nothing; so does a row without a doc_id, whose component is null.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.store(sketches(docs), "sketches")
+    rows = scratch.store(sketches(docs, common_hashes(docs, scratch)), "sketches")
     filled = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    tokens = filled.select("set_id", F.explode("signature").alias("token"))
-    ends = tokens.groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    shared = scratch.store(ends.filter("low <> high").select("token"), "shared")
-    meeting = tokens.join(bounded(shared), "token", "left_semi").select("set_id").distinct()
+    posted = postings(filled, scratch)
     names = filled.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    known = scratch.store(names.join(meeting, "set_id"), "known")
-    live = scratch.store(full_sets(docs, known), "sets")
-    posted = scratch.store(postings(live, common_hashes(live)), "posted")
 
     edges: list[DataFrame] = []
     families = None
     for number in range(ROUNDS):
         pairs = star_pairs(with_family(posted, families), number)
-        edges.append(scratch.store(linked(pairs, live), f"links{number}"))
+        edges.append(linked(pairs, names, docs, scratch, f"links{number}"))
         families = components(union(edges), scratch, f"families{number}")
     remaining = scratch.store(with_family(posted, families), "remaining")
     members = scratch.store(grouped(remaining), "members")
-    pairs = scratch.store(open_groups(remaining, members), "opened")
-    edges.append(scratch.store(linked(pairs, live), "links"))
+    edges.append(linked(open_groups(remaining, members), names, docs, scratch, "links"))
     whole = components(union(edges), scratch, "components")
 
     named = with_family(rows.select("doc_id", "n", "set_id"), whole)
