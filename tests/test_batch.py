@@ -7,6 +7,7 @@ import pytest
 from tests.frames import bar
 from tests.test_plans import plan_of, random_rows, same
 from tickloom.operators import breadth, earnings, price, regime, risk, strength, volume
+from tickloom.operators.long_series import Profile
 from tickloom.operators.silver import SILVER
 from tickloom.plans import batch, tables
 from tickloom.sources.dictionary import COLUMNS, column_audit, with_comments
@@ -60,11 +61,36 @@ def test_bucketed_silver_needs_no_shuffle(spark, base):
         assert "Exchange" not in plan_of(build(silver, longest=1))
 
 
-def test_long_series_keep_silver_out_of_buckets(spark, base, monkeypatch):
+def test_silver_is_registered_at_every_size(spark, base, monkeypatch):
+    batch.run_all(spark, base, silver_table="silver_twice")
+    rows = spark.table("silver_twice").count()
     monkeypatch.setattr(batch, "MAX_ROWS", 10)
-    batch.run_all(spark, base, silver_table="never_made")
-    assert not spark.catalog.tableExists("never_made")
-    assert read_table(spark, base, "market_breadth").count() == 60
+    batch.run_all(spark, base, silver_table="silver_twice")
+    assert spark.table("silver_twice").count() == rows
+    same(tables.price_metrics(spark.table("silver_twice")), read_table(spark, base, "price_metrics"))
+    monkeypatch.undo()
+    batch.run_all(spark, base, silver_table="silver_twice")
+    same(tables.price_metrics(spark.table("silver_twice")), read_table(spark, base, "price_metrics"))
+
+
+def test_buckets_stay_within_the_limit(spark):
+    assert batch.bucket_count(spark, Profile(10**13, 1000, 0)) == 100_000
+    assert batch.bucket_count(spark, Profile(10**6, 2_000_000, 0)) is None
+
+
+def test_failed_write_stops_the_rest(spark, tmp_path):
+    bad = spark.range(1).selectExpr("raise_error('no') AS x")
+    frames = {str(tmp_path / "a"): bad, str(tmp_path / "b"): spark.range(3)}
+    with pytest.raises(Exception, match="no"):
+        batch._write_all(frames, writes=1)
+    assert not (tmp_path / "b").exists()
+
+
+def test_csv_with_another_header_raises(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("symbol,date,dividend\nA,2020-01-01,9\n")
+    (tmp_path / "two.csv").write_text("date,symbol,dividend\n2020-01-03,B,1\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw_csv(spark, str(tmp_path)).collect()
 
 
 def test_repeated_key_stops_the_run(spark, tmp_path):

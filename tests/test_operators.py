@@ -284,11 +284,11 @@ def test_enrichment_keeps_every_price_row_and_matches_both_tables(spark):
 def test_repeated_key_is_found_and_raises(spark):
     rows = [bar("A", 0, 1.0), bar("A", 0, 2.0), bar("A", 1, 1.0), bar(None, 0, 1.0), bar(None, 0, 1.0)]
     profile = profile_keys(bars(spark, rows))
-    assert (profile.rows, profile.longest_series, profile.most_copies) == (5, 3, 2)
+    assert (profile.rows, profile.longest_series, profile.repeated_keys) == (5, 3, 1)
     with pytest.raises(ValueError, match="must be unique"):
-        require_unique_key(profile, "prices")
-    keyless = profile_keys(bars(spark, [bar(None, 0, 1.0), bar(None, 0, 1.0), bar("A", None, 1.0)]))
-    require_unique_key(keyless, "prices")
+        require_unique_key(profile, "prices", bars(spark, rows))
+    keyless = bars(spark, [bar(None, 0, 1.0), bar(None, 0, 1.0), bar("A", None, 1.0), bar("A", None, 1.0)])
+    require_unique_key(profile_keys(keyless), "prices", keyless)
 
 
 def test_output_columns(spark):

@@ -6,8 +6,8 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.compare import TESTDATA, connect, duck_rows, spark_rows
+from tickloom import checks, oracle
 
 SF_DIR = os.path.join(TESTDATA, os.environ.get("TEST_SF", "sf0.001"))
 
@@ -18,13 +18,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(checks.QUERIES) == set(oracle.ORACLE)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(checks.QUERIES))
 def test_query_equals_oracle(spark, con, key):
-    df = entry.queries()[key](spark, SF_DIR)
-    columns, expected = duck_rows(con, entry.oracle_sql()[key])
+    df = checks.QUERIES[key](spark, SF_DIR)
+    columns, expected = duck_rows(con, oracle.ORACLE[key])
     assert sorted(df.columns) == columns
     found = spark_rows(df)
     assert len(found) == len(expected) > 0

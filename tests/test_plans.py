@@ -276,3 +276,11 @@ def test_doubling_all_prices_changes_no_return_or_flag(silver):
         (tables.market_breadth, []),
     ):
         same(build(doubled, longest=WHOLE).drop(*scaled), build(silver, longest=WHOLE).drop(*scaled))
+
+
+def test_given_index_with_a_repeated_day_raises(spark):
+    silver = bars(spark, random_rows(days=30))
+    index = tables.index_frame(silver, longest=1)
+    same(tables.relative_strength(silver, longest=1, index=index), tables.relative_strength(silver, longest=1))
+    with pytest.raises(Exception, match="more than one benchmark bar"):
+        tables.relative_strength(silver, longest=1, index=index.union(index)).collect()

@@ -3,12 +3,14 @@
 The SQL side is written separately from the library: it joins whole tables
 back together on (SYMBOL, DATE) where the library chains windows.
 
-Means over doubles depend on the order of summation, so both sides cut them to
-four digits with the same formula. Flags come from the uncut values.
+Means over doubles depend on the order of summation, so both sides cut them with
+the same formula, to four digits or, where values are small, to ten. Flags come from
+the uncut values.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,7 @@ from tickloom.sources.tables import (
     read_table,
     scratch_dir,
     table_path,
+    write_by_symbol,
     write_table,
 )
 
@@ -43,6 +46,9 @@ CUT = {
     "AVG_MARKET_VOLATILITY",
 }
 
+#: Digits kept of the columns in ``CUT``, where these are not four.
+DIGITS = {"RISK_ADJUSTED_RETURN_20D": 10}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 COLUMNS = {
@@ -81,6 +87,8 @@ COLUMNS = {
     "drift_flags": ["DRIFT_DIRECTION", "DRIFT_ALIGNMENT_FLAG"],
     "earnings_reaction": earnings.OUTPUT[2:],
     "table_roundtrip": price.OUTPUT[2:],
+    "bucketed_silver": risk.OUTPUT[2:],
+    "market_regime": regime.OUTPUT[2:],
 }
 
 
@@ -90,7 +98,8 @@ def _emit(df: DataFrame, columns: list[str]) -> DataFrame:
     def shown(name: str) -> str:
         if name == "DATE":
             return "cast(DATE AS string) AS DATE"
-        return f"floor(`{name}` * 1e4D + 0.5D) / 1e4D AS `{name}`" if name in CUT else f"`{name}`"
+        unit = f"1e{DIGITS.get(name, 4)}D"
+        return f"floor(`{name}` * {unit} + 0.5D) / {unit} AS `{name}`" if name in CUT else f"`{name}`"
 
     return df.selectExpr(*[shown(c) for c in columns])
 
@@ -125,8 +134,7 @@ def _index_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = feed.trades(spark, sf_dir)
-    index = strength.index_by_day(_index(trades))
-    return tables.relative_strength(feed.prices(trades), longest=feed.LONGEST, index=index)
+    return tables.relative_strength(feed.prices(trades), longest=feed.LONGEST, index=_index(trades))
 
 
 def _latest_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,8 +155,7 @@ def _earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = feed.trades(spark, sf_dir)
-    index = strength.index_by_day(_index(trades))
-    daily = tables.market_breadth(feed.prices(trades), longest=feed.LONGEST, index=index)
+    daily = tables.market_breadth(feed.prices(trades), longest=feed.LONGEST, index=_index(trades))
     return _emit(daily, breadth.OUTPUT)
 
 
@@ -175,8 +182,26 @@ def _roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, base_dir, "price_metrics")
 
 
+def _bucketed_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk table from a silver that is stored in buckets of the catalog."""
+    name = f"tickloom_silver_{uuid.uuid4().hex}"
+    write_by_symbol(_silver(spark, sf_dir), table_path(scratch_dir(spark), "silver"), name, 8)
+    return tables.risk_frame(spark.table(name), feed.LONGEST)
+
+
+def _row_text(name: str, kind: str) -> str:
+    """A value as text: numbers in whole units of their cut, so that both sides write them alike."""
+    if kind in ("string", "date"):
+        return f"coalesce(cast(`{name}` AS string), '-')"
+    unit = f"1e{DIGITS.get(name, 4)}D"
+    return f"coalesce(cast(cast(floor(cast(`{name}` AS double) * {unit} + 0.5D) AS bigint) AS string), '-')"
+
+
 def batch_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole run from CSV to gold, read back: rows, symbols and days of each gold table."""
+    """The whole run from CSV to gold, read back: rows, symbols, days and a checksum of each gold table.
+
+    The checksum sums 32 bits of a hash of each row, over all columns; a wrong value changes it.
+    """
     base_dir = scratch_dir(spark)
     _write_raw_csv(spark, sf_dir, base_dir)
     batch.run_all(spark, base_dir)
@@ -184,12 +209,14 @@ def batch_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in GOLD_TABLES:
         table = read_table(spark, base_dir, name)
         symbols = "count(DISTINCT SYMBOL)" if "SYMBOL" in table.columns else "0L"
+        texts = ", ".join(_row_text(c, kind) for c, kind in table.dtypes)
         summary = table.selectExpr(
             f"'{name}' AS TABLE_NAME",
             "count(*) AS ROW_COUNT",
             f"{symbols} AS SYMBOLS",
             "cast(min(DATE) AS string) AS FIRST_DAY",
             "cast(max(DATE) AS string) AS LAST_DAY",
+            f"sum(cast(conv(substring(md5(concat_ws('|', {texts})), 1, 8), 16, 10) AS bigint)) AS CHECKSUM",
         )
         found = summary if found is None else found.unionByName(summary)
     return found
@@ -270,6 +297,8 @@ _BUILDERS: dict[str, Query] = {
     "drift_flags": _earnings,
     "earnings_reaction": _earnings,
     "table_roundtrip": _roundtrip,
+    "bucketed_silver": _bucketed_risk,
+    "market_regime": _regime,
 }
 
 QUERIES: dict[str, Query] = {

@@ -8,6 +8,7 @@ from tickloom.functions.labels import compared, signed, spike
 from tickloom.functions.numeric import pct_change, ratio
 from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
+# The columns of the table, in the order of its contract.
 OUTPUT = [
     "SYMBOL",
     "DATE",

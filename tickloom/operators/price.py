@@ -9,6 +9,7 @@ from tickloom.functions.numeric import pct_change, ratio
 from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
 INPUT = ["SYMBOL", "DATE", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "CLOSE_PRICE"]
+# The columns of the table, in the order of its contract.
 OUTPUT = [
     "SYMBOL",
     "DATE",

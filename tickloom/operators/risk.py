@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from tickloom.functions.numeric import growth, ratio
 from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
+# The columns of the table, in the order of its contract.
 OUTPUT = [
     "SYMBOL",
     "DATE",

@@ -9,6 +9,7 @@ from tickloom.functions.labels import compared, signed
 from tickloom.functions.numeric import growth
 from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 
+# The columns of the table, in the order of its contract.
 OUTPUT = [
     "SYMBOL",
     "DATE",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tickloom.checks import AUDITED, COLUMNS, CUT
-from tickloom.operators import breadth
-from tickloom.sources.dictionary import COLUMNS as DESCRIBED
+from tickloom.checks import AUDITED, COLUMNS, CUT, DIGITS
+from tickloom.operators import breadth, earnings, price, regime, risk, strength, volume
+
+# Intermediate columns that the dictionary leaves out; every other audited column is described.
+UNDESCRIBED = {"INDEX_CLOSE_20D_AGO", "PREV_RS_20D"}
 
 _TRADES = """
 trades AS (
@@ -285,6 +287,8 @@ _SOURCE = {
     "drift_flags": "reaction",
     "earnings_reaction": "reaction",
     "table_roundtrip": "price",
+    "bucketed_silver": "risk",
+    "market_regime": "regime",
 }
 
 
@@ -296,7 +300,8 @@ def _shown(name: str) -> str:
     if name == "DATE":
         return 'cast("DATE" AS varchar) AS "DATE"'
     if name in CUT:
-        return f'floor("{name}" * 1e4 + 0.5e0) / 1e4 AS "{name}"'
+        unit = f"1e{DIGITS.get(name, 4)}"
+        return f'floor("{name}" * {unit} + 0.5e0) / {unit} AS "{name}"'
     return f'"{name}"'
 
 
@@ -329,11 +334,21 @@ def _audit() -> str:
         for c in AUDITED[name]:
             parts.append(
                 f"SELECT '{name}' AS \"TABLE_NAME\", '{c}' AS \"COLUMN_NAME\", count(\"{c}\") AS \"KNOWN_VALUES\", "
-                f'{str(c in DESCRIBED).lower()} AS "DESCRIBED" FROM {source}'
+                f'{str(c not in UNDESCRIBED).lower()} AS "DESCRIBED" FROM {source}'
             )
     return "\nUNION ALL ".join(parts)
 
 
+TEXT = ("SYMBOL", "DATE", "QUARTER", "RELEASE_TIME")
+
+
+def _row_text(name: str) -> str:
+    if name in TEXT or name.endswith(("_DIRECTION", "_FLAG", "_TREND", "_REGIME", "_STRENGTH_TEXT")):
+        return f"coalesce(cast(\"{name}\" AS varchar), '-')"
+    unit = f"1e{DIGITS.get(name, 4)}"
+    return f"coalesce(cast(cast(floor(cast(\"{name}\" AS double) * {unit} + 0.5e0) AS bigint) AS varchar), '-')"
+
+
 def _batch() -> str:
     tables = {
         "price_metrics": "price",
@@ -344,12 +359,23 @@ def _batch() -> str:
         "market_regime": "regime",
         "market_breadth": "breadth",
     }
+    outputs = {
+        "price_metrics": price.OUTPUT,
+        "volume_liquidity": volume.OUTPUT,
+        "earnings_reaction": earnings.OUTPUT,
+        "risk_metrics": risk.OUTPUT,
+        "relative_strength": strength.OUTPUT,
+        "market_regime": regime.OUTPUT,
+        "market_breadth": breadth.OUTPUT,
+    }
     parts = []
     for name, source in tables.items():
+        texts = ", ".join(_row_text(c) for c in outputs[name])
         symbols = "cast(0 AS bigint)" if source == "breadth" else 'count(DISTINCT "SYMBOL")'
         parts.append(
             f"SELECT '{name}' AS \"TABLE_NAME\", count(*) AS \"ROW_COUNT\", {symbols} AS \"SYMBOLS\", "
-            f'cast(min("DATE") AS varchar) AS "FIRST_DAY", cast(max("DATE") AS varchar) AS "LAST_DAY" FROM {source}'
+            f'cast(min("DATE") AS varchar) AS "FIRST_DAY", cast(max("DATE") AS varchar) AS "LAST_DAY", '
+            f"cast(sum(cast('0x' || md5(concat_ws('|', {texts}))[1:8] AS bigint)) AS bigint) AS \"CHECKSUM\" FROM {source}"
         )
     return "\nUNION ALL ".join(parts)
 

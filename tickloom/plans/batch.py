@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from queue import Empty, SimpleQueue
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.operators.long_series import MAX_ROWS, Profile, profile_keys, require_unique_key
@@ -23,14 +24,39 @@ from tickloom.sources.tables import (
 
 TYPING = {"prices": type_prices, "earnings": type_earnings, "dividends": type_dividends}
 ROWS_PER_BUCKET = 10_000_000
+# Tables written at once: each holds a shuffle of the bars while it is written.
+WRITES = 2
 
 
-def _write_all(frames: Mapping[str, DataFrame], files: int | None = None) -> None:
-    """Write independent tables as concurrent jobs, so that one fills the cores another leaves idle."""
-    with ThreadPoolExecutor(len(frames)) as pool:
-        jobs = [pool.submit(write_table, df, path, files) for path, df in frames.items()]
-        for job in jobs:
-            job.result()
+def _write_all(frames: Mapping[str, DataFrame], files: int | None = None, writes: int = WRITES) -> None:
+    """Write independent tables, ``writes`` at a time, so that one fills the cores another leaves idle.
+
+    The threads keep the caller's job group and pool. After a failure no further
+    table is begun, and the first error is raised.
+    """
+    waiting: SimpleQueue[tuple[str, DataFrame]] = SimpleQueue()
+    for item in frames.items():
+        waiting.put(item)
+    errors: list[BaseException] = []
+
+    def work() -> None:
+        while not errors:
+            try:
+                path, df = waiting.get_nowait()
+            except Empty:
+                return
+            try:
+                write_table(df, path, files)
+            except BaseException as error:
+                errors.append(error)
+
+    threads = [InheritableThread(target=work) for _ in range(min(writes, len(frames)))]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if errors:
+        raise errors[0]
 
 
 def ingest_bronze(spark: SparkSession, base_dir: str, raw_paths: Mapping[str, str] | None = None) -> None:
@@ -47,23 +73,33 @@ def typed_bronze(spark: SparkSession, base_dir: str) -> dict[str, DataFrame]:
 def build_silver(spark: SparkSession, base_dir: str, silver_table: str | None = None) -> Profile:
     """Check the keys of the three inputs, join them and write silver.
 
-    With ``silver_table`` silver is also registered under that name, in buckets
-    by SYMBOL, unless one series is so long that its bucket would be too large.
+    With ``silver_table`` silver is also registered under that name, at any size. It
+    is in buckets by SYMBOL, unless one series is so long that its bucket would
+    be too large for a task; the name is then that of a plain table, and each
+    derived table shuffles it in parts. Once registered, silver should be
+    rebuilt under the same name.
     """
     typed = typed_bronze(spark, base_dir)
     profiles = {name: profile_keys(df) for name, df in typed.items()}
     for name, profile in profiles.items():
-        require_unique_key(profile, name)
+        require_unique_key(profile, name, typed[name])
     silver = with_comments(enrich(**typed))
     path, profile = table_path(base_dir, "silver"), profiles["prices"]
-    if silver_table and profile.longest_series <= MAX_ROWS:
-        buckets = max(spark.sparkContext.defaultParallelism, -(-profile.rows // ROWS_PER_BUCKET))
-        write_by_symbol(silver, path, silver_table, buckets)
+    if silver_table:
+        write_by_symbol(silver, path, silver_table, bucket_count(spark, profile))
     else:
         write_table(silver, path)
     return profile
 
 
+def bucket_count(spark: SparkSession, profile: Profile) -> int | None:
+    """Buckets for bars of this profile, within Spark's own limit; None if a series is too long for one."""
+    if profile.longest_series > MAX_ROWS:
+        return None
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-profile.rows // ROWS_PER_BUCKET)))
+
+
 def build_gold(
     silver: DataFrame, base_dir: str, longest: int | None = None, benchmark: str = BENCHMARK, files: int | None = None
 ) -> None:
@@ -91,11 +127,10 @@ def run_all(
 ) -> None:
     """Raw CSVs to all tables below ``base_dir``.
 
-    ``silver_table`` names a catalog table for a bucketed silver; every gold
-    table is then computed without shuffling the bars again.
+    ``silver_table`` names a catalog table for a bucketed silver; every gold table
+    is then computed without shuffling the bars again (see ``build_silver``).
     """
     ingest_bronze(spark, base_dir, raw_paths)
     profile = build_silver(spark, base_dir, silver_table)
-    bucketed = silver_table and profile.longest_series <= MAX_ROWS
-    silver = spark.table(silver_table) if bucketed else read_table(spark, base_dir, "silver")
+    silver = spark.table(silver_table) if silver_table else read_table(spark, base_dir, "silver")
     build_gold(silver, base_dir, profile.longest_series, benchmark, files)

@@ -4,7 +4,8 @@ Catalyst cannot know that (SYMBOL, DATE) is unique, so joining one table's
 columns back to silver costs a shuffle per side. The tables are instead built
 by adding columns to the same frame: stacked windows on SYMBOL share a single
 shuffle. ``longest`` is the row count of the longest series where the caller
-knows it (or a bound on it); it is measured otherwise.
+knows it (or a bound on it); otherwise a job measures it while the table is
+being built, so pass it where silver is not stored.
 """
 
 from __future__ import annotations
@@ -87,11 +88,12 @@ def strength_frame(
 ) -> DataFrame:
     """Risk and strength columns with their intermediates.
 
-    ``index`` takes ready-made index returns, one row per day, in place of the benchmark's bars.
+    ``index`` takes ready-made index returns, one row per day, in place of the benchmark's
+    bars; a repeated day raises.
     """
     rows = longest_series(silver) if longest is None else longest
     parts = part_rows(silver, rows)
-    index = index_returns(silver, benchmark, rows) if index is None else index
+    index = strength.index_by_day(index_frame(silver, benchmark, rows) if index is None else index)
 
     def step(bars: DataFrame, series: Series) -> DataFrame:
         return strength.add_relative_strength(risk.add_risk_metrics(bars, series), index, series)
@@ -125,7 +127,7 @@ def breadth_frame(
     """
     rows = longest_series(silver) if longest is None else longest
     parts = part_rows(silver, rows)
-    index = index_returns(silver, benchmark, rows) if index is None else index
+    index = strength.index_by_day(index_frame(silver, benchmark, rows) if index is None else index)
     bars = silver.select(*price.INPUT)
     priced = over_series(bars, BY_SYMBOL, _with_first_of_day, price.REACH, part_rows=parts)
     keyed = add_columns(priced, {"HAS_CLOSE": "CLOSE_PRICE IS NOT NULL"})

@@ -41,8 +41,12 @@ def table_path(base_dir: str, table: str) -> str:
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with a header; every column stays text."""
-    return spark.read.csv(path, header=True, inferSchema=False)
+    """A CSV, or a folder of them, with headers; every column stays text.
+
+    The headers must name the same columns in the same order; a file with
+    another header raises when it is read, rather than give columns a wrong name.
+    """
+    return spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False)
 
 
 def read_table(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
@@ -60,14 +64,18 @@ def write_table(df: DataFrame, path: str, files: int | None = None) -> None:
     out.write.mode("overwrite").parquet(path)
 
 
-def write_by_symbol(df: DataFrame, path: str, table: str, buckets: int) -> None:
-    """Replace ``table``, stored at ``path`` in buckets by SYMBOL.
+def write_by_symbol(df: DataFrame, path: str, table: str, buckets: int | None) -> None:
+    """Replace ``table``, stored at ``path``, in buckets by SYMBOL or (None) without.
 
-    A window on SYMBOL over ``spark.table(table)`` then needs no shuffle, so
-    one shuffle here serves every derived table.
+    With buckets a window on SYMBOL over ``spark.table(table)`` needs no shuffle,
+    so one shuffle here serves every derived table. Files and catalog entry
+    change together: what is stored below a registered table is written through it.
     """
-    writer = df.repartition(buckets, "SYMBOL").write.mode("overwrite").format("parquet").option("path", path)
-    writer.bucketBy(buckets, "SYMBOL").sortBy("SYMBOL", "DATE").saveAsTable(table)
+    rows = df if buckets is None else df.repartition(buckets, "SYMBOL")
+    writer = rows.write.mode("overwrite").format("parquet").option("path", path)
+    if buckets is not None:
+        writer = writer.bucketBy(buckets, "SYMBOL").sortBy("SYMBOL", "DATE")
+    writer.saveAsTable(table)
 
 
 def scratch_dir(spark: SparkSession) -> str:
