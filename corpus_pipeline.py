@@ -17,10 +17,23 @@ from tickloom.llm.common import Scratch, table
 LEAST_SHARE = 0.3
 
 
-def with_text(docs: DataFrame, text) -> DataFrame:
-    """``docs`` with another text, and its length where the documents state one."""
-    changed = docs.withColumn("text", text)
-    return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else changed
+def restated(docs: DataFrame) -> DataFrame:
+    """``docs`` with the length of its texts, where it states one."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def apart(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns under names of no meaning, and doc_id and text besides; and these names.
+
+    So a column of the documents may have the name of one that an operator adds.
+    """
+    names = [f"__column{i}" for i in range(len(docs.columns))]
+    held = [F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)]
+    return docs.select(*held, "doc_id", "text"), names
+
+
+def named(rows: DataFrame, names: list[str], docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +41,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     The languages are learned from the documents that state one.
     """
-    spans = language_id.identify(docs, docs.columns, language_id.learn(docs))
-    found = language_id.main_language(spans, docs.columns)
+    held, names = apart(docs)
+    spans = language_id.identify(held, names, language_id.learn(docs))
+    found = language_id.main_language(spans, names)
     known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
-    return found.filter(known).select(*docs.columns)
+    return named(found.filter(known), names, docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many hold, which stay in one document each."""
-    kept = line_dedup.dedup_lines(docs, line_dedup.LineIndex.create(docs), docs.columns)
-    return with_text(kept.select(*docs.columns, "kept_text"), F.col("kept_text")).select(*docs.columns)
+    held, names = apart(docs)
+    kept = line_dedup.dedup_lines(held, line_dedup.LineIndex.create(docs), names)
+    text = names[docs.columns.index("text")]
+    return restated(named(kept.withColumn(text, F.col("kept_text")), names, docs))
 
 
 def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

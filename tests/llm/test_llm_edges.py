@@ -251,11 +251,30 @@ def test_permutation_index(spark):
 
 
 def test_clashing_columns_do_no_harm(spark, docs):
-    odd = docs.withColumns({c: F.lit("odd") for c in ("n", "size", "score", "spans", "n_words", "family", "token", "k1")})
+    odd = docs.withColumns({c: F.lit("odd") for c in ("n", "size", "score", "spans", "n_words", "family", "token", "k1", "n_lines", "kept_text", "lang_pred")})
     assert jaccard_join.join(odd).count() == len(DOCS)
     assert mixing.mix(mixing.sizes(odd)).count() == len(DOCS)
     assert mixing.mixed(odd).columns == odd.columns
     kept = line_dedup.dedup_lines(odd, line_dedup.LineIndex.create(odd), ["doc_id"])
     assert kept.count() == len(DOCS)
-    for _, stage in corpus_pipeline.STAGES[1:4]:
-        assert stage(spark, odd, "").columns == odd.columns
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, odd, "")
+        assert out.columns == odd.columns and out.count() > 0
+
+
+def test_pipeline_against_plain_steps(spark, docs, none):
+    """Each stage on small documents: what goes, what stays, and that decisions take effect."""
+    (_, languages), (_, lines), (_, near), (_, mix), (_, encode) = corpus_pipeline.STAGES
+    told = languages(spark, docs, "")
+    assert {r["doc_id"] for r in told.collect()} == {r[0] for r in DOCS} - {1, 2, 7}
+    deduped = lines(spark, told, "")
+    texts = {r["doc_id"]: r["text"] for r in deduped.collect()}
+    assert texts[10] == "own 10" and texts[15].endswith(LINE)
+    kept = near(spark, deduped, "")
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert 20 in ids and not {21, 22} & set(ids) and ids.count(24) == 2 and None in ids
+    mixed = mix(spark, kept, "")
+    assert mixed.columns == docs.columns and mixed.count() > 0
+    assert all(r["round_trip"] for r in encode(spark, mixed, "").collect())
+    for stage in (languages, lines, near, mix, encode):
+        assert stage(spark, none, "").collect() == []
