@@ -250,6 +250,24 @@ def test_permutation_index(spark):
     assert permutation_index.search(table.filter("vec_id >= 300"), table).collect() == []
 
 
+def test_permutation_index_of_unequal_lengths_is_exact(spark):
+    """More distinct vectors than are reranked at first, and the true neighbours are long ones at a moderate angle."""
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(3000, 32))
+    vectors *= np.exp(rng.normal(size=(3000, 1))) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = vectors.astype(np.float32).astype(np.float64)
+    vectors[1500:1540] = vectors[np.argmax(np.linalg.norm(vectors, axis=1))]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    found: dict[int, dict[int, int]] = {}
+    for r in permutation_index.search(table, table.filter("vec_id % 20 = 0")).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert set(found) == set(range(0, 3000, 20))
+    for query, own in found.items():
+        score = (vectors * vectors[query]).sum(axis=1)
+        score[query] = -np.inf
+        assert [own[k] for k in range(1, 21)] == np.lexsort((np.arange(3000), -score))[:20].tolist()
+
+
 def test_clashing_columns_do_no_harm(spark, docs):
     odd = docs.withColumns({c: F.lit("odd") for c in ("n", "size", "score", "spans", "n_words", "family", "token", "k1", "n_lines", "kept_text", "lang_pred")})
     assert jaccard_join.join(odd).count() == len(DOCS)

@@ -4,6 +4,8 @@ Pivots are a sample of the vectors. A vector is represented by its nearest
 pivots in order, and posted under each of them with its place in that order.
 A query reads the postings of its own pivots, ranks vectors by Spearman's
 footrule between the two orders, and reranks the first of them by inner product.
+The last of the nearest among these then bounds the others: each vector long
+enough to reach that score is compared as well, so nothing that is nearer is left out.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ PIVOTS, LENGTH, READ = 128, 96, 32
 NEAREST = 20
 #: Vectors of one shard of the index, on average, and queries of one block.
 SHARD_ROWS, BLOCK_ROWS = 8192, 2048
-#: Share of a shard's distinct vectors that is reranked, and the least number of them.
+#: Share of a shard's distinct vectors that is reranked first, and the least number of them.
 RERANKED, LEAST_RERANKED = 0.25, 400
+#: Rounding of a product of two vectors, as a share of the product of their lengths, is far below this.
+SLACK = 1e-9
 EVERY = 20
 
 
@@ -73,15 +77,18 @@ def search_shard(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("vec_id", kind="stable")
     ids, vectors = rows["vec_id"].to_numpy(np.int64), np.stack(rows["embedding"].to_numpy())
     _, first, own = np.unique(vectors, axis=0, return_index=True, return_inverse=True)
-    own = own.reshape(-1)
+    # The longest come first, so those that can reach a score are a slice.
+    length = np.linalg.norm(vectors[first], axis=1)
+    longest = np.argsort(-length, kind="stable")
+    first, length, own = first[longest], length[longest], np.argsort(longest)[own.reshape(-1)]
     members = ids[np.argsort(own, kind="stable")]
     edge = np.concatenate([[0], np.cumsum(np.bincount(own))])
     distinct, order = vectors[first], np.stack(rows["pivots"].to_numpy())[first]
-    count, length = order.shape
+    count, width = order.shape
     # Postings: for each pivot, the vectors near it and its place in their orders.
     flat = np.argsort(order.ravel(), kind="stable")
     bounds = np.searchsorted(order.ravel()[flat], np.arange(PIVOTS + 1))
-    posted, placed = flat // length, flat % length
+    posted, placed = flat // width, flat % width
     few = min(count, max(LEAST_RERANKED, int(np.ceil(RERANKED * count))))
     out: tuple[list, list, list] = ([], [], [])
     sizes = np.diff(edge)
@@ -90,11 +97,19 @@ def search_shard(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         gap = np.zeros(count)
         for place, pivot in enumerate(pivots[:READ]):
             low, high = bounds[pivot], bounds[pivot + 1]
-            gap[posted[low:high]] += np.abs(placed[low:high] - place) - (length - place)
+            gap[posted[low:high]] += np.abs(placed[low:high] - place) - (width - place)
         near = np.argpartition(gap, few - 1)[:few] if few < count else np.arange(count)
         if few < count:  # vectors that tie with the last are all reranked
             near = np.flatnonzero(gap <= gap[near].max())
-        score = (distinct[near] * np.asarray(vector)).sum(axis=1)
+        vector = np.asarray(vector)
+        score = (distinct[near] * vector).sum(axis=1)
+        if few < count:
+            # Not above |v| |q|, so beyond the slice none reaches the last of the nearest; in it the product tells.
+            least = np.partition(score, -(NEAREST + 1))[-(NEAREST + 1)]
+            reach = length * np.linalg.norm(vector) * (1 + SLACK)
+            able = np.searchsorted(-reach, -least, side="right")
+            near = np.flatnonzero(distinct[:able] @ vector >= least - SLACK * reach[:able])
+            score = (distinct[near] * vector).sum(axis=1)
         if len(score) > NEAREST + 1:
             least = np.partition(score, -(NEAREST + 1))[-(NEAREST + 1)]
             near, score = near[score >= least], score[score >= least]
