@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import jaccard_join, language_id, line_dedup, mixing, unigram
-from tickloom.llm.common import Scratch, table
+from tickloom.llm.common import Scratch, table, with_row_key
 
 #: A document needs at least this share of its letters in its main language.
 LEAST_SHARE = 0.3
@@ -57,13 +57,22 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: that of the least doc_id.
+    """One document of each component of near copies: that of the least row key.
 
-    Of rows that repeat a doc_id, all stay or go together. Rows without a doc_id stay.
+    So one without a doc_id comes first, then the least doc_id, then further texts of a
+    doc_id. Rows that repeat doc_id and text are one document and stay or go together;
+    of rows without a doc_id that repeat a text with words, one stays.
     """
-    found = Scratch(spark).store(jaccard_join.join(docs), "components")
-    copies = found.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    scratch = Scratch(spark)
+    held, names = apart(docs)
+    keyed = with_row_key(held, scratch)
+    found = scratch.store(jaccard_join.join(keyed.select(F.col("__row").alias("doc_id"), "text")), "components")
+    copies = found.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__row")).distinct()
+    kept = keyed.join(copies, "__row", "left_anti")
+    unnamed = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
+    row = F.struct(*names)
+    single = kept.filter(unnamed).groupBy("__row").agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return named(kept.filter(~unnamed), names, docs).union(named(single, names, docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

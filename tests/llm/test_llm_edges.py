@@ -280,6 +280,15 @@ def test_clashing_columns_do_no_harm(spark, docs):
         assert out.columns == odd.columns and out.count() > 0
 
 
+def test_near_copies_of_repeated_and_null_ids_leave_one(spark):
+    """Doc 2 occurs with a copy of doc 1 and with the text of another group, which keeps one of its own."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, one), (2, one), (2, two), (3, two), (4, two), (5, one), (None, three), (None, three), (6, three), (None, "")]
+    docs = documents(spark, [(i, text, "en", "s") for i, text in [*rows, (None, ""), (7, None)]])
+    kept = sorted(r["text"] or "" for r in corpus_pipeline.join_near(spark, docs, "").collect())
+    assert kept == ["", "", "", one, two, three]
+
+
 def test_pipeline_against_plain_steps(spark, docs, none):
     """Each stage on small documents: what goes, what stays, and that decisions take effect."""
     (_, languages), (_, lines), (_, near), (_, mix), (_, encode) = corpus_pipeline.STAGES

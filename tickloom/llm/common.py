@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tickloom.sources.tables import scratch_dir
@@ -34,6 +34,28 @@ class Scratch:
         return stored(df, f"{self.root}/{name}")
 
 
+#: Row keys of rows that their doc_id does not name lie beyond this, on either side.
+FAR = 1 << 62
+
+
+def with_row_key(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with ``__row``, equal only for rows equal in doc_id and text.
+
+    It is the doc_id where that has one text. Where it has several, that holds for one
+    of them, and the others get hashes above ``FAR``. Rows without a doc_id get hashes
+    below ``-FAR``, so that they come first, as nulls do.
+    """
+    text = F.xxhash64("text")
+    texts = docs.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id"))
+    texts = texts.agg(F.min(text).alias("__first"), F.max(text).alias("__last")).filter("__first <> __last")
+    shared = scratch.store(texts.select("__id", "__first"), "shared_ids")
+    none = -FAR - 1 - F.shiftrightunsigned(text, 2)
+    other = FAR + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    key = F.when(F.col("doc_id").isNull(), none).when(F.col("__first") != text, other).otherwise(F.col("doc_id").cast("long"))
+    joined = docs.join(shared, F.col("doc_id") == F.col("__id"), "left")
+    return joined.withColumn("__row", key).drop("__id", "__first")
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The runs of characters other than ``[\\x20\\x09-\\x0D]``, as UTF-8."""
     return text.encode().split() if text else []
