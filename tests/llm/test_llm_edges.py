@@ -228,6 +228,20 @@ def test_mixing(docs, none):
     assert mixing.sizes(mixed).agg(F.sum("size")).first()[0] == pytest.approx(sum(r["taken"] for r in rows), abs=50)
 
 
+def test_mixing_reaches_the_targets_without_ids(spark):
+    """Equal sizes in sources of unequal targets; rows without a doc_id, of a repeated one, and copies of one row."""
+    rows = [(None, " ".join(f"{s}{i}w{k}" for k in range(50)), "en", s) for s in "abc" for i in range(40)]
+    rows += [(9, " ".join(f"{s}w{k}" for k in range(50)), "en", s) for s in "abc"] + [rows[0]] * 3
+    docs = documents(spark, rows)
+    targets = {r["source"]: r["target"] for r in mixing.source_targets(mixing.sizes(docs)).collect()}
+    assert max(targets.values()) > 1.9 * min(targets.values())
+    mixed = mixing.mixed(docs).collect()
+    for source, target in targets.items():
+        own = [len(r["text"].split()) for r in mixed if r["source"] == source]
+        assert abs(sum(own) - target) <= 2 * mixing.BLOCK_WORDS
+        assert sum(n < 50 for n in own) <= 1
+
+
 def test_permutation_index(spark):
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(300, 8))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from tickloom.llm.common import Scratch, table
+from tickloom.llm.common import Scratch, table, with_row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the white space before it.
@@ -83,7 +83,12 @@ def quotas(claims: DataFrame, group: list[str], key: str, votes: Column, seats:
 
 
 def mix(sized: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target and ``taken`` of each row of ``sizes``.
+    """doc_id, size, source_size, target and ``taken`` of each row of ``sizes``."""
+    return dealt(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def dealt(sized: DataFrame) -> DataFrame:
+    """The rows of ``sized``, which may have more columns than ``sizes``, with source_size, target and ``taken``.
 
     Blocks go to sources by quota, and a source's blocks to its shards by quota.
     A shard is its documents in seeded order, one after the other, cut into
@@ -99,15 +104,15 @@ def mix(sized: DataFrame) -> DataFrame:
     seeded = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     number = F.conv(F.substring("seeded", 1, 8), 16, 10).cast("long")
     planned = planned.withColumnRenamed("source", "of")
-    dealt = (
+    seated = (
         sized.join(planned, F.col("source").eqNullSafe(F.col("of")))
         .withColumn("seeded", seeded)
         .withColumn("shard", number % F.greatest(F.col("n_shards"), F.lit(1)))
     )
-    shards = dealt.groupBy("place", "shard").agg(F.sum("size").alias("shard_size"), F.max("blocks").alias("blocks"))
+    shards = seated.groupBy("place", "shard").agg(F.sum("size").alias("shard_size"), F.max("blocks").alias("blocks"))
     by_shard = quotas(shards, ["place"], "shard", F.col("shard_size"), F.coalesce("blocks", F.lit(0)))
     in_order = W.partitionBy("place", "shard").orderBy("seeded", "doc_id", "size")
-    placed = dealt.join(by_shard, ["place", "shard"], "left").withColumns(
+    placed = seated.join(by_shard, ["place", "shard"], "left").withColumns(
         {
             "end": F.sum("size").over(in_order.rowsBetween(W.unboundedPreceding, 0)),
             "shard_size": F.sum("size").over(W.partitionBy("place", "shard")),
@@ -119,9 +124,9 @@ def mix(sized: DataFrame) -> DataFrame:
     taken = (
         placed.withColumn("words", words)
         .withColumn("times", F.when(F.col("shard_size") > 0, F.expr("words div shard_size")).otherwise(0))
-        .withColumn("taken", F.col("times") * F.col("size") + part)
+        .withColumn("taken", (F.col("times") * F.col("size") + part).cast("long"))
     )
-    return taken.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    return taken.select(*sized.columns, "source_size", "target", "taken")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,17 +195,40 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself, with the columns of ``docs``: each row as often as it is taken.
 
     A row taken in part holds its first words. Rows that the mix does not take, and
-    rows without words, are left out. Repeated rows of one doc_id share their number of words.
+    rows without words, are left out. Each row is dealt by itself, under its row key; rows
+    of one key are numbered over all sources, and those behind the first have a hash of key
+    and number instead.
     """
-    sized = Scratch(docs.sparkSession).store(sizes(docs).groupBy("doc_id", "source", "size").count(), "sizes")
-    each = sized.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("copy"))
-    found = mix(each.select("doc_id", "source", "size"))
-    plan = found.groupBy("doc_id", "size").agg((F.sum("taken") / F.count("*")).alias("taken"))
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.ceil("taken").alias("__taken"))
-    words = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
-    joined = docs.withColumn("__words", words).join(
-        plan, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size"))
+    scratch = Scratch(docs.sparkSession)
+    keyed = with_row_key(docs, scratch)
+    counted = sizes(keyed.withColumn("doc_id", F.col("__row"))).groupBy("doc_id", "source", "size").count()
+    before = W.partitionBy("doc_id").orderBy("source").rowsBetween(W.unboundedPreceding, -1)
+    counted = counted.withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    number = F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("number")
+    each = counted.select(F.col("doc_id").alias("row"), "source", "size", "before", number)
+    place = F.col("before") + F.col("number")
+    each = each.withColumn("doc_id", F.when(place == 1, F.col("row")).otherwise(F.xxhash64("row", place)))
+    each = scratch.store(each.drop("before"), "sizes")
+    found = dealt(each)
+    plan = scratch.store(
+        found.filter("taken > 0").select(
+            F.col("row").alias("__id"),
+            F.col("source").alias("__source"),
+            F.col("size").alias("__words"),
+            F.col("number").alias("__number"),
+            F.col("taken").alias("__taken"),
+        ),
+        "plan",
     )
+    # Rows are numbered only where a key and source have several; the others join as they are.
+    again = each.filter("number > 1").select(F.col("row").alias("__id"), F.col("source").alias("__source"))
+    again = scratch.store(again.distinct(), "again")
+    own = (F.col("__row") == F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
+    row = F.to_json(F.struct(*[F.col(c) for c in docs.columns if c != "text"]))
+    repeated = keyed.join(again, own, "left_semi")
+    repeated = repeated.withColumn("__at", F.row_number().over(W.partitionBy("__row", "source").orderBy(row)))
+    once = keyed.join(again, own, "left_anti").join(plan, own)
+    joined = once.unionByName(repeated.join(plan, own & (F.col("__at") == F.col("__number"))).drop("__at"))
     times = F.ceil(F.col("__taken") / F.col("__words")).cast("int")
     rows = joined.filter("__taken > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), times)))
     left = F.col("__taken") - (F.col("__copy") - 1) * F.col("__words")
