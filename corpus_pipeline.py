@@ -39,10 +39,14 @@ def named(rows: DataFrame, names: list[str], docs: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language. Those without letters or without a main language go.
 
-    The languages are learned from the documents that state one.
+    The languages are learned from the documents that state one. Where none does, no
+    language can be told, and every document with a letter stays.
     """
+    model = language_id.learn(docs)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     held, names = apart(docs)
-    spans = language_id.identify(held, names, language_id.learn(docs))
+    spans = language_id.identify(held, names, model)
     found = language_id.main_language(spans, names)
     known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
     return named(found.filter(known), names, docs)

@@ -303,6 +303,13 @@ def test_near_copies_of_repeated_and_null_ids_leave_one(spark):
     assert kept == ["", "", "", one, two, three]
 
 
+def test_pipeline_keeps_texts_with_letters_where_no_language_is_stated(spark, docs):
+    unstated = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, unstated, "")
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in DOCS} - {1, 2, 7}
+
+
 def test_pipeline_against_plain_steps(spark, docs, none):
     """Each stage on small documents: what goes, what stays, and that decisions take effect."""
     (_, languages), (_, lines), (_, near), (_, mix), (_, encode) = corpus_pipeline.STAGES
