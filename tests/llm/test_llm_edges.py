@@ -94,6 +94,20 @@ def test_line_dedup_and_its_reverse(spark, docs, none):
     assert line_dedup.dedup_lines(none, line_dedup.LineIndex.create(none), ["doc_id"]).collect() == []
 
 
+def test_lines_count_documents_and_not_rows(spark):
+    """A line in doc_ids 1 to 3, one of them three times, and in rows without one; and a line in five doc_ids."""
+    few, many = "a line of only three documents, one of them repeated", "a line of five documents that goes from four"
+    rows = [(i, few) for i in (1, 2, 3, 3, 3)] + [(i, f"{few}\n{many}") for i in (None, None)] + [(i, many) for i in range(4, 9)]
+    docs = documents(spark, [(i, text, "en", "a") for i, text in [*rows, (None, f"own\n{many}")]])
+    index = line_dedup.LineIndex.create(docs)
+    kept = line_dedup.dedup_lines(docs, index, ["doc_id"]).collect()
+    found = sorted((r["doc_id"] or 0, r["kept_text"], r["n_dropped"]) for r in kept)
+    own = [(0, few, 1), (0, few, 1), (0, "own", 1)]
+    assert found == [*own, (1, few, 0), (2, few, 0), *[(3, few, 0)] * 3, *((i, "", 1) for i in range(4, 8)), (8, many, 0)]
+    # One row of keys for the two texts that rows without a doc_id have, not one for all of them.
+    assert index.drops().filter("doc_id IS NULL").count() == 2
+
+
 def test_cuckoo_filter_holds_and_forgets():
     keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 3000)
     made = line_dedup.CuckooFilter.of(keys)

@@ -4,7 +4,8 @@ A line's key is the line without white space at its ends and with A-Z in lower
 case; keys of ``MIN_CHARS`` code points and more count. The reference table has
 one row per key and document, with the number of rows that hold it. Inserting
 adds to these numbers and deleting takes away, so that a deleted document leaves
-no trace. Keys in at least ``MIN_DOCS`` documents are hot. Each shard of the hot
+no trace. Keys in at least ``MIN_DOCS`` documents are hot; rows of one doc_id are one
+document, and rows without a doc_id lose hot lines but make none hot. Each shard of the hot
 keys has a cuckoo filter, which tells nearly all other lines apart without a join
 and can forget a key that is hot no longer.
 """
@@ -17,7 +18,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.llm.common import Scratch, map_batches, map_rows, table
 
@@ -27,6 +28,8 @@ WHITE = b" \t\n\v\f\r"
 SHARD_KEYS = 50_000
 #: Filters beyond so many bytes are not sent to the executors; lines of their shards all go to the join.
 FILTER_BYTES = 32 << 20
+#: Keys in enough rows are sent to the executors up to this number of them.
+BROADCAST_KEYS = 500_000
 
 KEY = ["k1", "k2"]
 MASK = (1 << 64) - 1
@@ -117,31 +120,41 @@ class CuckooFilter:
         return ((self.cells[one] == mark[:, None]) | (self.cells[two] == mark[:, None])).any(axis=1)
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """(k1, k2, doc_id, n): one row with n = 1 for each row of ``docs`` and key in its text.
+def own_text() -> Column:
+    """A hash of the text where there is no doc_id, and 0 elsewhere: such rows are told apart by their texts."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).cast("long")
 
-    Each row counts as a document, repeated rows too.
-    """
+
+def references(docs: DataFrame) -> DataFrame:
+    """(k1, k2, doc_id, own, n): one row with n = 1 for each row of ``docs`` and key in its text."""
 
     def rows(batches):
-        for ids, texts in batches:
-            out: tuple[list, ...] = ([], [], [])
-            for doc_id, text in zip(ids, texts, strict=True):
+        for ids, owns, texts in batches:
+            out: tuple[list, ...] = ([], [], [], [])
+            for doc_id, own, text in zip(ids, owns, texts, strict=True):
                 for key in {line_key(x) for x in (text or "").encode().split(b"\n")} - {None}:
-                    for column, value in zip(out, (*key, doc_id), strict=True):
+                    for column, value in zip(out, (*key, doc_id, own), strict=True):
                         column.append(value)
             yield [*out, [1] * len(out[0])]
 
-    return map_batches(docs, ["doc_id", "text"], rows, "k1 long, k2 long, doc_id long, n long")
+    told = docs.select("doc_id", own_text().alias("own"), "text")
+    return map_batches(told, ["doc_id", "own", "text"], rows, "k1 long, k2 long, doc_id long, own long, n long")
 
 
-def hot_keys(refs: DataFrame) -> DataFrame:
+def hot_keys(refs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Keys in ``MIN_DOCS`` documents and more, with the largest doc_id that holds them.
 
     Sums and maxima combine before the shuffle, so a line that all documents
-    share is one row per map task. A null doc_id is below all others.
+    share is one row per map task. Only keys in ``MIN_DOCS`` rows and more have their
+    documents told apart, each by its own key and doc_id.
     """
-    totals = refs.groupBy(*KEY).agg(F.sum("n").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    of_docs = refs.filter(F.col("doc_id").isNotNull())
+    often = of_docs.groupBy(*KEY).agg(F.sum("n").alias("n_rows")).filter(F.col("n_rows") >= MIN_DOCS)
+    often = scratch.store(often.select(*KEY), name)
+    if often.count() <= BROADCAST_KEYS:
+        often = F.broadcast(often)
+    each = of_docs.select(*KEY, "doc_id").join(often, KEY, "left_semi").distinct()
+    totals = each.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
     return totals.filter(F.col("n_docs") >= MIN_DOCS)
 
 
@@ -206,7 +219,7 @@ class LineIndex:
     def create(cls, docs: DataFrame) -> LineIndex:
         scratch = Scratch(docs.sparkSession)
         refs = scratch.store(references(docs), "refs0")
-        hot = scratch.store(hot_keys(refs), "hot0")
+        hot = scratch.store(hot_keys(refs, scratch, "often0"), "hot0")
         shards = max(1, -(-hot.count() // SHARD_KEYS))
         return cls(refs, hot, scratch.store(build_filters(hot, shards), "filters0"), shards, scratch)
 
@@ -219,9 +232,9 @@ class LineIndex:
 
     def _with(self, changes: DataFrame) -> LineIndex:
         version, store = self.version + 1, self.scratch.store
-        merged = self.refs.union(changes).groupBy(*KEY, "doc_id").agg(F.sum("n").alias("n"))
+        merged = self.refs.union(changes).groupBy(*KEY, "doc_id", "own").agg(F.sum("n").alias("n"))
         refs = store(merged.filter(F.col("n") > 0), f"refs{version}")
-        hot = store(hot_keys(refs), f"hot{version}")
+        hot = store(hot_keys(refs, self.scratch, f"often{version}"), f"hot{version}")
         filters = store(change_filters(self.filters, hot, self.hot, self.shards), f"filters{version}")
         return replace(self, refs=refs, hot=hot, filters=filters, version=version)
 
@@ -237,7 +250,7 @@ class LineIndex:
         return {r["shard"]: r["cells"] for r in self.filters.filter(F.col("shard").isin(taken)).collect()}
 
     def drops(self) -> DataFrame:
-        """(doc_id, keys): the keys that each document loses; documents without any have no row.
+        """(doc_id, own, keys): the keys that each document loses; documents without any have no row.
 
         The filters pass all hot keys and few others. The join that follows is
         exact; adaptive execution splits the rows of a very common key.
@@ -253,11 +266,11 @@ class LineIndex:
                     maybe[at] = held.holds(frame["k1"].to_numpy()[at])
                 yield frame[maybe]
 
-        numbered = self.refs.select(*KEY, F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"))
+        numbered = self.refs.select(*KEY, "own", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"))
         passed = numbered.mapInPandas(probe, numbered.schema)
         doc_id = F.when(F.col("none"), None).otherwise(F.col("id"))
         lost = passed.join(self.hot, KEY).withColumn("doc_id", doc_id).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-        return lost.groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("keys"))
+        return lost.groupBy("doc_id", "own").agg(F.collect_set(F.struct(*KEY)).alias("keys"))
 
 
 def without_lines(text: str | None, keys: list) -> tuple[str, int, int]:
@@ -276,8 +289,10 @@ def dedup_lines(docs: DataFrame, index: LineIndex, keep: list[str]) -> DataFrame
     null text is an empty line. Documents have one row of ``drops`` at most, so
     rows neither go nor multiply.
     """
-    drops = index.drops().select(F.col("doc_id").alias("__dropped_from"), F.col("keys").alias("__keys"))
-    marked = docs.join(drops, F.col("doc_id").eqNullSafe(F.col("__dropped_from")), "left")
+    drops = index.drops()
+    drops = drops.select(F.col("doc_id").alias("__from"), F.col("own").alias("__from_own"), F.col("keys").alias("__keys"))
+    same = F.col("doc_id").eqNullSafe(F.col("__from")) & (F.col("__own") == F.col("__from_own"))
+    marked = docs.withColumn("__own", own_text()).join(drops, same, "left")
 
     def rows(texts, lists):
         return (without_lines(text, keys) for text, keys in zip(texts, lists, strict=True))
