@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -110,3 +113,44 @@ def map_batches(
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return df.select(*given).mapInArrow(run, schema)
+
+
+#: Bytes of the texts (or of other values) that a worker holds as Python objects at once, besides one longer value.
+SLICE_BYTES = 2_000_000
+
+
+def slices_of(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of rows in order, each of about ``most`` bytes of the texts or binary values in ``column``."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+    group = (np.cumsum(sizes) - sizes) // most
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
+    for start, end in zip(edges, edges[1:], strict=False):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def int_lists(values: list[bytes]) -> pa.ListArray:
+    """Each value, little-endian 32-bit integers, as a list; no integer becomes a Python object."""
+    ends = np.cumsum([0, *map(len, values)]) // 4
+    flat = np.frombuffer(b"".join(values), "<i4")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+
+class Remembered(dict):
+    """Values of words by word, up to about ``most`` bytes in all. Beyond that the older half goes."""
+
+    def __init__(self, most: int, overhead: int = 200):
+        super().__init__()
+        self.most, self.overhead, self.held = most, overhead, 0
+
+    def make_room(self) -> None:
+        """To be called between slices: words in use stay until then."""
+        if self.held > self.most:
+            for word in list(islice(self, len(self) // 2)):
+                del self[word]
+            self.held //= 2
+
+    def learn(self, words: list, values: list, sizes: int) -> None:
+        """``sizes``: bytes of the words and values together."""
+        self.update(zip(words, values, strict=True))
+        self.held += sizes + self.overhead * len(words)

@@ -12,6 +12,7 @@ from tickloom.llm import (
     quality_classifier,
     quality_rules,
     secrets,
+    token_orc,
     unigram,
 )
 
@@ -26,5 +27,6 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
+    "op11_token_orc": token_orc.op11_token_orc,
 }
 ORACLE = {"op4_line_dedup": line_dedup.OP4_SQL, "op9_jaccard_join": jaccard_join.OP9_SQL, "op10_mixing": mixing.OP10_SQL}
