@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickloom.llm import (
+    cover_tree,
     jaccard_join,
     language_id,
     licenses,
@@ -28,5 +29,11 @@ QUERIES = {
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
     "op11_token_orc": token_orc.op11_token_orc,
+    "op12_cover_tree": cover_tree.op12_cover_tree,
+}
+ORACLE = {
+    "op4_line_dedup": line_dedup.OP4_SQL,
+    "op9_jaccard_join": jaccard_join.OP9_SQL,
+    "op10_mixing": mixing.OP10_SQL,
+    "op12_cover_tree": cover_tree.OP12_SQL,
 }
-ORACLE = {"op4_line_dedup": line_dedup.OP4_SQL, "op9_jaccard_join": jaccard_join.OP9_SQL, "op10_mixing": mixing.OP10_SQL}
