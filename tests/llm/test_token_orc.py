@@ -7,6 +7,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyarrow import orc
 from tokenizers import Tokenizer
@@ -86,17 +87,33 @@ def test_random_texts_word_by_word(tmp_path):
     draw = random.Random(5)
     texts = ["".join(draw.choices(marks, k=draw.randrange(60))) for _ in range(3_000)]
     texts += ["a<|endoftext|>b", "<|endoftext|><|startoftext|>", " <|endoftext|> "]
-    for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<i4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    visible = "".join(map(chr, range(32, 127)))
+    texts += ["".join(draw.choices(visible, k=draw.randrange(90))) for _ in range(3_000)]
+    texts += ["".join(draw.choices("'srtvemld <|A.", k=draw.randrange(60))) for _ in range(3_000)]
+    texts += ["H\u0331 h\u0331 <|ENDOFTEXT|> <|endoftext|>X", "\x00 \x7f a\x01b", "y" * 1_000]
+    latin = visible + "".join(map(chr, [*range(0xA1, 0x180), *range(0x2010, 0x2028)])) + " \t\x0b"
+    texts += ["".join(draw.choices(latin, k=draw.randrange(90))) for _ in range(6_000)]
+    texts += [c + x for c in latin for x in ("a", "'S", "9", " ", "")]
+    for text, ids in zip(texts, encoded(encoder, texts), strict=True):
+        assert ids == tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def encoded(encoder, texts):
+    flat, sizes = encoder.encode(pa.array(texts, pa.string()))
+    assert len(flat) == sizes.sum()
+    return [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] if len(texts) else []
 
 
 def test_remembered_words_stay_within_their_bound():
     encoder = token_orc.WordEncoder(Path(token_orc.MODEL).read_text(encoding="utf-8"))
-    encoder.known.most = 50_000
+    encoder.words.most = encoder.runs.most = 50_000
     for i in range(40):
-        encoder.encode([" ".join(f"word{i}x{j}" for j in range(100))])
-        assert encoder.known.held < 100_000
-    assert 0 < len(encoder.known) < 1_000
+        for mark in ("", "漢"):
+            encoded(encoder, [" ".join(f"{mark}word{i}x{j}q" for j in range(100)), "z" * 9_000, None, ""])
+        assert encoder.words.held < 120_000 and encoder.runs.held < 120_000
+    for known in (encoder.words, encoder.runs):
+        assert 0 < len(known) < 1_000 and all(len(w) < 20 for w in known)
+    assert encoded(encoder, []) == [] and encoded(encoder, [None, ""]) == [[], []]
 
 
 def test_files_hold_indexes_and_stripes(spark, tmp_path, monkeypatch):
@@ -133,8 +150,6 @@ def test_a_filter_by_doc_id_skips_stripes(spark, tmp_path, monkeypatch):
 
 @pytest.mark.parametrize("most", [1, 100, 10_000])
 def test_slices_hold_every_row_once(most):
-    import pyarrow as pa
-
     texts = ["x" * (i % 300) if i % 5 else None for i in range(500)]
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
     assert [t for s in slices_of(batch, "text", most) for t in s.column("text").to_pylist()] == texts

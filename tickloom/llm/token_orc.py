@@ -19,31 +19,57 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from tickloom.llm.common import Remembered, Scratch, int_lists, slices_of, table
+from tickloom.llm.common import Remembered, Scratch, slices_of, table
 
 MODEL = "/opt/tokenizers/word_bpe_49k.json"
 #: The id that ends each document.
 END = 2
 #: Bytes of a stripe before compression, rows of an index group, and share of false hits of a Bloom filter.
 STRIPE_BYTES, INDEX_ROWS, FALSE_HITS = 16 << 20, 1_000, 0.01
-#: Bytes of words and their ids that a worker remembers, and the longest word that it does.
-REMEMBERED, LONGEST = 48 << 20, 256
-
+#: Bytes of runs, and of words, with their ids that a worker remembers, and the longest word that it does.
+REMEMBERED, LONGEST = 96 << 20, 256
+#: Letters that are one character in every form and whose lower case is another of them, or their own:
+#: those of ASCII, Latin-1 and Latin Extended-A, without the dotted capital I.
+_LOWER = r"a-z\x{df}-\x{f6}\x{f8}-\x{ff}\x{101}-\x{12f}\x{131}-\x{17f}"
+_UPPER = r"A-Z\x{c0}-\x{d6}\x{d8}-\x{de}\x{100}"
+#: Marks outside ASCII that are neither letters nor numbers, nor parts of others.
+_MARKS = r"\x{a1}\x{ab}\x{bb}\x{bf}\x{2013}\x{2014}\x{2018}-\x{201d}\x{2026}"
+#: What a plain text does not hold: other characters, and the start of a special token.
+NOT_PLAIN = rf"[^\x09-\x0d\x20-\x7e{_LOWER}{_UPPER}{_MARKS}]|<\|"
+#: What the vocabulary merges by itself, in lower case. The endings after an apostrophe.
+RUNS = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[0-9]|[^\x09-\x0d\x200-9{_LOWER}]+"
+
+#: Values one after the other, and how many belong to each row.
+Lists = tuple[np.ndarray, np.ndarray]
 SCHEMA = "doc_id long, part int, at long, n_tokens int, ids array<int>"
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: its own if visible, else one from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(0x100) if b not in own]
+    return [chr(b) if b in own else chr(0x100 + other.index(b)) for b in range(0x100)]
+
+
+LETTERS = str.maketrans(dict(enumerate(byte_letters())))
+
+
 class WordEncoder:
-    """Ids of texts as little-endian 32-bit integers.
+    """Ids of texts as 32-bit integers.
 
     This vocabulary drops white space and merges nothing across it, so that a text's ids are
-    those of its words one after the other. Each word is encoded once and remembered.
+    those of its words one after the other. In a text of ``PLAIN`` characters normalising is
+    lower case alone, and the words fall into ``RUNS`` that the vocabulary's model merges by themselves. So each run,
+    and in other texts each word, is encoded once and remembered.
     """
 
     def __init__(self, vocabulary: str):
@@ -51,25 +77,58 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.known = Remembered(REMEMBERED)
+        self.model = self.tokenizer.model
+        self.runs, self.words = Remembered(REMEMBERED), Remembered(REMEMBERED)
+
+    def _of_runs(self, runs: list[bytes]) -> list[bytes]:
+        # The letter of a byte of visible ASCII is its own.
+        spelt = (r.decode() if r.isascii() else r.decode("latin-1").translate(LETTERS) for r in runs)
+        merged = map(self.model.tokenize, spelt)
+        return [array("i", [token.id for token in tokens]).tobytes() for tokens in merged]
 
-    def _ids(self, words: list[bytes]) -> list[bytes]:
+    def _of_words(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<i4").tobytes() for x in found]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        self.known.make_room()
-        split = [x.encode().split() if x else [] for x in texts]
-        words = set().union(*split).difference(self.known)
-        new = [w for w in words if len(w) <= LONGEST]
-        ids = self._ids(new)
-        self.known.learn(new, ids, sum(map(len, new)) + sum(map(len, ids)))
-        once = [w for w in words if len(w) > LONGEST]
-        known = self.known
-        if once:
-            known = {w: self.known[w] for w in set().union(*split).intersection(self.known)}
-            known.update(zip(once, self._ids(once), strict=True))
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        return [array("i", x.ids).tobytes() for x in found]
+
+    def _joined(self, split: pa.ListArray, known: Remembered, learn: Callable[[list[bytes]], list[bytes]]) -> Lists:
+        """The ids of each list of words, one word after the other."""
+        known.make_room()
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(known.get, distinct))
+        new = [w for w, x in zip(distinct, ids, strict=True) if x is None]
+        made = dict(zip(new, learn(new), strict=True))
+        short = [w for w in new if len(w) <= LONGEST]
+        known.learn(short, [made[w] for w in short], sum(len(w) + len(made[w]) for w in short))
+        ids = [made[w] if x is None else x for w, x in zip(distinct, ids, strict=True)]
+
+        flat = pa.py_buffer(b"".join(ids))
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        edges = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+        lists = pa.ListArray.from_arrays(edges, pa.Array.from_buffers(pa.int32(), int(size.sum()), [None, flat]))
+        taken = lists.take(coded.indices).flatten().to_numpy()
+        behind = np.cumsum(size[coded.indices.to_numpy()], dtype=np.int64)
+        # A null list is empty, and leaves no words in the flattened array.
+        words = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], behind])[np.concatenate([[0], np.cumsum(words)])]
+        return taken, np.diff(ends)
+
+    def encode(self, texts: pa.StringArray) -> Lists:
+        """The ids of all texts one after the other, and how many each has; null has none."""
+        plain = pc.fill_null(pc.invert(pc.match_substring_regex(texts, NOT_PLAIN)), True)
+        runs = pc.replace_substring_regex(pc.utf8_lower(texts.filter(plain)), RUNS, r"\0 ")
+        words = texts.filter(pc.invert(plain))
+        simple, sizes = self._joined(pc.ascii_split_whitespace(runs), self.runs, self._of_runs)
+        others, counts = self._joined(pc.ascii_split_whitespace(words), self.words, self._of_words)
+        if not len(counts):
+            return simple, sizes
+        # Back into the order of the texts.
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        size = np.empty(len(texts), np.int64)
+        size[is_plain], size[~is_plain] = sizes, counts
+        out, mine = np.empty(size.sum(), np.int32), np.repeat(is_plain, size)
+        out[mine], out[~mine] = simple, others
+        return out, size
 
 
 def in_order(docs: DataFrame) -> DataFrame:
@@ -85,27 +144,28 @@ def write_tokens(docs: DataFrame, path: str, model: str = MODEL, end: int = END)
     The vocabulary file, which the driver reads, bounds what is broadcast.
     """
     with open(model, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    last = int(end).to_bytes(4, "little")
-    kept: list[WordEncoder] = []
+        shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": file.read()})
+    last = np.int32(end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not kept:
-            kept.append(WordEncoder(shared.value))
+        # A worker keeps the value of a broadcast from task to task, and the encoder with it.
+        held = shared.value
+        encoder = held.setdefault("encoder", None) or WordEncoder(held["vocabulary"])
+        held["encoder"] = encoder
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in slices_of(batch, "text"):
-                data = [ids + last for ids in kept[0].encode(piece.column("text").to_pylist())]
-                sizes = np.array([len(x) // 4 for x in data], np.int64)
-                begin = at + np.cumsum(sizes) - sizes
-                at += int(sizes.sum())
+                flat, sizes = encoder.encode(piece.column("text"))
+                flat, sizes = np.insert(flat, np.cumsum(sizes), last), sizes + 1
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                begin, at = at + ends[:-1], at + int(ends[-1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
-                        pa.array(np.full(len(data), part, np.int32)),
+                        pa.array(np.full(len(sizes), part, np.int32)),
                         pa.array(begin),
                         pa.array(sizes.astype(np.int32)),
-                        int_lists(data),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)),
                     ],
                     ["doc_id", "part", "at", "n_tokens", "ids"],
                 )
