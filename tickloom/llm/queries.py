@@ -9,6 +9,7 @@ from tickloom.llm import (
     licenses,
     line_dedup,
     mixing,
+    pair_counts,
     permutation_index,
     quality_classifier,
     quality_rules,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_token_orc": token_orc.op11_token_orc,
     "op12_cover_tree": cover_tree.op12_cover_tree,
+    "op13_pair_counts": pair_counts.op13_pair_counts,
 }
 ORACLE = {
     "op4_line_dedup": line_dedup.OP4_SQL,
