@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from tests.frames import bar
@@ -11,11 +13,13 @@ from tickloom.operators.long_series import Profile
 from tickloom.operators.silver import SILVER
 from tickloom.plans import batch, tables
 from tickloom.sources.dictionary import COLUMNS, column_audit, with_comments
+from tickloom.sources import tables as sources
 from tickloom.sources.tables import (
     GOLD_TABLES,
     PATHS,
     read_raw_csv,
     read_table,
+    remove,
     scratch_dir,
     table_path,
     write_table,
@@ -82,8 +86,8 @@ def test_failed_write_stops_the_rest(spark, tmp_path):
     bad = spark.range(1).selectExpr("raise_error('no') AS x")
     frames = {str(tmp_path / "a"): bad, str(tmp_path / "b"): spark.range(3)}
     with pytest.raises(Exception, match="no"):
-        batch._write_all(frames, writes=1)
-    assert not (tmp_path / "b").exists()
+        batch._write_all(spark, frames, writes=1)
+    assert not list(tmp_path.iterdir())
 
 
 def test_csv_with_another_header_raises(spark, tmp_path):
@@ -151,3 +155,66 @@ def test_comments_survive_parquet(spark, tmp_path):
 def test_column_audit(spark):
     df = spark.sql("SELECT * FROM VALUES ('A', 1), ('B', NULL) AS t(SYMBOL, OTHER)")
     assert sorted(tuple(r) for r in column_audit(df).collect()) == [("OTHER", 1, False), ("SYMBOL", 2, True)]
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(spark.range(5), path)
+    with pytest.raises(Exception, match="no more"):
+        write_table(spark.range(9).selectExpr("if(id > 7, raise_error('no more'), id) AS id"), path)
+    assert spark.read.parquet(path).count() == 5
+    write_table(spark.read.parquet(path).union(spark.range(2)), path)
+    assert spark.read.parquet(path).count() == 7
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+def test_tables_are_published_together_or_not_at_all(spark, tmp_path, monkeypatch):
+    old = {name: str(tmp_path / name) for name in "abc"}
+    batch._write_all(spark, {path: spark.range(1) for path in old.values()})
+    bad = spark.range(1).selectExpr("raise_error('no') AS id")
+    with pytest.raises(Exception, match="no"):
+        batch._write_all(spark, {old["a"]: spark.range(2), old["b"]: spark.range(2), old["c"]: bad}, writes=1)
+    assert [spark.read.parquet(p).count() for p in old.values()] == [1, 1, 1]
+
+    real = sources.rename
+
+    calls = {"left": 1}
+
+    def once(session, path, to):
+        if to == old["b"] and calls["left"]:
+            calls["left"] = 0
+            raise OSError("no rename")
+        real(session, path, to)
+
+    monkeypatch.setattr(sources, "rename", once)
+    with pytest.raises(OSError, match="no rename"):
+        batch._write_all(spark, {path: spark.range(3) for path in old.values()})
+    assert [spark.read.parquet(p).count() for p in old.values()] == [1, 1, 1]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b", "c"]
+
+
+def test_unreadable_texts_are_counted_while_silver_is_written(spark, base):
+    lines = (Path(base) / PATHS["raw_prices"]).read_text().splitlines()
+    lines[1] = "A,not a day,x,2.0,,1.5, ,many,1.0"
+    (Path(base) / PATHS["raw_prices"]).write_text("\n".join(lines) + "\n")
+    found = batch.run_all(spark, base).losses
+    assert found["prices"] == {
+        "DATE": 1, "OPEN_PRICE": 1, "HIGH_PRICE": 0, "LOW_PRICE": 0, "CLOSE_PRICE": 0,
+        "CLOSE_ADJUSTED_PRICE": 0, "VOLUME": 1, "SPLIT_COEFFICIENT": 0}
+    assert set(found["dividends"].values()) == set(found["earnings"].values()) == {0}
+
+
+def test_build_one_table(spark, base):
+    batch.run_all(spark, base)
+    for name in ("risk_metrics", "market_breadth"):
+        before = read_table(spark, base, name).collect()
+        remove(spark, table_path(base, name))
+        batch.build_table(spark, base, name)
+        same(read_table(spark, base, name), spark.createDataFrame(before, read_table(spark, base, name).schema))
+
+
+def test_gold_leaves_no_scratch_behind(spark, base):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("*"))
+    batch.run_all(spark, base)
+    assert set(shared.glob("*")) == before

@@ -11,8 +11,9 @@ same.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +44,28 @@ def profile_keys(bars: DataFrame) -> Profile:
     where there are more dated rows than bits. So up to 31 rows combine into one
     before the shuffle, and a hot key costs nothing extra.
     """
-    monthly = bars.groupBy("SYMBOL", F.expr("trunc(DATE, 'month') AS MONTH")).agg(
+    return profile_tables({"": bars})[""]
+
+
+def _keys_by_series(keyed: DataFrame, *tags: str) -> DataFrame:
+    monthly = keyed.groupBy(*tags, "SYMBOL", F.expr("trunc(DATE, 'month') AS MONTH")).agg(
         F.expr("count(*) AS n"),
         F.expr("count(DATE) AS dated"),
         F.expr("bit_or(shiftleft(1, day(DATE) - 1)) AS days"),
     )
     repeated = "if(SYMBOL IS NULL, 0, dated - coalesce(bit_count(days), 0))"
-    per_series = monthly.groupBy("SYMBOL").agg(F.expr("sum(n) AS n"), F.expr(f"sum({repeated}) AS repeated"))
-    found = per_series.selectExpr("sum(n)", "max(n)", "sum(repeated)").first()
-    return Profile(*[value or 0 for value in found])
+    return monthly.groupBy(*tags, "SYMBOL").agg(F.expr("sum(n) AS n"), F.expr(f"sum({repeated}) AS repeated"))
+
+
+def profile_tables(frames: Mapping[str, DataFrame]) -> dict[str, Profile]:
+    """``profile_keys`` of several tables in one job: their keys are tagged, and combined as one."""
+    keys = [df.select(F.lit(name).alias("TABLE_NAME"), "SYMBOL", "DATE") for name, df in frames.items()]
+    tagged = reduce(DataFrame.unionByName, keys)
+    per_series = _keys_by_series(tagged, "TABLE_NAME")
+    totals = [F.expr(sql) for sql in ("sum(n)", "max(n)", "sum(repeated)")]
+    found = per_series.groupBy("TABLE_NAME").agg(*totals).collect()
+    empty = dict.fromkeys(frames, Profile(0, 0, 0))
+    return empty | {r[0]: Profile(*[value or 0 for value in r[1:]]) for r in found}
 
 
 def require_unique_key(profile: Profile, table: str, bars: DataFrame) -> None:
@@ -88,14 +102,7 @@ def _cut(bars: DataFrame, series: Series, reach: int, ahead: bool, part_rows: in
     # a day among rows without a full key. (_BUCKET, _SLOT) follows the order
     # (DATE, _SLOT). The hash is the same when a lost task runs again: rows
     # without a full key occur in raw bars only, the later series leave them out.
-    every = ", ".join(f"`{name}`" for name in bars.columns)
-    bucketed = add_columns(
-        bars,
-        {
-            "_BUCKET": "if(SYMBOL IS NULL, DATE, trunc(DATE, 'month'))",
-            "_SLOT": f"if(SYMBOL IS NULL OR DATE IS NULL, pmod(xxhash64({every}), {SLOTS}), 0)",
-        },
-    )
+    bucketed = _bucketed(bars)
     place = [*series.keys, "_BUCKET", "_SLOT"]
     sizes = bucketed.groupBy(*place).agg(F.expr("count(*) AS n"))
     in_order = f"OVER (PARTITION BY {', '.join(series.keys)} ORDER BY _BUCKET, _SLOT"
@@ -120,3 +127,78 @@ def _cut(bars: DataFrame, series: Series, reach: int, ahead: bool, part_rows: in
         joined.select("bar.*", "member._PART", "member._COPY"),
         replace(series.by("_PART"), order=(*series.order, "_SLOT")),
     )
+
+
+@dataclass(frozen=True)
+class Reach:
+    """How far one value of a chain of steps looks, in rows for which ``rows`` holds.
+
+    Steps of a chain may each count other rows: all bars, those with a close, those traded.
+    """
+
+    rows: str
+    earlier: int
+    later: int = 0
+
+
+def over_chain(bars: DataFrame, series: Series, step: Step, reaches: list[Reach], part_rows: int | None = None) -> DataFrame:
+    """Run a whole chain of ``step`` on whole series, or on parts that are cut once for all of it.
+
+    Every part gets copies of as many neighbouring months as its furthest reach asks for, each
+    counted in its own rows. All windows of the chain then work within a part.
+    """
+    if part_rows is None:
+        return step(bars, series)
+    parts, part_series = _cut_chain(bars, series, reaches, part_rows)
+    return step(parts, part_series).filter("NOT _COPY").drop("_BUCKET", "_SLOT", "_PART", "_COPY")
+
+
+def _bucketed(bars: DataFrame) -> DataFrame:
+    every = ", ".join(f"`{name}`" for name in bars.columns)
+    return add_columns(
+        bars,
+        {
+            "_BUCKET": "if(SYMBOL IS NULL, DATE, trunc(DATE, 'month'))",
+            "_SLOT": f"if(SYMBOL IS NULL OR DATE IS NULL, pmod(xxhash64({every}), {SLOTS}), 0)",
+        },
+    )
+
+
+def _cut_chain(bars: DataFrame, series: Series, reaches: list[Reach], part_rows: int) -> tuple[DataFrame, Series]:
+    bucketed = _bucketed(bars)
+    place = [*series.keys, "_BUCKET", "_SLOT"]
+    counts = {f"n{i}": f"count_if({reach.rows})" for i, reach in enumerate(reaches)}
+    sizes = bucketed.groupBy(*place).agg(F.expr("count(*) AS n"), *[F.expr(f"{sql} AS {name}") for name, sql in counts.items()])
+
+    by = f"PARTITION BY {', '.join(series.keys)} ORDER BY"
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    starts = {name: f"coalesce(sum({name}) OVER ({by} _BUCKET, _SLOT {before}), 0)" for name in ("n", *counts)}
+    numbered = add_columns(
+        sizes,
+        {"nr": f"row_number() OVER ({by} _BUCKET, _SLOT)", **{f"start_{name}": sql for name, sql in starts.items()}},
+    )
+    # The bucket before the first one that starts within reach holds the rest of the reach. Of later
+    # buckets, those up to the first that starts after ``later`` rows behind this one's end.
+    needs = {}
+    for i, reach in enumerate(reaches):
+        near = f"min(nr) OVER ({by} start_n{i} RANGE BETWEEN {max(reach.earlier - 1, 0)} PRECEDING AND CURRENT ROW)"
+        needs[f"first_{i}"] = f"greatest(1, {near} - 1)" if reach.earlier else "nr"
+        ends = f"max(nr) OVER ({by} end_n{i} RANGE BETWEEN CURRENT ROW AND {max(reach.later - 1, 0)} FOLLOWING)"
+        needs[f"last_{i}"] = f"{ends} + 1" if reach.later else "nr"
+    ended = add_columns(numbered, {f"end_n{i}": f"start_n{i} + n{i}" for i in range(len(reaches))})
+    reached = add_columns(ended, {"own": f"start_n div {part_rows}", **needs})
+    low = ", ".join(f"first_{i}" for i in range(len(reaches)))
+    high = ", ".join(f"last_{i}" for i in range(len(reaches)))
+    ranges = reached.groupBy(*series.keys, "own").agg(
+        F.expr(f"min(array_min(array({low}))) AS low"), F.expr(f"max(array_max(array({high}))) AS high")
+    )
+    served = ranges.selectExpr(*series.keys, "own AS _PART", "explode(sequence(low, high)) AS nr")
+    same_number = " AND ".join([*(f"bucket.{k} <=> served.{k}" for k in series.keys), "bucket.nr = served.nr"])
+    members = reached.alias("bucket").join(served.alias("served"), F.expr(same_number), "inner")
+    members = members.selectExpr(*[f"bucket.{name}" for name in place], "served._PART", "bucket.own <> served._PART AS _COPY")
+    same_place = " AND ".join(f"bar.{name} <=> member.{name}" for name in place)
+    joined = bucketed.alias("bar").join(members.alias("member"), F.expr(same_place), "inner")
+    return (
+        joined.select("bar.*", "member._PART", "member._COPY"),
+        replace(series.by("_PART"), order=(*series.order, "_SLOT")),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tickloom.functions.numeric import to_day, to_double, to_long
 
@@ -67,6 +67,20 @@ def type_dividends(raw: DataFrame) -> DataFrame:
     return _typed(raw, DIVIDENDS)
 
 
+RULES = {"prices": PRICES, "earnings": EARNINGS, "dividends": DIVIDENDS}
+
+
+def typed_with_losses(raw: DataFrame, name: str, losses: Observation) -> DataFrame:
+    """The typed table ``name``; the action that reads it also counts into ``losses``, by typed column, the
+    texts that are not blank and that no value can be read from."""
+    unread = [
+        F.expr(f"count_if(trim({column}) <> '' AND {cast(column)} IS NULL) AS {target}")
+        for column, (target, cast) in RULES[name].items()
+        if cast
+    ]
+    return _typed(raw.observe(losses, *unread), RULES[name])
+
+
 def enrich(prices: DataFrame, earnings: DataFrame, dividends: DataFrame) -> DataFrame:
     """Every price row with the earnings and dividend of its symbol and day, where known.
 

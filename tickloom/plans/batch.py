@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from queue import Empty, SimpleQueue
 
 from pyspark import InheritableThread
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tickloom.operators.long_series import MAX_ROWS, Profile, profile_keys, require_unique_key
-from tickloom.operators.silver import enrich, type_dividends, type_earnings, type_prices
+from tickloom.operators.long_series import MAX_ROWS, Profile, profile_tables, require_unique_key
+from tickloom.operators.silver import enrich, type_dividends, type_earnings, type_prices, typed_with_losses
 from tickloom.operators.strength import BENCHMARK
 from tickloom.plans import tables
 from tickloom.sources.dictionary import with_comments
 from tickloom.sources.tables import (
+    GOLD_TABLES,
     RAW_TABLES,
+    Replacement,
     read_raw_csv,
     read_table,
+    remove,
+    scratch_dir,
     table_path,
     write_by_symbol,
     write_table,
@@ -24,16 +29,19 @@ from tickloom.sources.tables import (
 
 TYPING = {"prices": type_prices, "earnings": type_earnings, "dividends": type_dividends}
 ROWS_PER_BUCKET = 10_000_000
-# Tables written at once: each holds a shuffle of the bars while it is written.
+# Independent tables written at once.
 WRITES = 2
 
 
-def _write_all(frames: Mapping[str, DataFrame], files: int | None = None, writes: int = WRITES) -> None:
+def _write_all(
+    spark: SparkSession, frames: Mapping[str, DataFrame], files: int | None = None, writes: int = WRITES
+) -> None:
     """Write independent tables, ``writes`` at a time, so that one fills the cores another leaves idle.
 
-    The threads keep the caller's job group and pool. After a failure no further
-    table is begun, and the first error is raised.
+    The threads keep the caller's job group and pool. The tables replace the old ones together, once all are
+    written. After a failure no further table is begun, the old ones stay, and the first error is raised.
     """
+    replacement = Replacement(spark)
     waiting: SimpleQueue[tuple[str, DataFrame]] = SimpleQueue()
     for item in frames.items():
         waiting.put(item)
@@ -46,7 +54,7 @@ def _write_all(frames: Mapping[str, DataFrame], files: int | None = None, writes
             except Empty:
                 return
             try:
-                write_table(df, path, files)
+                replacement.write(df, path, files)
             except BaseException as error:
                 errors.append(error)
 
@@ -55,24 +63,37 @@ def _write_all(frames: Mapping[str, DataFrame], files: int | None = None, writes
         thread.start()
     for thread in threads:
         thread.join()
-    if errors:
-        raise errors[0]
+    try:
+        if errors:
+            raise errors[0]
+        replacement.publish()
+    finally:
+        replacement.discard()
 
 
 def ingest_bronze(spark: SparkSession, base_dir: str, raw_paths: Mapping[str, str] | None = None) -> None:
     """Land the raw CSVs as text parquet. Paths not given are the layout's own."""
     given = raw_paths or {}
     raw = {name: read_raw_csv(spark, given.get(name) or table_path(base_dir, f"raw_{name}")) for name in RAW_TABLES}
-    _write_all({table_path(base_dir, f"bronze_{name}"): df for name, df in raw.items()})
+    _write_all(spark, {table_path(base_dir, f"bronze_{name}"): df for name, df in raw.items()})
 
 
 def typed_bronze(spark: SparkSession, base_dir: str) -> dict[str, DataFrame]:
     return {name: TYPING[name](read_table(spark, base_dir, f"bronze_{name}")) for name in RAW_TABLES}
 
 
-def build_silver(spark: SparkSession, base_dir: str, silver_table: str | None = None) -> Profile:
+@dataclass(frozen=True)
+class Silver:
+    """What building silver has measured: the prices' keys, and per table and typed column the unreadable texts."""
+
+    profile: Profile
+    losses: dict[str, dict[str, int]]
+
+
+def build_silver(spark: SparkSession, base_dir: str, silver_table: str | None = None) -> Silver:
     """Check the keys of the three inputs, join them and write silver.
 
+    The keys are profiled in one job, and texts that become NULL are counted while silver is written.
     With ``silver_table`` silver is also registered under that name, at any size. It
     is in buckets by SYMBOL, unless one series is so long that its bucket would
     be too large for a task; the name is then that of a plain table, and each
@@ -80,16 +101,18 @@ def build_silver(spark: SparkSession, base_dir: str, silver_table: str | None =
     rebuilt under the same name.
     """
     typed = typed_bronze(spark, base_dir)
-    profiles = {name: profile_keys(df) for name, df in typed.items()}
+    profiles = profile_tables(typed)
     for name, profile in profiles.items():
         require_unique_key(profile, name, typed[name])
-    silver = with_comments(enrich(**typed))
+    observed = {name: Observation(f"{name}_losses") for name in RAW_TABLES}
+    counted = {n: typed_with_losses(read_table(spark, base_dir, f"bronze_{n}"), n, o) for n, o in observed.items()}
+    silver = with_comments(enrich(**counted))
     path, profile = table_path(base_dir, "silver"), profiles["prices"]
     if silver_table:
         write_by_symbol(silver, path, silver_table, bucket_count(spark, profile))
     else:
         write_table(silver, path)
-    return profile
+    return Silver(profile, {name: dict(observation.get) for name, observation in observed.items()})
 
 
 def bucket_count(spark: SparkSession, profile: Profile) -> int | None:
@@ -103,18 +126,30 @@ def bucket_count(spark: SparkSession, profile: Profile) -> int | None:
 def build_gold(
     silver: DataFrame, base_dir: str, longest: int | None = None, benchmark: str = BENCHMARK, files: int | None = None
 ) -> None:
-    """Write the seven derived tables. The long-series check is made once for all of them."""
-    rows = tables.longest_series(silver) if longest is None else longest
-    gold = {
-        "price_metrics": tables.price_metrics(silver, rows),
-        "volume_liquidity": tables.volume_liquidity(silver, rows),
-        "earnings_reaction": tables.earnings_reaction(silver, rows),
-        "risk_metrics": tables.risk_metrics(silver, rows),
-        "relative_strength": tables.relative_strength(silver, benchmark, rows),
-        "market_regime": tables.market_regime(silver, rows),
-        "market_breadth": tables.market_breadth(silver, benchmark, rows),
-    }
-    _write_all({table_path(base_dir, name): with_comments(df) for name, df in gold.items()}, files)
+    """Write the seven derived tables from one frame of all their columns.
+
+    The frame is derived and stored once, in a scratch folder that is removed at the end; each table is then a choice
+    of its columns and rows. So the bars are shuffled once for all tables, and the benchmark is read once.
+    """
+    spark = silver.sparkSession
+    scratch = scratch_dir(spark)
+    try:
+        path = f"{scratch}/market_frame"
+        tables.market_frame(silver, benchmark, longest).write.parquet(path)
+        frame = spark.read.parquet(path)
+        gold = {table_path(base_dir, name): with_comments(tables.table_of(frame, name)) for name in GOLD_TABLES}
+        _write_all(spark, gold, files, len(gold))
+    finally:
+        remove(spark, scratch)
+
+
+def build_table(
+    spark: SparkSession, base_dir: str, name: str, longest: int | None = None, benchmark: str = BENCHMARK
+) -> None:
+    """Write one derived table, by its name in ``GOLD_TABLES``, from the stored silver."""
+    silver = read_table(spark, base_dir, "silver")
+    given = {"benchmark": benchmark} if name in ("relative_strength", "market_breadth") else {}
+    write_table(with_comments(getattr(tables, name)(silver, longest=longest, **given)), table_path(base_dir, name))
 
 
 def run_all(
@@ -124,13 +159,14 @@ def run_all(
     benchmark: str = BENCHMARK,
     silver_table: str | None = None,
     files: int | None = None,
-) -> None:
-    """Raw CSVs to all tables below ``base_dir``.
+) -> Silver:
+    """Raw CSVs to all tables below ``base_dir``. Returns what was measured on the way, as ``build_silver`` does.
 
     ``silver_table`` names a catalog table for a bucketed silver; every gold table
     is then computed without shuffling the bars again (see ``build_silver``).
     """
     ingest_bronze(spark, base_dir, raw_paths)
-    profile = build_silver(spark, base_dir, silver_table)
+    built = build_silver(spark, base_dir, silver_table)
     silver = spark.table(silver_table) if silver_table else read_table(spark, base_dir, "silver")
-    build_gold(silver, base_dir, profile.longest_series, benchmark, files)
+    build_gold(silver, base_dir, built.profile.longest_series, benchmark, files)
+    return built

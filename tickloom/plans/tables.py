@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 from tickloom.operators import breadth, earnings, price, regime, risk, strength, volume
-from tickloom.operators.long_series import MAX_ROWS, PART_ROWS, longest_series, over_series
+from tickloom.operators.long_series import MAX_ROWS, PART_ROWS, Reach, longest_series, over_chain, over_series
 
 
 def part_rows(bars: DataFrame, longest: int | None) -> int | None:
@@ -146,3 +146,57 @@ def market_breadth(
     silver: DataFrame, benchmark: str = strength.BENCHMARK, longest: int | None = None, index: DataFrame | None = None
 ) -> DataFrame:
     return breadth.market_breadth(breadth_frame(silver, benchmark, longest, index))
+
+
+# How far the chain of all steps looks: the averages and, for the first return of a priced series, one bar more;
+# risk and strength among priced bars; the neighbours among traded ones.
+REACHES = [
+    Reach("true", max(price.REACH, volume.REACH, regime.REACH) + 1),
+    Reach(risk.PRICED_BAR, risk.REACH + strength.REACH + 1),
+    Reach(earnings.TRADED_BAR, earnings.REACH, earnings.REACH),
+]
+
+
+def market_frame(
+    silver: DataFrame,
+    benchmark: str = strength.BENCHMARK,
+    longest: int | None = None,
+    index: DataFrame | None = None,
+) -> DataFrame:
+    """Every column of every derived table side by side, one row per bar, from one shuffle of the bars.
+
+    HAS_CLOSE and HAS_TRADE tell which bars take part in the risk series and in the earnings table.
+    All steps stack on one layout by SYMBOL; long series are cut once for the whole chain.
+    ``table_of`` takes the tables out of it.
+    """
+    rows = longest_series(silver) if longest is None else longest
+    parts = part_rows(silver, rows)
+    index = strength.index_by_day(index_frame(silver, benchmark, rows) if index is None else index)
+
+    def step(bars: DataFrame, series: Series) -> DataFrame:
+        measured = _with_regime(volume.add_volume_metrics(breadth.add_first_of_day(bars, series), series), series)
+        told = add_columns(measured, {"HAS_CLOSE": risk.PRICED_BAR, "HAS_TRADE": earnings.TRADED_BAR})
+        priced = series.by("HAS_CLOSE")
+        compared = strength.add_relative_strength(risk.add_risk_metrics(told, priced), index, priced)
+        return earnings.add_earnings_reaction(compared, series.by("HAS_TRADE"))
+
+    bars = silver.select(*price.INPUT, "VOLUME", "EPS", "EPS_ESTIMATE")
+    return over_chain(bars, BY_SYMBOL, step, REACHES, parts)
+
+
+def table_of(frame: DataFrame, name: str) -> DataFrame:
+    """One of the seven tables from a ``market_frame``: a choice of its columns and rows."""
+    if name == "market_breadth":
+        measures = [*risk.OUTPUT[2:], *strength.OUTPUT[2:]]
+        own = ["SYMBOL", "DATE", "FIRST_OF_DAY", "DAILY_DIRECTION"]
+        shown = [f"if(HAS_CLOSE, {c}, NULL) AS {c}" for c in dict.fromkeys(measures)]
+        return breadth.market_breadth(frame.selectExpr(*own, *shown))
+    output, rows = {
+        "price_metrics": (price.OUTPUT, "true"),
+        "volume_liquidity": (volume.OUTPUT, "true"),
+        "earnings_reaction": (earnings.OUTPUT, "HAS_TRADE"),
+        "risk_metrics": (risk.OUTPUT, "HAS_CLOSE"),
+        "relative_strength": (strength.OUTPUT, "HAS_CLOSE"),
+        "market_regime": (regime.OUTPUT, "true"),
+    }[name]
+    return frame.filter(rows).select(*output)

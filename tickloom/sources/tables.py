@@ -54,14 +54,87 @@ def read_table(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Replace the table at ``path``.
+    """Replace the table at ``path`` once all of ``df`` is written; until then, and after a failure, the old one stays.
 
     ``files`` asks for about that many files. It rebalances the rows before the
     write, so the work above keeps its own parallelism and a heavy partition is
     split, where a coalesce would run all of it in that few tasks.
     """
-    out = df if files is None else df.hint("rebalance", files)
-    out.write.mode("overwrite").parquet(path)
+    replacement = Replacement(df.sparkSession)
+    try:
+        replacement.write(df, path, files)
+        replacement.publish()
+    finally:
+        replacement.discard()
+
+
+class Replacement:
+    """Tables that are written beside the old ones and then take their places together.
+
+    A new table is written to a folder next to its path, whose name begins with an underscore, so that
+    no reader of the parent folder takes it for data. ``publish`` renames folders, old ones aside
+    and new ones in; if a rename fails, those already made are undone. ``discard`` removes what is left aside.
+    On a store where a rename copies, publishing takes as long as the copies.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.mark = spark, uuid.uuid4().hex
+        self.staged: dict[str, str] = {}
+        self.aside: list[str] = []
+
+    def _beside(self, path: str, kind: str) -> str:
+        parent, _, name = path.rstrip("/").rpartition("/")
+        return f"{parent}/_{name}.{kind}-{self.mark}"
+
+    def write(self, df: DataFrame, path: str, files: int | None = None) -> None:
+        self.staged[path] = self._beside(path, "new")
+        out = df if files is None else df.hint("rebalance", files)
+        out.write.mode("overwrite").parquet(self.staged[path])
+
+    def publish(self) -> None:
+        done: list[tuple[str, str]] = []
+        try:
+            for path, staged in self.staged.items():
+                old = self._beside(path, "old")
+                if exists(self.spark, path):
+                    rename(self.spark, path, old)
+                    done.append((path, old))
+                    self.aside.append(old)
+                rename(self.spark, staged, path)
+                done.append((staged, path))
+        except BaseException:
+            for path, now in reversed(done):
+                rename(self.spark, now, path)
+            self.aside = []
+            raise
+        self.staged = {}
+
+    def discard(self) -> None:
+        for path in [*self.staged.values(), *self.aside]:
+            remove(self.spark, path)
+        self.staged, self.aside = {}, []
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    system, place = _file_system(spark, path)
+    if not system.rename(place, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all in it, if it is there."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
 
 
 def write_by_symbol(df: DataFrame, path: str, table: str, buckets: int | None) -> None:
