@@ -298,3 +298,27 @@ def test_output_columns(spark):
     assert tables.earnings_reaction(silver, WHOLE).columns == earnings.OUTPUT
     assert len(earnings.OUTPUT) == 33
     assert tables.market_breadth(silver, longest=WHOLE).columns == breadth.OUTPUT
+
+
+def test_rows_without_a_key_are_dealt_evenly(spark):
+    """Half of the prices lack a key and are all alike: no task of the join gets over twice the median."""
+    keyed = [(f"S{i % 500}", day(i // 500), "x") for i in range(4_000)]
+    keyless = [(None, day(1), "y") if i % 2 else ("S1", None, "y") for i in range(4_000)]
+    names = "SYMBOL string, DATE date, QUARTER string"
+    rows = spark.createDataFrame([*keyed, *keyless], "SYMBOL string, DATE date, RELEASE string")
+    typed = {c: "cast(NULL AS double) AS " + c for c in SILVER if c not in ("SYMBOL", "DATE")}
+    prices = rows.selectExpr("SYMBOL", "DATE", *[typed[c] for c in SILVER[2:9]])
+    events = spark.createDataFrame(keyed, names).selectExpr("SYMBOL", "DATE", "QUARTER", "1D AS EPS_ESTIMATE", "1D AS EPS", "'r' AS RELEASE_TIME")
+    dividends = spark.createDataFrame([("S1", None, 1.0), (None, day(1), 1.0)], "SYMBOL string, DATE date, DIVIDENDS double")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = enrich(prices, events, dividends)
+        found = joined.selectExpr("spark_partition_id() AS p", "EPS").groupBy("p").agg({"*": "count", "EPS": "count"}).collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    sizes = sorted(r["count(1)"] for r in found)
+    assert sum(sizes) == 8_000 and sum(r["count(EPS)"] for r in found) == 4_000
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]

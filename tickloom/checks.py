@@ -19,7 +19,7 @@ from tickloom.operators import breadth, earnings, price, regime, risk, strength,
 from tickloom.operators.silver import KEY, SILVER, enrich, type_dividends, type_earnings, type_prices
 from tickloom.plans import batch, tables
 from tickloom.sources import feed
-from tickloom.sources.dictionary import column_audit, with_comments
+from tickloom.sources.dictionary import Audit, with_comments
 from tickloom.sources.tables import (
     GOLD_TABLES,
     read_table,
@@ -89,6 +89,8 @@ COLUMNS = {
     "table_roundtrip": price.OUTPUT[2:],
     "bucketed_silver": risk.OUTPUT[2:],
     "market_regime": regime.OUTPUT[2:],
+    "risk_in_parts": risk.OUTPUT[2:],
+    "earnings_in_parts": earnings.OUTPUT[2:],
 }
 
 
@@ -223,29 +225,57 @@ def batch_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every column of every table, with the intermediates, against the dictionary.
+    """Every column of every table, with the intermediates: its known values and whether its stored files explain it.
 
-    Silver is stored first: all the other tables read it.
+    Values are counted while silver, the frame of all tables, the benchmark and breadth are written; nothing is
+    read again for it but the schemas.
     """
-    base_dir, longest = scratch_dir(spark), feed.LONGEST
-    write_table(with_comments(_silver(spark, sf_dir)), table_path(base_dir, "silver"))
-    silver = read_table(spark, base_dir, "silver")
-    frames = {
-        "silver": silver,
-        "price_metrics": tables.price_metrics(silver, longest),
-        "volume_liquidity": tables.volume_liquidity(silver, longest),
-        "earnings_reaction": tables.earnings_reaction(silver, longest),
-        "relative_strength": tables.strength_frame(silver, longest=longest),
-        "benchmark": tables.index_frame(silver, longest=longest),
-        "market_regime": tables.market_regime(silver, longest),
-        "market_breadth": tables.market_breadth(silver, longest=longest),
-    }
-    found = None
-    for name, df in frames.items():
-        audit = column_audit(df.select(*AUDITED[name])).selectExpr(f"'{name}' AS TABLE_NAME", "*")
-        found = audit if found is None else found.unionByName(audit)
-    return found
+    base_dir, longest, found = scratch_dir(spark), feed.LONGEST, []
+
+    def stored(name: str, df: DataFrame, audited: dict[str, tuple[list[str], str]]) -> DataFrame:
+        audit = Audit(audited)
+        write_table(with_comments(audit.counting(df)), f"{base_dir}/{name}")
+        written = spark.read.parquet(f"{base_dir}/{name}")
+        found.extend(audit.rows(written))
+        return written
+
+    every = {name: (columns, "true") for name, columns in AUDITED.items()}
+    silver = stored("silver", _silver(spark, sf_dir), {"silver": every["silver"]})
+    index = stored("benchmark", tables.index_frame(silver, longest=longest), {"benchmark": every["benchmark"]})
+    rows = {"earnings_reaction": "HAS_TRADE", "relative_strength": "HAS_CLOSE"}
+    names = ("price_metrics", "volume_liquidity", "earnings_reaction", "relative_strength", "market_regime")
+    audited = {name: (AUDITED[name], rows.get(name, "true")) for name in names}
+    frame = stored("market_frame", tables.market_frame(silver, longest=longest, index=index), audited)
+    stored("market_breadth", tables.table_of(frame, "market_breadth"), {"market_breadth": every["market_breadth"]})
+    schema = "TABLE_NAME string, COLUMN_NAME string, KNOWN_VALUES long, DESCRIBED boolean"
+    return spark.createDataFrame(found, schema)
+
+
+def typing_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of spoilt raw tables that become NULL, as building silver counts them: a row per table and typed column."""
+    base_dir = scratch_dir(spark)
+    for name, raw in feed.spoilt_tables(feed.trades(spark, sf_dir)).items():
+        raw.write.csv(table_path(base_dir, f"raw_{name}"), header=True)
+    batch.ingest_bronze(spark, base_dir)
+    losses = batch.build_silver(spark, base_dir).losses
+    rows = [(table, column, n) for table, counts in losses.items() for column, n in counts.items()]
+    return spark.createDataFrame(rows, "TABLE_NAME string, COLUMN_NAME string, UNREADABLE long")
+
+
+def _in_parts(name: str) -> Query:
+    """A table out of the frame of all tables, with every series cut into parts of about ``CUT_ROWS`` rows."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        trades = feed.trades(spark, sf_dir)
+        silver = feed.prices(trades).join(feed.earnings(trades), KEY, "left")
+        frame = tables.market_frame(silver, longest=feed.LONGEST, index=_index(trades), parts=CUT_ROWS)
+        return tables.table_of(frame, name)
+
+    return build
+
 
+#: Below the length of most series of the feed, and of some reaches.
+CUT_ROWS = 60
 
 AUDITED = {
     "silver": SILVER,
@@ -299,11 +329,15 @@ _BUILDERS: dict[str, Query] = {
     "table_roundtrip": _roundtrip,
     "bucketed_silver": _bucketed_risk,
     "market_regime": _regime,
+    "risk_in_parts": _in_parts("risk_metrics"),
+    "earnings_in_parts": _in_parts("earnings_reaction"),
 }
 
 QUERIES: dict[str, Query] = {
     **{key: _symbol_days(key, build) for key, build in _BUILDERS.items()},
     "market_breadth": market_breadth,
+    "breadth_in_parts": lambda spark, sf_dir: _emit(_in_parts("market_breadth")(spark, sf_dir), breadth.OUTPUT),
+    "typing_losses": typing_losses,
     "dictionary_audit": dictionary_audit,
     "batch_tables": batch_tables,
 }

@@ -141,31 +141,37 @@ class Reach:
     later: int = 0
 
 
-def over_chain(bars: DataFrame, series: Series, step: Step, reaches: list[Reach], part_rows: int | None = None) -> DataFrame:
+def over_chain(
+    bars: DataFrame, series: Series, step: Step, reaches: list[Reach], part_rows: int | None = None, longest: int = 0
+) -> DataFrame:
     """Run a whole chain of ``step`` on whole series, or on parts that are cut once for all of it.
 
+    ``longest`` bounds the rows without a full key on one day; from it comes the number of slots they are spread over.
+
     Every part gets copies of as many neighbouring months as its furthest reach asks for, each
     counted in its own rows. All windows of the chain then work within a part.
     """
     if part_rows is None:
         return step(bars, series)
-    parts, part_series = _cut_chain(bars, series, reaches, part_rows)
+    parts, part_series = _cut_chain(bars, series, reaches, part_rows, max(SLOTS, -(-longest // part_rows)))
     return step(parts, part_series).filter("NOT _COPY").drop("_BUCKET", "_SLOT", "_PART", "_COPY")
 
 
-def _bucketed(bars: DataFrame) -> DataFrame:
+def _bucketed(bars: DataFrame, slots: int = SLOTS) -> DataFrame:
     every = ", ".join(f"`{name}`" for name in bars.columns)
     return add_columns(
         bars,
         {
             "_BUCKET": "if(SYMBOL IS NULL, DATE, trunc(DATE, 'month'))",
-            "_SLOT": f"if(SYMBOL IS NULL OR DATE IS NULL, pmod(xxhash64({every}), {SLOTS}), 0)",
+            "_SLOT": f"if(SYMBOL IS NULL OR DATE IS NULL, pmod(xxhash64({every}), {slots}), 0)",
         },
     )
 
 
-def _cut_chain(bars: DataFrame, series: Series, reaches: list[Reach], part_rows: int) -> tuple[DataFrame, Series]:
-    bucketed = _bucketed(bars)
+def _cut_chain(
+    bars: DataFrame, series: Series, reaches: list[Reach], part_rows: int, slots: int
+) -> tuple[DataFrame, Series]:
+    bucketed = _bucketed(bars, slots)
     place = [*series.keys, "_BUCKET", "_SLOT"]
     counts = {f"n{i}": f"count_if({reach.rows})" for i, reach in enumerate(reaches)}
     sizes = bucketed.groupBy(*place).agg(F.expr("count(*) AS n"), *[F.expr(f"{sql} AS {name}") for name, sql in counts.items()])

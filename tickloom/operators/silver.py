@@ -85,8 +85,11 @@ def enrich(prices: DataFrame, earnings: DataFrame, dividends: DataFrame) -> Data
     """Every price row with the earnings and dividend of its symbol and day, where known.
 
     The two small tables are put together first, so the prices take part in one
-    join only. Adaptive execution can then split a heavy partition of it, such
-    as the one that gets all rows without a key; it cannot in a chain of joins.
+    join only. Adaptive execution can then split a heavy partition of it; it cannot in
+    a chain of joins. Rows without a full key match nothing: each goes to a place of its own, so
+    that, however many, and however alike, they do not meet in one task.
     """
-    events = earnings.join(dividends, KEY, "full")
-    return prices.join(events, KEY, "left").select(*SILVER)
+    # Always 0, in a form that does not fold away: it is part of the key that deals the rows out.
+    events = earnings.join(dividends, KEY, "full").withColumn("_SLOT", F.expr("pmod(xxhash64(SYMBOL), 1)"))
+    slot = "if(SYMBOL IS NULL OR DATE IS NULL, monotonically_increasing_id() + 1, 0L) AS _SLOT"
+    return prices.selectExpr("*", slot).join(events, [*KEY, "_SLOT"], "left").select(*SILVER)

@@ -289,6 +289,8 @@ _SOURCE = {
     "table_roundtrip": "price",
     "bucketed_silver": "risk",
     "market_regime": "regime",
+    "risk_in_parts": "risk",
+    "earnings_in_parts": "reaction",
 }
 
 
@@ -380,6 +382,27 @@ def _batch() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _losses() -> str:
+    lost = {
+        ("prices", "DATE"): '"VOLUME" % 11 = 0',
+        ("prices", "OPEN_PRICE"): '"VOLUME" % 7 = 0',
+        ("prices", "VOLUME"): '"VOLUME" % 5 = 0',
+        ("earnings", "EPS"): """"QUARTER" LIKE 'Q1%' AND "EPS" IS NOT NULL""",
+    }
+    typed = {
+        "prices": ["DATE", "OPEN_PRICE", "HIGH_PRICE", "LOW_PRICE", "CLOSE_PRICE", "CLOSE_ADJUSTED_PRICE", "VOLUME", "SPLIT_COEFFICIENT"],
+        "earnings": ["DATE", "EPS_ESTIMATE", "EPS"],
+        "dividends": ["DATE", "DIVIDENDS"],
+    }
+    parts = [
+        f"SELECT '{table}' AS \"TABLE_NAME\", '{c}' AS \"COLUMN_NAME\", "
+        f'cast(count(*) FILTER (WHERE {lost.get((table, c), "false")}) AS bigint) AS "UNREADABLE" FROM {table}'
+        for table, columns in typed.items()
+        for c in columns
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
 ORACLE = {
     **{
         key: _with(source, f"{_select(['SYMBOL', 'DATE', *COLUMNS[key]])} FROM {source}")
@@ -387,6 +410,8 @@ ORACLE = {
     },
     "latest_complete_rs": _with("strength", _latest()),
     "market_breadth": _with("breadth", f"{_select(breadth.OUTPUT)} FROM breadth"),
+    "breadth_in_parts": _with("breadth", f"{_select(breadth.OUTPUT)} FROM breadth"),
+    "typing_losses": _with("dividends", _losses()),
     "dictionary_audit": _with("all", _audit()),
     "batch_tables": _with("all", _batch()),
 }

@@ -162,15 +162,17 @@ def market_frame(
     benchmark: str = strength.BENCHMARK,
     longest: int | None = None,
     index: DataFrame | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Every column of every derived table side by side, one row per bar, from one shuffle of the bars.
 
     HAS_CLOSE and HAS_TRADE tell which bars take part in the risk series and in the earnings table.
     All steps stack on one layout by SYMBOL; long series are cut once for the whole chain.
-    ``table_of`` takes the tables out of it.
+    ``parts`` asks for a cut into parts of about that many rows however short the series are. ``table_of`` takes
+    the tables out of the frame.
     """
     rows = longest_series(silver) if longest is None else longest
-    parts = part_rows(silver, rows)
+    parts = parts or part_rows(silver, rows)
     index = strength.index_by_day(index_frame(silver, benchmark, rows) if index is None else index)
 
     def step(bars: DataFrame, series: Series) -> DataFrame:
@@ -181,7 +183,7 @@ def market_frame(
         return earnings.add_earnings_reaction(compared, series.by("HAS_TRADE"))
 
     bars = silver.select(*price.INPUT, "VOLUME", "EPS", "EPS_ESTIMATE")
-    return over_chain(bars, BY_SYMBOL, step, REACHES, parts)
+    return over_chain(bars, BY_SYMBOL, step, REACHES, parts, rows)
 
 
 def table_of(frame: DataFrame, name: str) -> DataFrame:

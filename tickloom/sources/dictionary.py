@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The names must match the tables; the texts follow the code.
@@ -115,3 +117,31 @@ def column_audit(df: DataFrame) -> DataFrame:
     counts = df.selectExpr(*[f"count(`{c}`) AS `{c}`" for c in df.columns])
     long = counts.unpivot([], df.columns, "COLUMN_NAME", "KNOWN_VALUES")
     return long.withColumn("DESCRIBED", F.col("COLUMN_NAME").isin(*COLUMNS))
+
+
+class Audit:
+    """Known values of tables, counted while they are written, and their comments as stored.
+
+    A table of the audit is some columns of what is written, over the rows for which a condition holds.
+    """
+
+    def __init__(self, tables: Mapping[str, tuple[list[str], str]]):
+        self.tables, self.observation = tables, Observation()
+
+    def counting(self, df: DataFrame) -> DataFrame:
+        """``df``, with the counts on the way of whatever action reads it."""
+        counts = [
+            F.expr(f"count_if(({rows}) AND `{column}` IS NOT NULL) AS `{table}.{column}`")
+            for table, (columns, rows) in self.tables.items()
+            for column in columns
+        ]
+        return df.observe(self.observation, *counts)
+
+    def rows(self, stored: DataFrame) -> list[tuple[str, str, int, bool]]:
+        """TABLE_NAME, COLUMN_NAME, KNOWN_VALUES and DESCRIBED; ``stored`` is what was written, as its files describe it."""
+        known = self.observation.get
+        return [
+            (table, column, known[f"{table}.{column}"], "comment" in stored.schema[column].metadata)
+            for table, (columns, _) in self.tables.items()
+            for column in columns
+        ]

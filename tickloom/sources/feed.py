@@ -115,3 +115,20 @@ def raw_tables(trades: DataFrame) -> dict[str, DataFrame]:
         "earnings": as_raw(earnings(trades), EARNINGS),
         "dividends": as_raw(dividends(trades), DIVIDENDS),
     }
+
+
+def spoilt_tables(trades: DataFrame) -> dict[str, DataFrame]:
+    """The raw tables with texts that no value can be read from, and blanks, in places that the volume and the quarter name."""
+    raw = raw_tables(trades)
+    prices = {
+        "date": "if(volume % 11 = 0, concat(date, '?'), date)",
+        "open": "if(volume % 7 = 0, 'n/a', open)",
+        "high": "if(volume % 3 = 0, '  ', high)",
+        "volume": "if(volume % 5 = 0, concat(volume, 'e1'), volume)",
+    }
+    earnings = {"eps": "if(qtr LIKE 'Q1%', concat(eps, ' USD'), eps)"}
+    return {
+        "prices": raw["prices"].selectExpr(*[f"{prices.get(c, c)} AS {c}" for c in raw["prices"].columns]),
+        "earnings": raw["earnings"].selectExpr(*[f"{earnings.get(c, c)} AS {c}" for c in raw["earnings"].columns]),
+        "dividends": raw["dividends"],
+    }
