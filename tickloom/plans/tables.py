@@ -156,6 +156,10 @@ REACHES = [
     Reach(earnings.TRADED_BAR, earnings.REACH, earnings.REACH),
 ]
 
+# The columns of a ``market_frame`` that ``table_of`` reads.
+_OUTPUTS = [price.OUTPUT, volume.OUTPUT, earnings.OUTPUT, risk.OUTPUT, strength.OUTPUT, regime.OUTPUT]
+FRAME = list(dict.fromkeys([c for output in _OUTPUTS for c in output] + ["FIRST_OF_DAY", "HAS_CLOSE", "HAS_TRADE"]))
+
 
 def market_frame(
     silver: DataFrame,
