@@ -23,6 +23,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -70,9 +71,6 @@ class Word(NamedTuple):
     links: bytes
 
 
-NO_WORD = Word(False, 0, 0, 0, 0, b"", b"", b"")
-
-
 class Aligned(NamedTuple):
     """Alignments of a slice of documents: numbers of each, digests, and (document, pair, links) of its distinct pairs."""
 
@@ -86,10 +84,6 @@ class Aligned(NamedTuple):
     links: np.ndarray
 
 
-def pair_of(a: int, b: int) -> int:
-    return a << 32 | b
-
-
 class Aligner:
     """Aligns texts word by word, remembering the words."""
 
@@ -104,6 +98,9 @@ class Aligner:
         byte = {letter: b for b, letter in LETTERS.items()}
         self.bytes_a = {i: bytes(byte.get(c, 0x3F) for c in entry) for entry, i in self.a.get_vocab().items()}
         self.bytes_b = [self._bytes_b(i) for i in range(self.b.vocab_size())]
+        self.size_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        self.size_a[list(self.bytes_a)] = list(map(len, self.bytes_a.values()))
+        self.size_b = np.array(list(map(len, self.bytes_b)), np.int64)
         self.space = self.b.piece_to_id(MARKER)
         self.words = Remembered(REMEMBERED, OVERHEAD)
 
@@ -113,48 +110,78 @@ class Aligner:
             return bytes([int(text[3:5], 16)])
         return text.replace(MARKER, " ").encode()
 
-    def _align(self, word: str, a: list[int], b: list[int]) -> Word:
-        bytes_a, bytes_b, data = self.bytes_a, self.bytes_b, word.encode()
-        if b"".join([bytes_a[x] for x in a]) != data or b"".join([bytes_b[x] for x in b]) != data:
-            return NO_WORD
-        links: dict[int, int] = {}
-        text, n_links = [], 0
-        end_a = end_b = first_a = first_b = next_b = 0
-        for next_a, x in enumerate(a, 1):
-            end_a += len(bytes_a[x])
-            while end_b < end_a:
-                end_b += len(bytes_b[b[next_b]])
-                next_b += 1
-            if end_a != end_b:
-                continue
-            if next_a - first_a == 1 == next_b - first_b:
-                pair = pair_of(x, b[first_b])
-                links[pair] = links.get(pair, 0) + 1
-                n_links += 1
-                text.append(f"{x}|{b[first_b]}")
-            else:
-                group_a, group_b = a[first_a:next_a], b[first_b:next_b]
-                n_links += len(group_a) * len(group_b)
-                text.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
-                # Ids that repeat in a group are counted first, so a long group makes no list of all its links.
-                for p, m in _counts(group_a):
-                    for q, n in _counts(group_b):
-                        pair = pair_of(p, q)
-                        links[pair] = links.get(pair, 0) + m * n
-            first_a, first_b = next_a, next_b
-        pairs, numbers = np.array(list(links), np.int64).tobytes(), np.array(list(links.values()), np.int64).tobytes()
-        return Word(True, len(a), len(b), len(text), n_links, ";".join(text).encode(), pairs, numbers)
-
     def _learn(self, words: list[bytes]) -> list[Word]:
         texts = [w.decode() for w in words]
         a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         # B sets a space before each text itself, but for an empty one.
         b = self.b.encode([t[1:] for t in texts], num_threads=1)
         b = [x if t != " " else [self.space] for t, x in zip(texts, b, strict=True)]
-        return list(map(self._align, texts, a, b))
+        return self._aligned(words, a, b) if words else []
+
+    def _whole(self, words: list[bytes], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Whether the tokens of both sides give each word back."""
+        fit = np.ones(len(words), bool)
+        size = np.array(list(map(len, words)), np.int64)
+        for ids, data, sizes in ((a, self.bytes_a, self.size_a), (b, self.bytes_b, self.size_b)):
+            flat, word = flattened(ids)
+            joined = b"".join(map(data.__getitem__, flat.tolist()))
+            if (np.bincount(word, sizes[flat], len(words)) == size).all() and joined == b"".join(words):
+                continue
+            fit &= [b"".join(map(data.__getitem__, x)) == w for x, w in zip(ids, words, strict=True)]
+        return fit
+
+    def _aligned(self, words: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[Word]:
+        """The alignments of many words at once: their bytes stand one after the other, and so do their tokens."""
+        whole, n = self._whole(words, a, b), len(words)
+        (ids_a, word_a), (ids_b, word_b) = flattened(a), flattened(b)
+        ids_a, word_a, ids_b, word_b = ids_a[whole[word_a]], word_a[whole[word_a]], ids_b[whole[word_b]], word_b[whole[word_b]]
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b)
+        word = word_a[np.searchsorted(ends_a, ends)]
+
+        # The text of the groups: each id behind the mark that stands before it.
+        side = np.concatenate([2 * group_a, 2 * group_b + 1])
+        order = np.argsort(side, kind="stable")
+        side = side[order]
+        first = np.diff(side, prepend=-1) != 0
+        opens = np.diff(word, prepend=-1) != 0
+        mark = np.where(~first, 0, np.where(side % 2 == 1, 1, np.where(opens[side // 2], 3, 2)))
+        ids = pa.array(np.concatenate([ids_a, ids_b])[order]).cast(pa.string())
+        text = pc.binary_join_element_wise(pa.array([",", "|", ";", ""]).take(pa.array(mark)), ids, "")
+        offsets = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1) if len(text) else np.zeros(1, np.int32)
+        data = text.buffers()[2].to_pybytes() if len(text) else b""
+        tokens_a, tokens_b = np.bincount(word_a, minlength=n), np.bincount(word_b, minlength=n)
+        at = offsets[np.concatenate([[0], np.cumsum(tokens_a + tokens_b)])].tolist()
+
+        # Ids that repeat in a group are counted first, so a long group makes no list of all its links.
+        low = (1 << 32) - 1
+        of_a, times_a = np.unique(group_a << 32 | ids_a, return_counts=True)
+        of_b, times_b = np.unique(group_b << 32 | ids_b, return_counts=True)
+        own = of_a >> 32
+        partners = np.bincount(of_b >> 32, minlength=len(ends))
+        start = (np.cumsum(partners) - partners)[own]
+        each = partners[own]
+        left = np.repeat(np.arange(len(of_a)), each)
+        right = np.arange(len(left)) + np.repeat(start - np.cumsum(each) + each, each)
+        pair, links, owner = (of_a[left] & low) << 32 | of_b[right] & low, times_a[left] * times_b[right], word[own[left]]
+        order = np.lexsort((pair, owner))
+        pair, links, owner = pair[order], links[order], owner[order]
+        new = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
+        links = np.add.reduceat(links, new) if len(new) else links
+        pair, owner = pair[new], owner[new]
+        n_links = np.bincount(owner, links, n).astype(np.int64).tolist()
+        n_groups = np.bincount(word, minlength=n).tolist()
+        edge = (8 * np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])).tolist()
+        pairs, numbers = pair.tobytes(), links.astype(np.int64).tobytes()
+        columns = zip(whole.tolist(), tokens_a.tolist(), tokens_b.tolist(), n_groups, n_links, strict=True)
+        return [
+            Word(*row, data[at[i] : at[i + 1]], pairs[edge[i] : edge[i + 1]], numbers[edge[i] : edge[i + 1]])
+            for i, row in enumerate(columns)
+        ]
 
-    def align(self, texts: pa.StringArray) -> Aligned:
-        """The alignments of all texts. A null or empty one is a single space, of no tokens."""
+    def align(self, texts: pa.StringArray, digests: bool = True) -> Aligned:
+        """The alignments of all texts, on demand without digests. A null or empty one is a single space, of no tokens."""
         self.words.make_room()
         empty = pc.fill_null(pc.equal(pc.binary_length(texts), 0), True).to_numpy(zero_copy_only=False)
         spaced = pc.binary_join_element_wise(pa.scalar(" "), pc.fill_null(texts, ""), "")
@@ -170,9 +197,9 @@ class Aligner:
         short = [w for w in new if len(w) <= LONGEST]
         self.words.learn(short, [made[w] for w in short], sum(len(w) + len(made[w].groups) + 2 * len(made[w].pairs) for w in short))
         words = [made[w] if x is None else x for w, x in zip(distinct, words, strict=True)]
-        return self._documents(words, coded.indices.to_numpy(), np.diff(split.offsets.to_numpy()), empty)
+        return self._documents(words, coded.indices.to_numpy(), np.diff(split.offsets.to_numpy()), empty, digests)
 
-    def _documents(self, words: list[Word], place: np.ndarray, size: np.ndarray, empty: np.ndarray) -> Aligned:
+    def _documents(self, words: list[Word], place: np.ndarray, size: np.ndarray, empty: np.ndarray, digests: bool) -> Aligned:
         n, doc = len(size), np.repeat(np.arange(len(size)), size)
         whole = ~empty
         whole[doc[~np.array([w.whole for w in words], bool)[place]]] = False
@@ -187,6 +214,7 @@ class Aligner:
         digest = [
             hashlib.sha256(b";".join([groups[i] for i in place[end - k : end].tolist()])).hexdigest() if w else ""
             for end, k, w in zip(ends.tolist(), size.tolist(), whole.tolist(), strict=True)
+            if digests
         ]
         # Pairs get numbers within the slice, so that a document and a pair are one integer.
         pairs = np.frombuffer(b"".join([w.pairs for w in words]), np.int64)
@@ -214,11 +242,10 @@ class Aligner:
         )
 
 
-def _counts(ids: list[int]) -> list[tuple[int, int]]:
-    found: dict[int, int] = {}
-    for i in ids:
-        found[i] = found.get(i, 0) + 1
-    return list(found.items())
+def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The values one after the other, and the list that each comes from."""
+    size = np.array(list(map(len, lists)), np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, size.sum()), np.repeat(np.arange(len(lists)), size)
 
 
 def mixed(keys: np.ndarray, level: int) -> np.ndarray:
@@ -325,7 +352,7 @@ def task_sums(docs: DataFrame, models) -> DataFrame:
 
         for batch in batches:
             for piece in slices_of(batch, "text"):
-                found = aligner(models.value).align(piece.column("text"))
+                found = aligner(models.value).align(piece.column("text"), digests=False)
                 held.append(np.unique(found.pair, return_counts=True))
                 size += len(held[-1][0])
                 if size > HELD:
