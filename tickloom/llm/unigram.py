@@ -4,29 +4,31 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm.common import map_rows, table
+from tickloom.llm.common import Remembered, int_lists, map_rows, slices_of, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 #: A word with the spaces before it. No piece goes on from a word into a space, so each is segmented by itself.
 CHUNK = re.compile(rb" *[^ ]+| +")
-#: Segmented words that a task remembers.
-REMEMBERED = 400_000
+#: Bytes of segmented words and their ids that a worker remembers. Those longer than ``LONG`` it does not.
+REMEMBERED = 64 << 20
 #: Characters of texts whose new words are segmented together.
 TOGETHER = 2_000_000
 #: Words of one such step, and the bytes beyond which a word takes its own.
 BLOCK, LONG = 16_384, 128
 
 
-Trie = tuple[list[int], list[int], list[int]]
+Trie = tuple[array, array, array]
 
 
 def double_array(keys: dict[bytes, int]) -> Trie:
@@ -62,7 +64,7 @@ def double_array(keys: dict[bytes, int]) -> Trie:
         for b in bytes_:
             check[to + b] = node
             todo.append((to + b, at[b]))
-    return base, check, value
+    return array("i", base), array("i", check), array("i", value)
 
 
 class Pieces(NamedTuple):
@@ -230,14 +232,14 @@ def chunks_of(text: str) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes texts, remembering the words it has met.
+    """Encodes texts, remembering the words it has met, as bytes of 32-bit integers.
 
     A space is set before each text; spaces are markers. A null or empty text has no ids.
     """
 
     def __init__(self, pieces: Pieces):
         self.pieces, self.unknown = pieces, pieces.unknown
-        self.known: dict[bytes, list[int]] = {}
+        self.known = Remembered(REMEMBERED)
 
     def encode(self, texts: list[str | None]) -> Iterator[list[int]]:
         at = 0
@@ -246,18 +248,23 @@ class Encoder:
             while end < len(texts) and size < TOGETHER:
                 size += len(texts[end] or "")
                 end += 1
-            yield from self._encode([chunks_of(x) if x else [] for x in texts[at:end]])
+            yield from (np.frombuffer(ids, np.int32).tolist() for ids in self.encode_slice(texts[at:end]))
             at = end
 
-    def _encode(self, texts: list[list[bytes]]) -> Iterator[list[int]]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+    def encode_slice(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, which are all held at once."""
+        self.known.make_room()
+        split = [chunks_of(x) if x else [] for x in texts]
         known = self.known
-        new = list(set().union(*texts).difference(known))
+        new = list(set().union(*split).difference(known))
         spaced = [x if x[:1] == b" " else b" " + x for x in new]
-        known.update(zip(new, segment_all(spaced, self.pieces, self.unknown), strict=True))
-        for text in texts:
-            yield list(chain.from_iterable(map(known.__getitem__, text)))
+        ids = [array("i", x).tobytes() for x in segment_all(spaced, self.pieces, self.unknown)]
+        known.learn(new, ids, sum(map(len, new)) + sum(map(len, ids)))
+        found = [b"".join(map(known.__getitem__, text)) for text in split]
+        for word in new:
+            if len(word) > LONG:
+                del known[word]
+        return found
 
 
 def decode_ids(ids: list[int] | None, data: list[bytes]) -> str:
@@ -295,17 +302,37 @@ def decode(encoded: DataFrame, keep: list[str], path: str = MODEL) -> DataFrame:
 
 
 def encode_and_decode(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """doc_id, ids, their number, how many are bytes, and whether they decode to the text (null: empty)."""
+    """doc_id, ids, their number, how many are bytes, and whether they decode to the text (null: empty).
+
+    Texts are encoded, decoded and compared in one pass, in slices of bounded size.
+    """
     pieces = load_pieces(path)
-    encoded = encode(docs, ["doc_id", "text"], path)
-    both = decode(encoded, ["doc_id", "text", "ids"], path)
+    shared = docs.sparkSession.sparkContext.broadcast({"pieces": tuple(pieces)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker keeps the value of a broadcast from task to task, and the encoder with it.
+        held = shared.value
+        if "encoder" not in held:
+            held["encoder"] = Encoder(Pieces(*held["pieces"]))
+        encoder = held["encoder"]
+        data = encoder.pieces.data
+        for batch in batches:
+            for piece in slices_of(batch, "text"):
+                texts = piece.column("text").to_pylist()
+                found = encoder.encode_slice(texts)
+                same = [decode_ids(np.frombuffer(x, np.int32).tolist(), data) == (t or "") for x, t in zip(found, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), int_lists(found), pa.array(same, pa.bool_())], names)
+
+    names = ["doc_id", "ids", "round_trip"]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    both = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, round_trip boolean")
     low, high = min(pieces.byte_ids), max(pieces.byte_ids)
     return both.select(
         "doc_id",
         "ids",
         F.size("ids").cast("long").alias("n_ids"),
         F.size(F.filter("ids", lambda i: i.between(low, high))).cast("long").alias("n_bytes"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        "round_trip",
     )
 
 
