@@ -57,8 +57,8 @@ def double_array(keys: dict[bytes, int]) -> Trie:
         to = (free if len(bytes_) == 1 else tail) - bytes_[0]
         while any(to + b < len(check) and check[to + b] != -1 for b in bytes_):
             to += 1
-        for array in (base, check, value):
-            array.extend([-1] * (to + 256 - len(array)))
+        for row in (base, check, value):
+            row.extend([-1] * (to + 256 - len(row)))
         base[node] = to
         tail = max(tail, to + bytes_[0]) if len(bytes_) > 1 else tail
         for b in bytes_:
