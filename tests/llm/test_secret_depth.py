@@ -1,0 +1,20 @@
+"""op1: a token whose header nests very deeply is no token, and no error."""
+
+from __future__ import annotations
+
+import base64
+
+import pytest
+
+from tickloom.llm import secrets
+
+
+@pytest.mark.parametrize("levels", [1_000, 20_000, 200_000])
+def test_nested_headers(levels):
+    def coded(text):
+        return base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+
+    claims = coded('{"sub": 1}')
+    assert not secrets.jwt_holds(coded('{"a":' + "[" * levels), claims)
+    assert not secrets.jwt_holds(coded('{"b":' + "[" * levels + "]" * levels + "}"), claims)
+    assert secrets.jwt_holds(coded('{"alg": "HS256"}'), claims)

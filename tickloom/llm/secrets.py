@@ -42,10 +42,13 @@ def crc_holds(body: str) -> bool:
 
 
 def jwt_holds(header: str, claims: str) -> bool:
-    """Header and claims are base64url of JSON objects, and the header names an algorithm."""
+    """Header and claims are base64url of JSON objects, and the header names an algorithm.
+
+    One that nests deeper than the JSON reader goes is no token.
+    """
     try:
         head, body = (json.loads(base64.urlsafe_b64decode(x + "=" * (-len(x) % 4))) for x in (header, claims))
-    except (ValueError, binascii.Error):
+    except (ValueError, binascii.Error, RecursionError):
         return False
     return isinstance(head, dict) and "alg" in head and isinstance(body, dict)
 
