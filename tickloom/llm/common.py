@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tickloom.sources.tables import scratch_dir
+from tickloom.sources.tables import remove, scratch_dir
 
 #: Upper case letters of ASCII only; other letters stay as they are.
 ASCII_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
@@ -31,11 +31,16 @@ class Scratch:
     """Tables of one run, in a fresh folder below ``spark.checkpoint.dir``."""
 
     def __init__(self, spark: SparkSession):
-        self.root = scratch_dir(spark)
+        self.spark, self.root = spark, scratch_dir(spark)
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         return stored(df, f"{self.root}/{name}")
 
+    def drop(self, *names: str) -> None:
+        """Remove tables that no frame still in use reads."""
+        for name in names:
+            remove(self.spark, f"{self.root}/{name}")
+
 
 #: Row keys of rows that their doc_id does not name lie beyond this, on either side.
 FAR = 1 << 62
@@ -136,6 +141,13 @@ def int_lists(values: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
 
+def long_lists(values: list[np.ndarray]) -> pa.ListArray:
+    """Each array of 64-bit integers as a list; no integer becomes a Python object."""
+    ends = np.cumsum([0, *map(len, values)])
+    flat = np.concatenate([np.zeros(0, np.int64), *values])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
+
+
 class Remembered(dict):
     """Values of words by word, up to about ``most`` bytes in all. Beyond that the older half goes."""
 

@@ -20,6 +20,8 @@ link are opened, and their members compared with the query in full.
 
 Members of one family are not compared with each other: they already have the
 same component. So a group of copies, however large, costs no more than its size.
+The comparisons come in waves, each against other sets, until one finds no link; hashes
+that only one family has left are dropped after each.
 """
 
 from __future__ import annotations
@@ -27,23 +29,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tickloom.llm.common import Scratch, lower_words_of, map_batches, map_rows, table
+from tickloom.llm.common import Scratch, long_lists, lower_words_of, slices_of, table
 
 WORDS = 5
 #: Documents link when ``PARTS * intersection >= NEAR * union``.
 NEAR, PARTS = 75, 100
 #: Members of one group, on average.
-GROUP_SIZE = 32
-#: Rounds in which a set is compared with one other, and the least share of its hashes to compare that the other has.
-ROUNDS, ALIKE = 3, 0.4
-#: So many numbers at most are broadcast; beyond, the join shuffles both sides.
-BROADCAST_IDS = 4_000_000
-#: Hashes that a task meets in so many documents of one batch, and all tasks in so many documents, come last; of more
+GROUP_SIZE = 8
+#: Waves at most in which a set is compared with one other, the share of a wave's comparisons that must link for
+#: another wave, and the least share of its hashes to compare that the other set has. They only decide how much is
+#: left to the matrix, which compares all that may still link.
+WAVES, WORTH, ALIKE = 10, 0.1, 0.4
+#: A family opens its likeliest groups first: so many in the first round, and in each further one so many times more.
+FIRST, MORE = 4, 8
+#: So many doc_ids at most are broadcast; beyond, the join shuffles both sides.
+BROADCAST_IDS = 100_000
+#: Hashes that a task meets in so many documents of one slice, and all tasks in so many documents, come last; of more
 #: than ``MOST_COMMON`` such hashes, those in twice as many documents, and so on. (They only order the others.)
-SEEN_FROM, COMMON_FROM, MOST_COMMON = 3, 24, 1_000_000
+SEEN_FROM, COMMON_FROM, MOST_COMMON = 3, 24, 250_000
+#: Bytes of text whose hashes a task counts at once.
+COUNTED_BYTES = 16_000_000
 
 
 def signed(x: int) -> int:
@@ -80,13 +89,15 @@ def signature_size(n: int) -> int:
 def common_hashes(docs: DataFrame, scratch: Scratch) -> np.ndarray:
     """Hashes that many documents hold, sorted. Each task counts those of its batches, over all rows."""
 
-    def rows(batches: Iterator[list[list]]) -> Iterator[list]:
-        for (texts,) in batches:
-            found, held = np.unique(np.concatenate([NONE, *map(shingles, texts)]), return_counts=True)
-            often = held >= SEEN_FROM
-            yield [found[often], held[often]]
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices_of(batch, "text", COUNTED_BYTES):
+                found = [NONE, *map(shingles, part.column("text").to_pylist())]
+                tokens, held = np.unique(np.concatenate(found), return_counts=True)
+                often = held >= SEEN_FROM
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[often]), pa.array(held[often])], ["token", "held"])
 
-    seen = map_batches(docs, ["text"], rows, "token long, held long")
+    seen = docs.select("text").mapInArrow(rows, "token long, held long")
     totals = seen.groupBy("token").agg(F.sum("held").alias("held"))
     often = scratch.store(totals.filter(F.col("held") >= COMMON_FROM), "often")
     least = COMMON_FROM
@@ -103,56 +114,100 @@ def signature(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """Of each row: doc_id, n (size of its set), the set's name, and its signature."""
+    """Of each row: doc_id, n (size of its set), the set's name, and its signature.
+
+    A task gives the signature of a set once, so that copies cost no more than a row each.
+    A row without a doc_id gets none.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(last)
 
-    def rows(texts):
-        for text in texts:
-            found = shingles(text)
-            yield len(found), name_of(found), signature(found, shared.value)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
+        for batch in batches:
+            for part in slices_of(batch, "text"):
+                ids, sizes, names, lists = part.column("doc_id"), [], [], []
+                for text, known in zip(part.column("text").to_pylist(), ids.is_valid().to_pylist(), strict=True):
+                    found = shingles(text)
+                    name = name_of(found)
+                    first = known and name not in given
+                    if first:
+                        given.add(name)
+                    sizes.append(len(found))
+                    names.append(name)
+                    lists.append(signature(found, shared.value) if first else NONE)
+                columns = [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), long_lists(lists)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_id", "signature"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ddl = f"doc_id {kind}, n long, set_id long, signature array<long>"
+    return docs.select("doc_id", "text").mapInArrow(rows, ddl)
+
 
-    return map_rows(docs, ["doc_id"], ["text"], rows, "n long, set_id long, signature array<long>")
+def contested(rows: DataFrame) -> DataFrame:
+    """The rows (token, set_id, n, family) of tokens that more than one family has, from one shuffle by token."""
+    dealt = rows.repartition("token")
+    ends = dealt.groupBy("token").agg(F.min("family").alias("low"), F.max("family").alias("high"))
+    return dealt.join(ends.filter("low < high").select("token").hint("shuffle_hash"), "token")
 
 
-def bounded(numbers: DataFrame) -> DataFrame:
-    """A stored frame of numbers, marked for broadcast if it has few enough rows."""
-    return F.broadcast(numbers) if numbers.count() <= BROADCAST_IDS else numbers
+def postings(filled: DataFrame) -> DataFrame:
+    """(token, set_id, n, family) of the signatures, without hashes that only one set has; each set is a family."""
+    tokens = filled.select(F.explode("signature").alias("token"), "set_id", "n", F.col("set_id").alias("family"))
+    return contested(tokens).distinct()
 
 
-def postings(filled: DataFrame, scratch: Scratch) -> DataFrame:
-    """(set_id, n, token) of the signatures, without hashes that only one set has."""
-    tokens = filled.select("set_id", "n", F.explode("signature").alias("token"))
-    twice = tokens.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
-    met = scratch.store(tokens.join(bounded(scratch.store(twice, "twice")), "token").distinct(), "met")
-    held = met.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
-    return scratch.store(met.join(held, "token"), "posted")
+def bounded(ids: DataFrame) -> DataFrame:
+    """A stored frame of ids, marked for broadcast if it has few enough rows."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id and all hashes of the sets ``wanted`` (set_id, doc_id), from the text of one document each."""
     chosen = docs.select("doc_id", "text").join(bounded(wanted).select("doc_id"), "doc_id", "left_semi")
 
-    def rows(texts):
-        for text in texts:
-            found = shingles(text)
-            yield name_of(found), found
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices_of(batch, "text"):
+                found = [shingles(text) for text in part.column("text").to_pylist()]
+                columns = [part.column("doc_id"), pa.array(map(name_of, found), pa.int64()), long_lists(found)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set_id", "hashes"])
 
-    made = map_rows(chosen, ["doc_id"], ["text"], rows, "set_id long, hashes array<long>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    made = chosen.mapInArrow(rows, f"doc_id {kind}, set_id long, hashes array<long>")
     return made.join(wanted, ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"]).select("set_id", "hashes")
 
 
-def linked(pairs: DataFrame, names: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose sets link. ``names``: a doc_id of each set_id."""
-    pairs = scratch.store(pairs, f"{name}-pairs")
-    ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    wanted = scratch.store(names.join(bounded(scratch.store(ids, f"{name}-ids")), "set_id"), f"{name}-wanted")
-    sets = scratch.store(full_sets(docs, wanted), f"{name}-sets")
-    left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("left"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("right"))
-    both = pairs.join(right, "b").join(left, "a")
-    common = F.size(F.array_intersect("left", "right"))
-    near = PARTS * common >= NEAR * (F.size("left") + F.size("right") - common)
-    return scratch.store(both.filter(near).select("a", "b"), name)
+class Verifier:
+    """Tells which pairs of sets link. The hashes of a set are made from its text once, when a pair first names it."""
+
+    def __init__(self, docs: DataFrame, names: DataFrame, scratch: Scratch):
+        self.docs, self.names, self.scratch = docs, names, scratch
+        self.made: list[DataFrame] = []
+        self.tables: list[str] = []
+
+    def _load(self, pairs: DataFrame, name: str) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+        for sets in self.made:
+            ids = ids.join(sets.select("set_id"), "set_id", "left_anti")
+        wanted = self.scratch.store(self.names.join(ids, "set_id"), f"{name}-wanted")
+        self.made.append(self.scratch.store(full_sets(self.docs, wanted), f"{name}-sets"))
+        self.tables.append(f"{name}-sets")
+        self.scratch.drop(f"{name}-wanted")
+        return union(self.made)
+
+    def linked(self, pairs: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """The rows (a, b) of ``pairs`` whose sets link, stored; and the number of pairs."""
+        pairs = self.scratch.store(pairs, f"{name}-pairs")
+        compared = pairs.count()
+        sets = self._load(pairs, name)
+        left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("left"))
+        right = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("right"))
+        both = pairs.join(right, "b").join(left, "a")
+        common = F.size(F.array_intersect("left", "right"))
+        near = PARTS * common >= NEAR * (F.size("left") + F.size("right") - common)
+        links = self.scratch.store(both.filter(near).select("a", "b"), name)
+        self.scratch.drop(f"{name}-pairs")
+        return links, compared
 
 
 def sizes_fit(n_a: Column, n_b: Column) -> Column:
@@ -178,14 +233,14 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         up = labels.select(F.col("set_id").alias("of"), F.col("family").alias("next"))
         jumped = fallen.join(up, F.col("family") == F.col("of"))
         labels = scratch.store(jumped.select("set_id", F.least("family", "next").alias("family")), f"{name}-{step}")
+        scratch.drop(f"{name}-{step - 1}")
         before, last = last, labels.agg(total).first()[0]
         if before == last:
+            scratch.drop(f"{name}-edges")
             return labels
 
 
-def with_family(rows: DataFrame, families: DataFrame | None) -> DataFrame:
-    if families is None:
-        return rows.withColumn("family", F.col("set_id"))
+def with_family(rows: DataFrame, families: DataFrame) -> DataFrame:
     return rows.join(families, "set_id", "left").withColumn("family", F.coalesce("family", "set_id"))
 
 
@@ -229,11 +284,12 @@ def grouped(posted: DataFrame) -> DataFrame:
 
 
 def open_groups(posted: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b): pairs of sets of two families that the matrix cannot rule out.
+    """(set_id, n, of, other, common): sets and groups of two families that the matrix cannot rule out.
 
     A query's count of hashes in common with a group is at least that with any
     member. What a group must reach is the least of what its smallest and its largest
-    size need, for the need first grows and then falls with the size.
+    size need, for the need first grows and then falls with the size. Groups keep their members
+    while families merge.
     """
     rows = posted.select("token", "set_id").join(members, "set_id")
     bounds = members.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"))
@@ -243,14 +299,26 @@ def open_groups(posted: DataFrame, members: DataFrame) -> DataFrame:
     smaller = (F.col("family_size") < F.col("other_size")) | (
         (F.col("family_size") == F.col("other_size")) & (F.col("family") < F.col("other"))
     )
-    counted = rows.join(matrix, "token").filter(smaller).groupBy("set_id", "n", "of").agg(F.count("*").alias("common"))
+    counted = rows.join(matrix, "token").filter(smaller).groupBy("set_id", "n", "of", "other").agg(F.count("*").alias("common"))
     counted = counted.join(bounds.withColumnRenamed("group", "of"), "of")
 
     fits = (PARTS * F.col("high") >= NEAR * F.col("n")) & (PARTS * F.col("n") >= NEAR * F.col("low"))
-    opened = counted.filter(fits & (F.col("common") >= F.least(need(F.col("n"), F.col("low")), need(F.col("n"), F.col("high")))))
+    least = F.least(need(F.col("n"), F.col("low")), need(F.col("n"), F.col("high")))
+    return counted.filter(fits & (F.col("common") >= least)).drop("low", "high")
+
+
+def pairs_of(opened: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): the sets, each with the members of its groups whose sizes fit."""
     inside = members.select(F.col("group").alias("of"), F.col("set_id").alias("b"), F.col("n").alias("m"))
-    pairs = opened.join(inside, "of").filter(sizes_fit(F.col("n"), F.col("m")))
-    return pairs.select(F.col("set_id").alias("a"), "b")
+    return opened.join(inside, "of").filter(sizes_fit(F.col("n"), F.col("m"))).select(F.col("set_id").alias("a"), "b")
+
+
+def apart(opened: DataFrame, families: DataFrame) -> DataFrame:
+    """The rows of ``opened`` whose set and group are of two families by now, with these as ``family`` and ``into``."""
+    here = with_family(opened.drop("family", "into"), families)
+    there = families.select(F.col("set_id").alias("other"), F.col("family").alias("into"))
+    there = here.join(there, "other", "left").withColumn("into", F.coalesce("into", "other"))
+    return there.filter("family <> into")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -260,23 +328,44 @@ def join(docs: DataFrame) -> DataFrame:
     links with nothing; so does a row without a doc_id, whose component is null.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.store(sketches(docs, common_hashes(docs, scratch)), "sketches")
+    sketched = scratch.store(sketches(docs, common_hashes(docs, scratch)), "sketches")
+    rows = scratch.store(sketched.select("doc_id", "n", "set_id"), "rows")
     filled = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    posted = postings(filled, scratch)
-    names = filled.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-
-    edges: list[DataFrame] = []
-    families = None
-    for number in range(ROUNDS):
-        pairs = star_pairs(with_family(posted, families), number)
-        edges.append(linked(pairs, names, docs, scratch, f"links{number}"))
-        families = components(union(edges), scratch, f"families{number}")
-    remaining = scratch.store(with_family(posted, families), "remaining")
-    members = scratch.store(grouped(remaining), "members")
-    edges.append(linked(open_groups(remaining, members), names, docs, scratch, "links"))
-    whole = components(union(edges), scratch, "components")
-
-    named = with_family(rows.select("doc_id", "n", "set_id"), whole)
+    names = scratch.store(filled.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "names")
+    posted = scratch.store(postings(sketched), "posted")
+    scratch.drop("sketches", "often")
+
+    verifier = Verifier(docs, names, scratch)
+    edges, last = [], "posted"
+    for wave in range(WAVES):
+        links, compared = verifier.linked(star_pairs(posted, wave), f"links{wave}")
+        edges.append(links)
+        families = components(union(edges), scratch, f"families{wave}")
+        left = with_family(posted.drop("family"), families).select("token", "set_id", "n", "family")
+        posted = scratch.store(contested(left), f"posted{wave}")
+        scratch.drop(last)
+        last = f"posted{wave}"
+        if links.count() <= WORTH * compared:
+            break
+    members = scratch.store(grouped(posted), "members")
+    opened = scratch.store(open_groups(posted, members), "opened")
+    scratch.drop(last)
+
+    # One link merges two families, and what is between them need not be opened any more. A family's rank
+    # limit is applied before the shuffle, so that no task gets all rows of one. The rounds end with the last row.
+    most, step = FIRST, 0
+    between = Window.partitionBy("family").orderBy(F.desc("common"), "set_id", "of")
+    while not (opened := scratch.store(apart(opened, families), f"opened{step}")).isEmpty():
+        ranked = opened.withColumn("place", F.row_number().over(between)).filter(F.col("place") <= most)
+        chosen = scratch.store(ranked.drop("place"), f"chosen{step}")
+        links, _ = verifier.linked(pairs_of(chosen, members), f"links-{step}-opened")
+        edges.append(links)
+        families = components(union(edges), scratch, f"joined{step}")
+        opened = opened.join(chosen.select("set_id", "of"), ["set_id", "of"], "left_anti")
+        most, step = most * MORE, step + 1
+    scratch.drop("members", "opened", "names", *verifier.tables)
+
+    named = with_family(rows, families)
     least = named.filter("n > 0").groupBy("family").agg(F.min("doc_id").alias("least"))
     found = named.join(least, "family", "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("least")).otherwise(F.col("doc_id"))
