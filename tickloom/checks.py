@@ -245,7 +245,8 @@ def dictionary_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = {"earnings_reaction": "HAS_TRADE", "relative_strength": "HAS_CLOSE"}
     names = ("price_metrics", "volume_liquidity", "earnings_reaction", "relative_strength", "market_regime")
     audited = {name: (AUDITED[name], rows.get(name, "true")) for name in names}
-    frame = stored("market_frame", tables.market_frame(silver, longest=longest, index=index), audited)
+    with tables.wide_rows(spark):
+        frame = stored("market_frame", tables.market_frame(silver, longest=longest, index=index), audited)
     stored("market_breadth", tables.table_of(frame, "market_breadth"), {"market_breadth": every["market_breadth"]})
     schema = "TABLE_NAME string, COLUMN_NAME string, KNOWN_VALUES long, DESCRIBED boolean"
     return spark.createDataFrame(found, schema)

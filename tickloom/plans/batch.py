@@ -137,7 +137,8 @@ def build_gold(
         path = f"{scratch}/market_frame"
         # Read once and then removed: hardly a value repeats, so dictionaries would only cost time.
         written = tables.market_frame(silver, benchmark, longest).select(*tables.FRAME).write
-        written.options(**{"parquet.enable.dictionary": "false", "compression": "lz4_raw"}).parquet(path)
+        with tables.wide_rows(spark):
+            written.options(**{"parquet.enable.dictionary": "false", "compression": "lz4_raw"}).parquet(path)
         frame = spark.read.parquet(path)
         gold = {table_path(base_dir, name): with_comments(tables.table_of(frame, name)) for name in GOLD_TABLES}
         _write_all(spark, gold, files, len(gold))

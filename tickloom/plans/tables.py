@@ -10,7 +10,10 @@ being built, so pass it where silver is not stored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.functions.series import BY_SYMBOL, Series, add_columns
 from tickloom.operators import breadth, earnings, price, regime, risk, strength, volume
@@ -23,6 +26,27 @@ def part_rows(bars: DataFrame, longest: int | None) -> int | None:
     return PART_ROWS if rows > MAX_ROWS else None
 
 
+# The JVM compiles no method of more bytes of code than this; a fixed value of HotSpot.
+LARGEST_COMPILED = 8000
+HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def wide_rows(spark: SparkSession) -> Iterator[None]:
+    """For jobs over the wide rows of a ``market_frame``, which must run inside.
+
+    Spark would fuse projections of some ninety columns into one method, too large for the JVM to compile, and
+    interpret it for every row. Inside, such projections run unfused, from methods that are compiled. The
+    setting is the session's, so queries of other threads see it too; it changes no result.
+    """
+    before = spark.conf.get(HUGE_METHOD)
+    spark.conf.set(HUGE_METHOD, str(min(int(before), LARGEST_COMPILED)))
+    try:
+        yield
+    finally:
+        spark.conf.set(HUGE_METHOD, before)
+
+
 def _priced(silver: DataFrame, parts: int | None) -> DataFrame:
     return over_series(silver, BY_SYMBOL, price.add_price_metrics, price.REACH, part_rows=parts)
 
