@@ -73,6 +73,8 @@ def words_of(texts: list[str], letters: Letters) -> Words:
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     known = np.minimum(codes, Letters.SIZE)
     is_letter = letters.is_letter[known]
+    high = np.flatnonzero(known == Letters.SIZE)
+    is_letter[high] = [chr(c).isalpha() for c in codes[high].tolist()]
     low = np.where(is_letter, letters.lower[known], 0).astype(np.uint64)
     place = np.flatnonzero(is_letter)
     before = np.concatenate([[np.uint64(0)], low])[place]
@@ -87,12 +89,12 @@ def words_of(texts: list[str], letters: Letters) -> Words:
     return Words(bins, first, at, script, np.searchsorted(starts, at, side="right") - 1, starts)
 
 
-def together(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Runs of texts with about ``TOGETHER`` characters."""
+def together(texts: list[str], most: int = TOGETHER) -> Iterator[tuple[int, int]]:
+    """Runs of texts with about ``most`` characters."""
     at = 0
     while at < len(texts):
         end, size = at, 0
-        while end < len(texts) and size < TOGETHER:
+        while end < len(texts) and size < most:
             size += len(texts[end])
             end += 1
         yield at, end
@@ -197,7 +199,10 @@ def label(texts: list[str], model: Model, letters: Letters) -> Iterator[list[dic
     if not len(words.first) or not model.languages:
         yield from ([] for _ in texts)
         return
-    scores = np.add.reduceat(model.log[words.bins], words.first, axis=0)
+    # Language by language, so that no array holds all letters times all languages.
+    scores = np.empty((len(words.first), len(model.languages)), np.float32)
+    for at, column in enumerate(model.log.T):
+        scores[:, at] = np.add.reduceat(np.ascontiguousarray(column)[words.bins], words.first)
     scores[~model.candidate[words.script]] -= 1e4
     path = best_path(scores, words.text, len(texts))
     sizes = np.diff(np.append(words.first, len(words.bins)))
@@ -227,7 +232,9 @@ def identify(docs: DataFrame, keep: list[str], model: Model) -> DataFrame:
     def rows(given):
         letters, known = Letters(), Model(*shared.value)
         texts = [text or "" for text in given]
-        for start, end in together(texts):
+        # The path holds a few bytes per word and language.
+        most = TOGETHER * 16 // max(16, len(known.languages))
+        for start, end in together(texts, most):
             for spans in label(texts[start:end], known, letters):
                 yield (spans,)
 

@@ -1,9 +1,12 @@
-"""License scan: rare licence words, their places in templates, and mandatory key phrases."""
+"""License scan: rare licence words, their places in templates, and mandatory key phrases.
+
+The base phrases are templates too: they are found through the same postings and verified whole.
+"""
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -47,6 +50,46 @@ TEMPLATES: list[tuple[str, str, tuple[str, ...]]] = [
     ("reserved", "all rights reserved", ("all rights reserved",)),
 ]
 
+#: Licence texts that are often quoted whole: labels, texts, and phrases one of which must stand in them. Fixed values.
+BODIES: list[tuple[str, str, tuple[str, ...]]] = [
+    ("mit", """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation
+        the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
+        to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
+        copyright notice and this permission notice shall be included in all copies or substantial portions of the
+        Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+        LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT
+        SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION
+        OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+        DEALINGS IN THE SOFTWARE.""", ("permission is hereby granted", "to deal in the software")),
+    ("isc", """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE
+        IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+        INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER
+        IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+        PERFORMANCE OF THIS SOFTWARE.""", ("permission to use copy modify", "the author disclaims all warranties")),
+    ("bsd", """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+        of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+        notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided
+        with the distribution.""", ("redistribution and use in source", "redistributions in binary form")),
+    ("gpl", """
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+        even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""", ("general public license",)),
+    ("apache", """
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+        with the License. Unless required by applicable law or agreed to in writing, software distributed under the
+        License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or
+        implied.""", ("apache license",)),
+]
+TEMPLATES += BODIES
+
 #: Least share of a template's IDF that must stand at the right places.
 LEAST_SCORE = 0.6
 
@@ -61,12 +104,6 @@ def license_words(text: str | None) -> list[bytes]:
     return text.encode().translate(WORD_BYTES).split() if text else []
 
 
-def places(words: list[bytes], phrase: list[bytes], starts: dict[bytes, list[int]]) -> list[int]:
-    """Where the phrase's words stand one after the other."""
-    size = len(phrase)
-    return [i for i in starts.get(phrase[0], ()) if words[i : i + size] == phrase]
-
-
 def starts_of(words: list[bytes], wanted: frozenset[bytes]) -> dict[bytes, list[int]]:
     """Places of the wanted words; most texts have none."""
     starts: dict[bytes, list[int]] = defaultdict(list)
@@ -78,18 +115,22 @@ def starts_of(words: list[bytes], wanted: frozenset[bytes]) -> dict[bytes, list[
 
 
 class Index(NamedTuple):
-    """Postings (template, place) of each template's rarest words, IDF of all, and the templates."""
+    """Postings (entry, place) of each entry's rarest words, IDF of all, and the entries: the templates, then the base phrases.
+
+    ``need`` tells how many posted words of an entry must agree on where it starts.
+    """
 
     postings: dict[bytes, list[tuple[int, int]]]
     idf: dict[bytes, float]
     words: list[list[bytes]]
     labels: list[str]
     keys: list[list[list[bytes]]]
+    need: list[int]
 
 
 def vocabulary() -> list[bytes]:
-    spoken = {w for _, text, _ in TEMPLATES for w in text.encode().split()}
-    return sorted(spoken | {w for phrase in PHRASES for w in phrase.encode().split()})
+    texts = [*(text for _, text, _ in TEMPLATES), *PHRASES]
+    return sorted({w for text in texts for w in license_words(text)})
 
 
 def frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
@@ -114,35 +155,71 @@ def frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
     return found.pop(b"", 0), found
 
 
+def rare_places(words: list[bytes], idf: dict[bytes, float], missing: float) -> tuple[list[int], int]:
+    """Places of the rarest words to post, and how many of them every match holds.
+
+    A match may lack the share ``missing`` of the IDF. Words are taken, the highest IDF first, until all but
+    the first hold more than that: a match then has two of them. Where even all words do not, it has one.
+    """
+    whole, rest, taken = sum(idf[w] for w in words), 0.0, []
+    for place in sorted(range(len(words)), key=lambda p: (-idf[words[p]], p)):
+        rest += idf[words[place]] if taken else 0.0
+        taken.append(place)
+        if rest > missing * whole:
+            return taken, 2
+    return taken, 1
+
+
 def build_index(total: int, held: dict[bytes, int]) -> Index:
-    """Each template is posted by its rarest words only: those of the highest IDF that
-    together hold more than ``1 - LEAST_SCORE`` of it. No match can do without all of them."""
-    words = [text.encode().split() for _, text, _ in TEMPLATES]
+    """Each template and each base phrase is posted by its rarest words only (see ``rare_places``).
+    A phrase must stand whole, so two words of it are enough."""
+    words = [license_words(text) for text in [*(text for _, text, _ in TEMPLATES), *PHRASES]]
     idf = {w: math.log((total + 1) / (held.get(w, 0) + 1)) + 0.01 for w in vocabulary()}
     postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-    for number, template in enumerate(words):
-        whole, taken = sum(idf[w] for w in template), 0.0
-        for place in sorted(range(len(template)), key=lambda p: (-idf[template[p]], p)):
-            if taken <= (1 - LEAST_SCORE) * whole:
-                postings[template[place]].append((number, place))
-                taken += idf[template[place]]
-    keys = [[k.encode().split() for k in phrases] for _, _, phrases in TEMPLATES]
-    return Index(dict(postings), idf, words, [label for label, _, _ in TEMPLATES], keys)
+    need = []
+    for number, entry in enumerate(words):
+        posted, least = rare_places(entry, idf, 1 - LEAST_SCORE if number < len(TEMPLATES) else 0.0)
+        need.append(least)
+        for place in posted:
+            postings[entry[place]].append((number, place))
+    keys = [[license_words(k) for k in phrases] for _, _, phrases in TEMPLATES]
+    labels = [*(label for label, _, _ in TEMPLATES), *PHRASES.values()]
+    return Index(dict(postings), idf, words, labels, keys, need)
+
+
+def candidates(starts: dict[bytes, list[int]], index: Index) -> list[tuple[int, int]]:
+    """(entry, offset): where as many posted words of the entry as it needs stand at its relative places."""
+    named = Counter(
+        (number, i - place) for word, at in starts.items() for number, place in index.postings.get(word, ()) for i in at
+    )
+    return sorted(key for key, n in named.items() if n >= index.need[key[0]])
+
+
+def phrases_at(words: list[bytes], at: list[tuple[int, int]], index: Index) -> list[dict]:
+    """Labels and places of the base phrases among the candidates, each verified word by word."""
+    places: dict[int, list[int]] = defaultdict(list)
+    for number, offset in at:
+        phrase = index.words[number]
+        if number >= len(TEMPLATES) and offset >= 0 and words[offset : offset + len(phrase)] == phrase:
+            places[number].append(offset)
+    return [{"label": index.labels[n], "places": places[n]} for n in sorted(places)]
 
 
 def match(words: list[bytes], starts: dict[bytes, list[int]], index: Index) -> list[dict]:
+    return templates_at(words, candidates(starts, index), index)
+
+
+def templates_at(words: list[bytes], at: list[tuple[int, int]], index: Index) -> list[dict]:
     """Templates found in the text, each at its best place: label, first word, score.
 
-    The rare licence words of the text name, by their postings, templates and
-    the offset of each. The score is the share of the template's IDF that
-    stands in place there; it must reach ``LEAST_SCORE``, and a key phrase of the
-    template must stand in that stretch. Of equal scores the first place counts.
+    The score is the share of the template's IDF that stands in place at a candidate's
+    offset; it must reach ``LEAST_SCORE``, and a key phrase of the template must stand
+    in that stretch. Of equal scores the first place counts.
     """
-    named = {
-        (number, i - place) for word, at in starts.items() for number, place in index.postings.get(word, ()) for i in at
-    }
     found: dict[int, dict] = {}
-    for number, offset in sorted(named):
+    for number, offset in at:
+        if number >= len(TEMPLATES):
+            continue
         template = index.words[number]
         stretch = words[max(0, offset) : offset + len(template)]
         first = max(0, -offset)
@@ -161,15 +238,13 @@ def scan(docs: DataFrame, keep: list[str], index: Index) -> DataFrame:
 
     Each row is scanned whole and by itself. A null or empty text has no words and no licence.
     """
-    phrases = [(label, phrase.encode().split()) for phrase, label in PHRASES.items()]
-    wanted = frozenset(index.postings) | {phrase[0] for _, phrase in phrases}
+    wanted = frozenset(index.postings)
 
     def rows(texts):
         for text in texts:
             words = license_words(text)
-            starts = starts_of(words, wanted)
-            at = [{"label": label, "places": places(words, phrase, starts)} for label, phrase in phrases]
-            yield len(words), [x for x in at if x["places"]], match(words, starts, index)
+            at = candidates(starts_of(words, wanted), index)
+            yield len(words), phrases_at(words, at, index), templates_at(words, at, index)
 
     ddl = (
         "n_words long, phrases array<struct<label:string,places:array<long>>>, "

@@ -25,7 +25,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])")
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+JWT = re.compile(r"(eyJ[A-Za-z0-9_-]++)\.(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]+")
+JWT_PART = re.compile(r"[A-Za-z0-9_-]+")
 PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 
 #: Digits of the checksum at the end of GitHub's and npm's tokens, a fixed value.
@@ -77,6 +78,8 @@ RULES: dict[str, tuple[tuple[str, ...], re.Pattern, Callable[[re.Match], bool]]]
     "jwt": (("eyj",), JWT, lambda m: jwt_holds(m[1], m[2])),
     "pem": (("-----begin ",), PEM, lambda m: der_holds(m[2])),
 }
+#: Kinds whose patterns start with a run of this form: where no match starts at one keyword in a run, none starts at a later one.
+RUNS: dict[str, re.Pattern] = {"jwt": JWT_PART}
 KINDS = ["assign", "access", "hex", "github", "npm", "jwt", "pem"]
 BASE = KINDS[:3]
 
@@ -101,8 +104,9 @@ def find_secrets(text: str | None, keywords: ahocorasick.Automaton) -> list[Span
 
     A pattern is tried only where one of its keywords starts. As every match
     starts with a keyword, going from left to right past each match gives the
-    leftmost non-overlapping matches of a scan of the whole text. Long runs of
-    hexadecimal digits have no keyword and are looked for by themselves.
+    leftmost non-overlapping matches of a scan of the whole text. A run in which
+    no token starts is left after its first keyword, so the time is linear in the
+    text. Long runs of hexadecimal digits have no keyword and are looked for by themselves.
     """
     if not text:
         return []
@@ -112,12 +116,17 @@ def find_secrets(text: str | None, keywords: ahocorasick.Automaton) -> list[Span
         starts.setdefault(kind, []).append(last + 1 - length)
     for kind, places in starts.items():
         _, pattern, holds = RULES[kind]
-        past = 0
+        past, run = 0, RUNS.get(kind)
         for start in sorted(places):
-            if start >= past and (m := pattern.match(text, start)):
+            if start < past:
+                continue
+            if m := pattern.match(text, start):
                 past = m.end()
                 if holds(m):
                     spans.append((m.start(), m.end(), kind))
+            # The keyword is found in any case of its letters, so a run's later keyword may be the first that fits.
+            elif run and text.startswith("eyJ", start):
+                past = run.match(text, start).end()
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
