@@ -39,6 +39,19 @@ def usable(vectors: DataFrame) -> DataFrame:
     )
 
 
+def common_size(vectors: DataFrame) -> int | None:
+    """The number of components that most vectors have (ties: the larger one); None without vectors."""
+    sizes = vectors.groupBy(F.size("embedding").alias("components")).count()
+    most = sizes.orderBy(F.desc("count"), F.desc("components")).first()
+    return most["components"] if most else None
+
+
+def of_size(vectors: DataFrame, components: int) -> DataFrame:
+    """One row per vec_id: its vector of ``components`` numbers, the smallest as an array if there are several."""
+    fitting = vectors.filter(F.size("embedding") == components)
+    return fitting.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+
+
 def choose_pivots(vectors: DataFrame) -> np.ndarray:
     """Up to ``PIVOTS`` distinct vectors, scaled to length 1, the same ones at every run.
 
@@ -130,14 +143,18 @@ def search(vectors: DataFrame, queries: DataFrame) -> DataFrame:
 
     Rows that are not ``usable`` take no part on either side. Each block of
     queries meets each shard of the index once, and only the nearest of a
-    shard leave it. Repeated rows of one id count as one candidate and one query.
+    shard leave it. Repeated rows of one id count as one candidate and one query;
+    of different vectors under one id the smallest as an array counts. Vectors with
+    another number of components than most vectors have are left out on both sides.
     """
     scratch = Scratch(vectors.sparkSession)
-    pivots = choose_pivots(usable(vectors))
-    if not len(pivots):
+    components = common_size(usable(vectors))
+    if components is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = scratch.store(orders(usable(vectors).dropDuplicates(["vec_id"]), pivots), "index")
-    asked = scratch.store(orders(usable(queries).dropDuplicates(["vec_id"]), pivots), "queries")
+    candidates = of_size(usable(vectors), components)
+    pivots = choose_pivots(candidates)
+    index = scratch.store(orders(candidates, pivots), "index")
+    asked = scratch.store(orders(of_size(usable(queries), components), pivots), "queries")
     n_shards = max(1, -(-index.count() // SHARD_ROWS))
     n_blocks = max(1, -(-asked.count() // BLOCK_ROWS))
     part = F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)).cast("int")
