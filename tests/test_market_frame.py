@@ -6,11 +6,12 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.frames import bar, bars
 from tests.test_plans import plan_of, random_rows, same, shuffles
 from tickloom.functions.series import BY_SYMBOL
-from tickloom.operators import price
+from tickloom.operators import long_series, price
 from tickloom.operators.long_series import Reach, over_chain, profile_keys, profile_tables
 from tickloom.plans import tables
 from tickloom.sources.tables import GOLD_TABLES
@@ -78,6 +79,19 @@ def test_the_frame_shuffles_bars_once_and_reads_the_benchmark_once(spark, silver
     assert plan_of(whole).count("EqualTo(SYMBOL,SPY)") == 1
 
 
+def test_tasks_of_the_frame_are_as_many_as_its_rows_ask_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(long_series, "TASK_ROWS", 50)
+    silver = bars(spark, [bar(f"S{n}", day, 1.0 + day) for n in range(300) for day in range(4)])
+    silver.write.parquet(str(tmp_path / "silver"))
+    stored = spark.read.parquet(str(tmp_path / "silver"))
+    index = tables.index_frame(stored, longest=WHOLE)
+    dealt = tables.market_frame(stored, longest=WHOLE, index=index, bars=stored.count())
+    assert len(re.findall(r"hashpartitioning\(SYMBOL#\d+, 24\)", plan_of(dealt))) == 1
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 20 and max(sizes) <= 3 * 50
+    same(dealt, tables.market_frame(stored, longest=WHOLE, index=index))
+
+
 def test_parts_hold_their_share_of_a_hot_symbol(spark):
     rows = [bar("HOT", n, 1.0 + n % 7) for n in range(3000)] + [bar(f"S{n}", 0, 1.0) for n in range(50)]
     seen = {}

@@ -246,7 +246,8 @@ def dictionary_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("price_metrics", "volume_liquidity", "earnings_reaction", "relative_strength", "market_regime")
     audited = {name: (AUDITED[name], rows.get(name, "true")) for name in names}
     with tables.wide_rows(spark):
-        frame = stored("market_frame", tables.market_frame(silver, longest=longest, index=index), audited)
+        market = tables.market_frame(silver, longest=longest, index=index, bars=silver.count())
+        frame = stored("market_frame", market, audited)
     stored("market_breadth", tables.table_of(frame, "market_breadth"), {"market_breadth": every["market_breadth"]})
     schema = "TABLE_NAME string, COLUMN_NAME string, KNOWN_VALUES long, DESCRIBED boolean"
     return spark.createDataFrame(found, schema)
@@ -269,7 +270,8 @@ def _in_parts(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         trades = feed.trades(spark, sf_dir)
         silver = feed.prices(trades).join(feed.earnings(trades), KEY, "left")
-        frame = tables.market_frame(silver, longest=feed.LONGEST, index=_index(trades), parts=CUT_ROWS)
+        bars = feed.prices(trades).count()
+        frame = tables.market_frame(silver, longest=feed.LONGEST, index=_index(trades), parts=CUT_ROWS, bars=bars)
         return tables.table_of(frame, name)
 
     return build

@@ -22,6 +22,8 @@ from tickloom.functions.series import Series, add_columns
 
 MAX_ROWS = 1_000_000
 PART_ROWS = 100_000
+# Rows that one task should hold of a chain of steps, whose rows grow wide and are sorted several times.
+TASK_ROWS = 100_000
 # Rows without a full key may be many on one day; they are spread over this many slots.
 SLOTS = 256
 
@@ -141,19 +143,38 @@ class Reach:
     later: int = 0
 
 
+def dealt(bars: DataFrame, series: Series, rows: int) -> DataFrame:
+    """``bars`` dealt by series to tasks of about ``TASK_ROWS`` rows, if there are ``rows`` of them.
+
+    This is the shuffle that windows on the series need in any case. Left to itself, Spark sizes tasks by the bytes of the
+    narrow rows it shuffles, into as few as it has cores, and a task's sorts then grow with the table.
+    """
+    tasks = max(bars.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return bars.repartition(tasks, *series.keys)
+
+
 def over_chain(
-    bars: DataFrame, series: Series, step: Step, reaches: list[Reach], part_rows: int | None = None, longest: int = 0
+    bars: DataFrame,
+    series: Series,
+    step: Step,
+    reaches: list[Reach],
+    part_rows: int | None = None,
+    longest: int = 0,
+    rows: int | None = None,
 ) -> DataFrame:
     """Run a whole chain of ``step`` on whole series, or on parts that are cut once for all of it.
 
     ``longest`` bounds the rows without a full key on one day; from it comes the number of slots they are spread over.
+    ``rows`` is the number of bars, from which comes the number of tasks; None leaves them as they lie, or to Spark.
 
     Every part gets copies of as many neighbouring months as its furthest reach asks for, each
     counted in its own rows. All windows of the chain then work within a part.
     """
     if part_rows is None:
-        return step(bars, series)
+        return step(bars if rows is None else dealt(bars, series, rows), series)
     parts, part_series = _cut_chain(bars, series, reaches, part_rows, max(SLOTS, -(-longest // part_rows)))
+    if rows is not None:
+        parts = dealt(parts, part_series, rows)
     return step(parts, part_series).filter("NOT _COPY").drop("_BUCKET", "_SLOT", "_PART", "_COPY")
 
 

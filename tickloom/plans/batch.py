@@ -28,7 +28,8 @@ from tickloom.sources.tables import (
 )
 
 TYPING = {"prices": type_prices, "earnings": type_earnings, "dividends": type_dividends}
-ROWS_PER_BUCKET = 10_000_000
+# A task of the wide frame sorts a whole bucket several times.
+ROWS_PER_BUCKET = 1_000_000
 # Independent tables written at once.
 WRITES = 2
 
@@ -124,19 +125,26 @@ def bucket_count(spark: SparkSession, profile: Profile) -> int | None:
 
 
 def build_gold(
-    silver: DataFrame, base_dir: str, longest: int | None = None, benchmark: str = BENCHMARK, files: int | None = None
+    silver: DataFrame,
+    base_dir: str,
+    longest: int | None = None,
+    benchmark: str = BENCHMARK,
+    files: int | None = None,
+    bucketed: bool = False,
 ) -> None:
     """Write the seven derived tables from one frame of all their columns.
 
     The frame is derived and stored once, in a scratch folder that is removed at the end; each table is then a choice
     of its columns and rows. So the bars are shuffled once for all tables, and the benchmark is read once.
+    A ``bucketed`` silver is not shuffled; a task then gets a bucket.
     """
     spark = silver.sparkSession
     scratch = scratch_dir(spark)
     try:
         path = f"{scratch}/market_frame"
         # Read once and then removed: hardly a value repeats, so dictionaries would only cost time.
-        written = tables.market_frame(silver, benchmark, longest).select(*tables.FRAME).write
+        bars = None if bucketed else silver.count()
+        written = tables.market_frame(silver, benchmark, longest, bars=bars).select(*tables.FRAME).write
         with tables.wide_rows(spark):
             written.options(**{"parquet.enable.dictionary": "false", "compression": "lz4_raw"}).parquet(path)
         frame = spark.read.parquet(path)
@@ -171,5 +179,6 @@ def run_all(
     ingest_bronze(spark, base_dir, raw_paths)
     built = build_silver(spark, base_dir, silver_table)
     silver = spark.table(silver_table) if silver_table else read_table(spark, base_dir, "silver")
-    build_gold(silver, base_dir, built.profile.longest_series, benchmark, files)
+    bucketed = silver_table is not None and bucket_count(spark, built.profile) is not None
+    build_gold(silver, base_dir, built.profile.longest_series, benchmark, files, bucketed)
     return built

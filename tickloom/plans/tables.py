@@ -191,13 +191,15 @@ def market_frame(
     longest: int | None = None,
     index: DataFrame | None = None,
     parts: int | None = None,
+    bars: int | None = None,
 ) -> DataFrame:
     """Every column of every derived table side by side, one row per bar, from one shuffle of the bars.
 
     HAS_CLOSE and HAS_TRADE tell which bars take part in the risk series and in the earnings table.
     All steps stack on one layout by SYMBOL; long series are cut once for the whole chain.
     ``parts`` asks for a cut into parts of about that many rows however short the series are. ``table_of`` takes
-    the tables out of the frame.
+    the tables out of the frame. ``bars`` is the number of rows of silver, so that no task gets too many of them, however
+    large the table; without it silver keeps the layout it is stored in, as one in buckets should.
     """
     rows = longest_series(silver) if longest is None else longest
     parts = parts or part_rows(silver, rows)
@@ -210,8 +212,8 @@ def market_frame(
         compared = strength.add_relative_strength(risk.add_risk_metrics(told, priced), index, priced)
         return earnings.add_earnings_reaction(compared, series.by("HAS_TRADE"))
 
-    bars = silver.select(*price.INPUT, "VOLUME", "EPS", "EPS_ESTIMATE")
-    return over_chain(bars, BY_SYMBOL, step, REACHES, parts, rows)
+    taken = silver.select(*price.INPUT, "VOLUME", "EPS", "EPS_ESTIMATE")
+    return over_chain(taken, BY_SYMBOL, step, REACHES, parts, rows, bars)
 
 
 def table_of(frame: DataFrame, name: str) -> DataFrame:
