@@ -108,6 +108,21 @@ def test_many_tasks_and_a_hot_pair(spark, monkeypatch):
     assert sorted(map(tuple, result), key=str) == sorted(want, key=str)
 
 
+def test_every_slice_is_aligned_once(spark, monkeypatch, tmp_path):
+    calls, real = str(tmp_path / "calls"), pc.aligner
+
+    def counting(held):
+        with open(calls, "a") as out:
+            out.write(".")
+        return real(held)
+
+    monkeypatch.setattr(pc, "aligner", counting)
+    rows = [(i, f"words of text {i}", None, None) for i in range(30)]
+    result = pc.align(documents(spark, rows).repartition(3)).select("doc_id", *COLUMNS).collect()
+    want = [(r[0], *w) for r, w in zip(rows, plain([r[1] for r in rows]), strict=True)]
+    assert sorted(map(tuple, result)) == want and len(Path(calls).read_text()) == 3
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None)], [(1, "", None, None), (None, "▁", None, None)]])
 def test_no_tokens_at_all(spark, rows):
     check(spark, rows)

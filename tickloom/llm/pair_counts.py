@@ -3,12 +3,12 @@
 Tokenizer A merges bytes, tokenizer B pieces; each splits a space and the text into tokens
 with byte ranges. Where tokens of both end, a group ends; all A and B tokens of a group are linked.
 
-The first pass aligns every document and sums, task by task, how many documents hold each pair.
-Pairs are dealt into shards by their A id. Over the distinct pairs of a shard a minimal perfect
+Every document is aligned once. Its numbers, and the pairs of each slice of documents by shard, are stored;
+so are, task by task, the sums of how many documents hold each pair. Pairs are dealt into shards by their A id. Over the distinct pairs of a shard a minimal perfect
 hash is built: a pair's number lies between 0 and the number of pairs, and the pair itself is
 kept at that place, so that a strange pair is told. The tasks' sums become dense count vectors
-over these numbers, which are added up in a tree. The second pass aligns the documents again, sends
-the pairs of each slice of documents to their shards, looks their counts up there and sums them by document.
+over these numbers, which are added up in a tree. The stored pairs of each slice are then sent
+to their shards, which look their counts up and sum them by document.
 
 What is broadcast is the two vocabularies. A shard holds pairs of the vocabularies alone, however many
 the documents; the slices of documents that ask a shard are dealt over many tasks.
@@ -19,11 +19,13 @@ its numbers are zero and its digest is empty. Rows that repeat a doc_id, or have
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -44,8 +46,8 @@ SHARDS = 32
 BITS = 2
 #: Count vectors that are added up by one task, and slices of documents that ask a shard in one task.
 FAN, TOGETHER = 16, 1024
-#: Distinct pairs that a task sums before it passes them on.
-HELD = 2_000_000
+#: Distinct pairs of slices that a task holds before it sums them, and twice as many as it keeps of the summed ones.
+HELD = 1_000_000
 #: Bytes of words and their alignments that a worker remembers, those of one beside its arrays, and the longest word that it does.
 REMEMBERED, OVERHEAD, LONGEST = 128 << 20, 600, 256
 
@@ -71,6 +73,9 @@ class Word(NamedTuple):
     links: bytes
 
 
+GROUPS, PAIRS = attrgetter("groups"), attrgetter("pairs")
+
+
 class Aligned(NamedTuple):
     """Alignments of a slice of documents: numbers of each, digests, and (document, pair, links) of its distinct pairs."""
 
@@ -180,8 +185,18 @@ class Aligner:
             for i, row in enumerate(columns)
         ]
 
-    def align(self, texts: pa.StringArray, digests: bool = True) -> Aligned:
-        """The alignments of all texts, on demand without digests. A null or empty one is a single space, of no tokens."""
+    def align(self, texts: pa.StringArray) -> Aligned:
+        """The alignments of all texts. A null or empty one is a single space, of no tokens."""
+        # Words and their alignments form no cycles; to look for some among so many objects takes a quarter of the time.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._align(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _align(self, texts: pa.StringArray) -> Aligned:
         self.words.make_room()
         empty = pc.fill_null(pc.equal(pc.binary_length(texts), 0), True).to_numpy(zero_copy_only=False)
         spaced = pc.binary_join_element_wise(pa.scalar(" "), pc.fill_null(texts, ""), "")
@@ -195,11 +210,13 @@ class Aligner:
         new = [w for w, x in zip(distinct, words, strict=True) if x is None]
         made = dict(zip(new, self._learn(new), strict=True))
         short = [w for w in new if len(w) <= LONGEST]
-        self.words.learn(short, [made[w] for w in short], sum(len(w) + len(made[w].groups) + 2 * len(made[w].pairs) for w in short))
+        held = [made[w] for w in short]
+        sizes = sum(map(len, short)) + sum(map(len, map(GROUPS, held))) + 2 * sum(map(len, map(PAIRS, held)))
+        self.words.learn(short, held, sizes)
         words = [made[w] if x is None else x for w, x in zip(distinct, words, strict=True)]
-        return self._documents(words, coded.indices.to_numpy(), np.diff(split.offsets.to_numpy()), empty, digests)
+        return self._documents(words, coded.indices.to_numpy(), np.diff(split.offsets.to_numpy()), empty)
 
-    def _documents(self, words: list[Word], place: np.ndarray, size: np.ndarray, empty: np.ndarray, digests: bool) -> Aligned:
+    def _documents(self, words: list[Word], place: np.ndarray, size: np.ndarray, empty: np.ndarray) -> Aligned:
         n, doc = len(size), np.repeat(np.arange(len(size)), size)
         whole = ~empty
         whole[doc[~np.array([w.whole for w in words], bool)[place]]] = False
@@ -214,7 +231,6 @@ class Aligner:
         digest = [
             hashlib.sha256(b";".join([groups[i] for i in place[end - k : end].tolist()])).hexdigest() if w else ""
             for end, k, w in zip(ends.tolist(), size.tolist(), whole.tolist(), strict=True)
-            if digests
         ]
         # Pairs get numbers within the slice, so that a document and a pair are one integer.
         pairs = np.frombuffer(b"".join([w.pairs for w in words]), np.int64)
@@ -308,7 +324,7 @@ class PairTable:
         """The number of each pair; a pair that is not in the table raises."""
         found = self.hash.numbers(pairs)
         if len(pairs) and ((found < 0) | (self.keys[found] != pairs)).any():
-            raise ValueError("a pair of ids is not in the table: the documents changed between the passes")
+            raise ValueError("a pair of ids is not in the table: a task's sums miss it")
         return found
 
 
@@ -333,38 +349,35 @@ def by_shard(pairs: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(shard[part[0]]), part
 
 
-def task_sums(docs: DataFrame, models) -> DataFrame:
-    """First pass: task, shard, pairs and in how many documents of the task each is linked. A task has few such rows."""
+class Sums:
+    """Distinct pairs of a task's documents and how many of these hold each, summed now and then."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+    def __init__(self) -> None:
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            pairs, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return pairs, np.bincount(place, np.concatenate([h[1] for h in held])).astype(np.int64)
+    def add(self, pairs: np.ndarray) -> None:
+        """``pairs`` are the distinct ones of each document."""
+        self.held.append(np.unique(pairs, return_counts=True))
+        self.size += len(self.held[-1][0])
+        if self.size > HELD:
+            self.held = [self._summed()]
+            self.size = len(self.held[0][0])
 
-        def rows(pairs: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for shard, part in by_shard(pairs):
-                columns = [[TaskContext.get().partitionId()], [shard], [pairs[part]], [counts[part]]]
-                kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["task", "shard", "pairs", "counts"])
+    def _summed(self) -> tuple[np.ndarray, np.ndarray]:
+        pairs, place = np.unique(np.concatenate([h[0] for h in self.held]), return_inverse=True)
+        return pairs, np.bincount(place, np.concatenate([h[1] for h in self.held])).astype(np.int64)
 
-        for batch in batches:
-            for piece in slices_of(batch, "text"):
-                found = aligner(models.value).align(piece.column("text"), digests=False)
-                held.append(np.unique(found.pair, return_counts=True))
-                size += len(held[-1][0])
-                if size > HELD:
-                    held = [summed()]
-                    size = len(held[0][0])
-                    if size > HELD // 2:
-                        yield from rows(*held.pop())
-                        size = 0
-        if held:
-            yield from rows(*summed())
+    def full(self) -> bool:
+        return self.size > HELD // 2 and len(self.held) == 1
 
-    return docs.select("text").mapInArrow(run, "task int, shard int, pairs array<long>, counts array<long>")
+    def taken(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Shards, their pairs and counts; what was held goes."""
+        if self.held:
+            pairs, counts = self._summed()
+            self.held, self.size = [], 0
+            for shard, part in by_shard(pairs):
+                yield shard, pairs[part], counts[part]
 
 
 def hashed_shards(sums: DataFrame) -> DataFrame:
@@ -411,12 +424,13 @@ def count_vectors(sums: DataFrame, hashes: DataFrame, scratch: Scratch) -> DataF
     return vectors.select("shard", "vector")
 
 
-ASKED = "slice long, at int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, shard int, docs array<int>, pairs array<long>, links array<long>"
+ASKED = "task int, slice long, at int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, shard int, docs array<int>, pairs array<long>, links array<long>"
 DOCUMENT = ["slice", "at", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 
 
 def aligned_slices(docs: DataFrame, models) -> DataFrame:
-    """Second pass: a row per document, and a row per slice and shard with the slice's pairs of that shard."""
+    """A row per document; a row per slice and shard with the slice's pairs of that shard; and, with ``task``, a few rows
+    per task and shard with the task's distinct pairs and, as ``links``, in how many of its documents each is linked."""
     kinds = [(f.split()[0], f.split()[1]) for f in ASKED.split(", ")]
     types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 
@@ -426,7 +440,13 @@ def aligned_slices(docs: DataFrame, models) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, [name for name, _ in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        task = TaskContext.get().partitionId()
+        number, sums = task << 32, Sums()
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            for shard, pairs, counts in sums.taken():
+                yield filled(1, task=[task], shard=[shard], pairs=[pairs], links=[counts])
+
         for batch in batches:
             for piece in slices_of(batch, "text"):
                 found, n = aligner(models.value).align(piece.column("text")), piece.num_rows
@@ -440,7 +460,11 @@ def aligned_slices(docs: DataFrame, models) -> DataFrame:
                         len(parts), slice=np.full(len(parts), number), shard=[s for s, _ in parts], docs=[found.doc[p] for _, p in parts],
                         pairs=[found.pair[p] for _, p in parts], links=[found.links[p] for _, p in parts],
                     )
+                    sums.add(found.pair)
+                    if sums.full():
+                        yield from summed()
                 number += 1
+        yield from summed()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ASKED)
 
@@ -502,9 +526,8 @@ def _with_sums(docs: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
     return docs.assign(n_best=best, count_sum=total)[[f.split()[0] for f in RESULT.split(", ")]]
 
 
-def pair_counts(docs: DataFrame, scratch: Scratch, models) -> DataFrame:
+def pair_counts(sums: DataFrame, scratch: Scratch) -> DataFrame:
     """shard, levels, keys and vector: every pair that is linked anywhere, and in how many documents."""
-    sums = scratch.store(task_sums(docs, models), "task_sums")
     hashes = scratch.store(hashed_shards(sums), "hashes")
     return hashes.join(count_vectors(sums, hashes, scratch), "shard")
 
@@ -513,11 +536,12 @@ def align(docs: DataFrame, model_a: str = MODEL_A, model_b: str = MODEL_B) -> Da
     """The columns of ``RESULT`` for each document; see the module."""
     scratch = Scratch(docs.sparkSession)
     models = broadcast_models(docs.sparkSession, model_a, model_b)
-    tables = scratch.store(pair_counts(docs, scratch, models), "tables")
     slices = scratch.store(aligned_slices(docs, models), "slices")
-    sums = look_up(slices.filter("shard IS NOT NULL"), tables)
+    sums = slices.filter("task IS NOT NULL").select("task", "shard", "pairs", F.col("links").alias("counts"))
+    tables = scratch.store(pair_counts(scratch.store(sums, "task_sums"), scratch), "tables")
+    found = look_up(slices.filter("shard IS NOT NULL AND task IS NULL"), tables)
     documents = slices.filter("shard IS NULL").select(*DOCUMENT)
-    return documents.groupBy("slice").cogroup(sums.groupBy("slice")).applyInPandas(_with_sums, RESULT)
+    return documents.groupBy("slice").cogroup(found.groupBy("slice")).applyInPandas(_with_sums, RESULT)
 
 
 def op13_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
