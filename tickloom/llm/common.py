@@ -80,12 +80,14 @@ def map_rows(
     given: list[str],
     fn: Callable[..., Iterable[tuple]],
     ddl: str,
+    sliced: str | None = None,
 ) -> DataFrame:
     """Columns ``keep`` as they are, then those of ``ddl``: one tuple of ``fn`` per row.
 
     ``fn`` gets the values of the columns ``given`` of one Arrow batch, as one
     list per column. Kept columns never leave Arrow, so their values and nulls
-    are untouched; all others are left behind in the scan.
+    are untouched; all others are left behind in the scan. With ``sliced`` it gets no
+    whole batch, but ``slices_of`` it by the texts of that column.
     """
     added = T._parse_datatype_string(ddl)
     schema = T.StructType([df.schema[c] for c in keep] + added.fields)
@@ -93,7 +95,7 @@ def map_rows(
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, sliced):
             rows = list(fn(*(batch.column(c).to_pylist() for c in given)))
             made = list(zip(*rows, strict=True)) if rows else [() for _ in kinds]
             arrays = [pa.array(column, kind) for column, kind in zip(made, kinds, strict=True)]
@@ -103,16 +105,20 @@ def map_rows(
 
 
 def map_batches(
-    df: DataFrame, given: list[str], fn: Callable[[Iterator[list[list]]], Iterable[list]], ddl: str
+    df: DataFrame,
+    given: list[str],
+    fn: Callable[[Iterator[list[list]]], Iterable[list]],
+    ddl: str,
+    sliced: str | None = None,
 ) -> DataFrame:
     """Rows made of whole partitions: ``fn`` gets an iterator of batches (one list per
-    column ``given``) and yields lists of columns."""
+    column ``given``), or with ``sliced`` of slices as ``map_rows`` does, and yields lists of columns."""
     schema = T._parse_datatype_string(ddl)
     kinds = [to_arrow_type(f.dataType) for f in schema.fields]
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = ([b.column(c).to_pylist() for c in given] for b in batches)
+        lists = ([b.column(c).to_pylist() for c in given] for b in parts_of(batches, sliced))
         for columns in fn(lists):
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names)
@@ -134,6 +140,15 @@ def slices_of(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> It
             yield batch.slice(start, end - start)
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], sliced: str | None) -> Iterator[pa.RecordBatch]:
+    """The batches, or (``sliced``) the ``slices_of`` each by that column."""
+    for batch in batches:
+        if sliced is None:
+            yield batch
+        else:
+            yield from slices_of(batch, sliced)
+
+
 def int_lists(values: list[bytes]) -> pa.ListArray:
     """Each value, little-endian 32-bit integers, as a list; no integer becomes a Python object."""
     ends = np.cumsum([0, *map(len, values)]) // 4

@@ -24,8 +24,8 @@ PENALTY = 12.0
 SCRIPT_SHARE = 0.01
 #: More languages than this are an error: the model has ``BINS`` numbers for each.
 MOST_LANGUAGES = 200
-#: Characters of texts that are worked on together.
-TOGETHER = 2_000_000
+#: Characters of texts that are worked on together; the arrays hold some 40 bytes for each.
+TOGETHER = 1_000_000
 UNKNOWN = "und"
 
 #: First code points of the ranges of scripts (fixed values of the Unicode blocks); 0 stands for all others.
@@ -75,12 +75,22 @@ def words_of(texts: list[str], letters: Letters) -> Words:
     is_letter = letters.is_letter[known]
     high = np.flatnonzero(known == Letters.SIZE)
     is_letter[high] = [chr(c).isalpha() for c in codes[high].tolist()]
-    low = np.where(is_letter, letters.lower[known], 0).astype(np.uint64)
+    # One place more at both ends, so that every letter has neighbours. Each step works in place.
+    low = np.zeros(len(codes) + 2, np.uint32)
+    low[1:-1] = np.where(is_letter, letters.lower[known], 0)
     place = np.flatnonzero(is_letter)
-    before = np.concatenate([[np.uint64(0)], low])[place]
-    after = np.concatenate([low[1:], [np.uint64(0)]])[place]
-    mixed = before * np.uint64(0x9E3779B1) + low[place] * np.uint64(0x85EBCA77C2B2AE63) + after * np.uint64(0x27D4EB2F165667C5)
-    bins = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(48)).astype(np.int64)
+    del known, is_letter
+    before = low[place]
+    mixed = before.astype(np.uint64)
+    mixed *= np.uint64(0x9E3779B1)
+    for neighbour, factor in ((low[1:], 0x85EBCA77C2B2AE63), (low[2:], 0x27D4EB2F165667C5)):
+        part = neighbour[place].astype(np.uint64)
+        part *= np.uint64(factor)
+        mixed += part
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed >>= np.uint64(48)
+    bins = mixed.view(np.int64)
     first = np.flatnonzero(before == 0)
     at = place[first]
     script = letters.names[np.searchsorted(letters.starts, codes[at], side="right") - 1]
@@ -133,7 +143,7 @@ def counts(docs: DataFrame) -> DataFrame:
             bins = np.flatnonzero(held)
             yield [[lang] * len(bins), bins.tolist(), held[bins].tolist()]
 
-    found = map_batches(docs, ["lang", "text"], rows, "lang string, bin int, n long")
+    found = map_batches(docs, ["lang", "text"], rows, "lang string, bin int, n long", "text")
     return found.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
 
 
@@ -233,29 +243,32 @@ def identify(docs: DataFrame, keep: list[str], model: Model) -> DataFrame:
         letters, known = Letters(), Model(*shared.value)
         texts = [text or "" for text in given]
         # The path holds a few bytes per word and language.
-        most = TOGETHER * 16 // max(16, len(known.languages))
+        most = 2 * TOGETHER * 16 // max(16, len(known.languages))
         for start, end in together(texts, most):
             for spans in label(texts[start:end], known, letters):
                 yield (spans,)
 
-    return map_rows(docs, keep, ["text"], rows, SPANS)
+    return map_rows(docs, keep, ["text"], rows, SPANS, "text")
 
 
 def main_language(found: DataFrame, keep: list[str]) -> DataFrame:
     """``lang_pred``, the language of most letters (ties: first by name), and ``score``, its share of them."""
 
-    def rows(lists):
-        for spans in lists:
-            sums: dict[str, int] = {}
-            for span in spans:
-                sums[span["lang"]] = sums.get(span["lang"], 0) + span["n_letters"]
-            if sums:
-                best = min(sums, key=lambda lang: (-sums[lang], lang))
-                yield best, sums[best] / sum(sums.values())
-            else:
-                yield UNKNOWN, 0.0
-
-    return map_rows(found, keep, ["spans"], rows, "lang_pred string, score double")
+    def letters(spans: Column) -> Column:
+        return F.aggregate(spans, F.lit(0).cast("long"), lambda n, span: n + span["n_letters"])
+
+    def sums(spans: Column) -> Column:
+        langs = F.array_distinct(F.transform(spans, lambda span: span["lang"]))
+        return F.transform(langs, lambda x: F.struct((-letters(F.filter(spans, lambda s: s["lang"] == x))).alias("n"), x.alias("lang")))
+
+    best = F.array_min(sums(F.col("spans")))
+    told = found.select(*keep, best.alias("__best"), letters(F.col("spans")).alias("__all"))
+    score = -F.col("__best.n") / F.col("__all")
+    return told.select(
+        *keep,
+        F.coalesce("__best.lang", F.lit(UNKNOWN)).alias("lang_pred"),
+        F.coalesce(F.when(F.col("__all") > 0, score), F.lit(0.0)).alias("score"),
+    )
 
 
 def remainder(divisor: int) -> Column:
