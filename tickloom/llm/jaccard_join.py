@@ -13,10 +13,12 @@ one, in an order that all sets share: two sets that link must share one of these
 for if all of them were missing in the other set, too few hashes would be left.
 Any order is right. The first one is by value, and sets that share nothing in it
 are done with. Among the others, hashes that many sets hold come last, so that a
-passage in very many documents brings none of them together. A query
-set is counted against the groups of other families, and the count bounds its
-overlap with any member; only groups whose bound reaches the least overlap of a
-link are opened, and their members compared with the query in full.
+passage in very many documents brings none of them together. Hashes that the same
+sets have in their signatures, as those of one passage, become one token of their number as weight. A query
+set is counted against the groups of other families whose sizes fit, by the tokens that
+leave room behind them, in the query and in a member, for all that the two must share if
+they link. Only groups with such a token are opened, those of the largest weights first, and
+their members compared with the query in full.
 
 Members of one family are not compared with each other: they already have the
 same component. So a group of copies, however large, costs no more than its size.
@@ -50,7 +52,7 @@ FIRST, MORE = 4, 8
 BROADCAST_IDS = 100_000
 #: Hashes that a task meets in so many documents of one slice, and all tasks in so many documents, come last; of more
 #: than ``MOST_COMMON`` such hashes, those in twice as many documents, and so on. (They only order the others.)
-SEEN_FROM, COMMON_FROM, MOST_COMMON = 3, 24, 250_000
+SEEN_FROM, COMMON_FROM, MOST_COMMON = 2, 8, 250_000
 #: Bytes of text whose hashes a task counts at once.
 COUNTED_BYTES = 16_000_000
 
@@ -144,16 +146,40 @@ def sketches(docs: DataFrame, last: np.ndarray) -> DataFrame:
 
 
 def contested(rows: DataFrame) -> DataFrame:
-    """The rows (token, set_id, n, family) of tokens that more than one family has, from one shuffle by token."""
+    """The rows (token, set_id, n, at, weight, family) of tokens that more than one family has, and ``cost``: how many
+    sets have the token, by its weight; from one shuffle by token."""
     dealt = rows.repartition("token")
-    ends = dealt.groupBy("token").agg(F.min("family").alias("low"), F.max("family").alias("high"))
-    return dealt.join(ends.filter("low < high").select("token").hint("shuffle_hash"), "token")
+    cost = (F.count("*") / F.max("weight")).alias("cost")
+    ends = dealt.groupBy("token").agg(F.min("family").alias("low"), F.max("family").alias("high"), cost)
+    return dealt.join(ends.filter("low < high").select("token", "cost").hint("shuffle_hash"), "token")
 
 
-def postings(filled: DataFrame) -> DataFrame:
-    """(token, set_id, n, family) of the signatures, without hashes that only one set has; each set is a family."""
-    tokens = filled.select(F.explode("signature").alias("token"), "set_id", "n", F.col("set_id").alias("family"))
-    return contested(tokens).distinct()
+def shared_hashes(sketched: DataFrame) -> DataFrame:
+    """(token, set_id, places) of the signatures, without hashes that only one set has; ``places`` is n and the hash's place, packed.
+
+    The greatest of the places is asked for so that both sides of the join need the same columns, and so read one shuffle.
+    """
+    tokens = sketched.select(F.posexplode("signature").alias("at", "token"), "set_id", "n")
+    dealt = tokens.select("token", "set_id", (F.shiftleft("n", 32) + F.col("at")).alias("places")).repartition("token")
+    ends = dealt.groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.max("places").alias("last"))
+    return dealt.join(ends.filter("low < high AND last >= 0").select("token").hint("shuffle_hash"), "token").distinct()
+
+
+def postings(shared: DataFrame) -> DataFrame:
+    """(token, set_id, n, at, weight, family): hashes that the same sets have as one token, with their number and first place.
+
+    Each set is a family. Should two lists of sets have the same name, their hashes are one token
+    too; that can only make sets look more alike.
+    """
+    dealt = shared.repartition("token")
+    lists = dealt.groupBy("token").agg(
+        F.count("*").alias("held"), F.bit_xor(F.xxhash64("set_id")).alias("sets"), F.max("places").alias("last")
+    )
+    named = lists.filter("last >= 0").select("token", F.xxhash64("held", "sets").alias("name"))
+    met = dealt.join(named, "token").groupBy(F.col("name").alias("token"), "set_id")
+    rows = met.agg(F.count("*").alias("weight"), F.min("places").alias("places"))
+    n, at = F.shiftright("places", 32).alias("n"), F.col("places").bitwiseAND((1 << 32) - 1).alias("at")
+    return rows.select("token", "set_id", n, at, "weight", F.col("set_id").alias("family"))
 
 
 def bounded(ids: DataFrame) -> DataFrame:
@@ -185,21 +211,22 @@ class Verifier:
         self.made: list[DataFrame] = []
         self.tables: list[str] = []
 
-    def _load(self, pairs: DataFrame, name: str) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    def _load(self, pairs: DataFrame, compared: int, name: str) -> DataFrame:
+        """The sets of the pairs."""
+        ids = missing = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
         for sets in self.made:
-            ids = ids.join(sets.select("set_id"), "set_id", "left_anti")
-        wanted = self.scratch.store(self.names.join(ids, "set_id"), f"{name}-wanted")
+            missing = missing.join(sets.select("set_id"), "set_id", "left_anti")
+        wanted = self.scratch.store(self.names.join(missing, "set_id"), f"{name}-wanted")
         self.made.append(self.scratch.store(full_sets(self.docs, wanted), f"{name}-sets"))
         self.tables.append(f"{name}-sets")
         self.scratch.drop(f"{name}-wanted")
-        return union(self.made)
+        return union(self.made).join(F.broadcast(ids) if 2 * compared <= BROADCAST_IDS else ids, "set_id", "left_semi")
 
     def linked(self, pairs: DataFrame, name: str) -> tuple[DataFrame, int]:
         """The rows (a, b) of ``pairs`` whose sets link, stored; and the number of pairs."""
         pairs = self.scratch.store(pairs, f"{name}-pairs")
         compared = pairs.count()
-        sets = self._load(pairs, name)
+        sets = self._load(pairs, compared, name)
         left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("left"))
         right = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("right"))
         both = pairs.join(right, "b").join(left, "a")
@@ -247,14 +274,16 @@ def with_family(rows: DataFrame, families: DataFrame) -> DataFrame:
 def star_pairs(posted: DataFrame, seed: int) -> DataFrame:
     """(a, b): a set, and the set with which it seems to have most in common.
 
-    For each hash, one set that has it, the first one in an order that ``seed`` decides, is
-    the one to compare the others with. This only finds families early; what it
-    leaves out is left to ``open_groups``.
+    For each token, one set that has it is the one to compare the others with: that with the fewest
+    hashes before it, so with the least of its own that the others lack. Later seeds shuffle this order more
+    and more. This only finds families early; what it leaves out is left to ``open_groups``.
     """
-    first = F.struct(F.xxhash64(F.lit(seed), "family"), F.xxhash64(F.lit(seed), "set_id"), "family", "set_id", "n")
+    chance = F.pmod(F.xxhash64(F.lit(seed), "set_id"), F.lit(1000)) / 1000
+    first = F.struct(((F.col("at") + 1) * (1 + seed * chance)).cast("float").alias("place"), "family", "set_id", F.col("n").cast("int").alias("n"))
     hubs = posted.groupBy("token").agg(F.min(first).alias("hub"))
     rows = posted.join(hubs, "token").filter("hub.family <> family").filter(sizes_fit(F.col("n"), F.col("hub.n")))
-    met = rows.groupBy(F.col("set_id").alias("a"), "n", "hub").agg(F.count("*").alias("common"))
+    hub = F.struct(F.col("hub.set_id").alias("set_id"), F.col("hub.n").alias("n"))
+    met = rows.groupBy(F.col("set_id").alias("a"), "n", hub.alias("hub")).agg(F.sum("weight").alias("common"))
     best = met.groupBy("a", "n").agg(F.max(F.struct("common", "hub")).alias("best"), F.sum("common").alias("all"))
     alike = (F.col("best.common") >= ALIKE * F.col("all")) & (F.col("best.common") >= need(F.col("n"), F.col("best.hub.n")))
     return best.filter(alike).select("a", F.col("best.hub.set_id").alias("b"))
@@ -283,28 +312,50 @@ def grouped(posted: DataFrame) -> DataFrame:
     return members.join(sized, "family").withColumn("group", F.xxhash64("family", number))
 
 
-def open_groups(posted: DataFrame, members: DataFrame) -> DataFrame:
-    """(set_id, n, of, other, common): sets and groups of two families that the matrix cannot rule out.
+def spare(n: Column, m: Column) -> Column:
+    """Hashes, besides one, that the signatures of two sets must have in common if the sets link."""
+    return F.ceil(NEAR * (n + m) / (NEAR + PARTS)) - F.ceil(NEAR * F.greatest(n, m) / PARTS)
 
-    A query's count of hashes in common with a group is at least that with any
-    member. What a group must reach is the least of what its smallest and its largest
-    size need, for the need first grows and then falls with the size. Groups keep their members
-    while families merge.
+
+def early(at: Column, n: Column, m: Column) -> Column:
+    """Whether, of a set of ``n``, the hash at this place may be one of the first ``1 + spare`` that it shares with a linked set of ``m``."""
+    return at <= n - F.ceil(NEAR * F.greatest(n, m) / PARTS) + 1
+
+
+def matched(posted: DataFrame, members: DataFrame) -> DataFrame:
+    """(token, set_id, n, of, other, weight): the tokens by which the matrix cannot rule out that a set and a group link.
+
+    The tokens have one order, those that few sets hold for their weight first. ``rest`` is the weight of a token and all behind it
+    in a set. Linked sets share ``1 + spare`` hashes at least that are ``early`` in both, and the first of their tokens
+    has all of these from it on; so it has such a rest in both, and others need not be joined. A group has the largest
+    rest and the first place of its members. Of the sizes in a group those that fit the query's count; ``spare`` first grows and
+    then falls with the size, so an end of them has the least of it, less one for rounding.
     """
-    rows = posted.select("token", "set_id").join(members, "set_id")
+    order = Window.partitionBy("set_id").orderBy(F.desc("cost"), "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bounds = members.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    matrix = rows.select(
-        "token", F.col("group").alias("of"), F.col("family").alias("other"), F.col("family_size").alias("other_size")
-    ).distinct()
+    rest = F.sum("weight").over(order).alias("rest")
+    rows = posted.select("token", "set_id", "weight", "at", rest).join(members.join(bounds, "group"), "set_id")
+    group = ["token", F.col("group").alias("of"), F.col("family").alias("other"), F.col("family_size").alias("other_size"), "low", "high"]
+    matrix = rows.select(*group, "rest", "at").repartition("token")
+    matrix = matrix.groupBy("token", "of", "other", "other_size", "low", "high").agg(
+        F.max("rest").alias("most"), F.min("at").alias("first")
+    )
     smaller = (F.col("family_size") < F.col("other_size")) | (
         (F.col("family_size") == F.col("other_size")) & (F.col("family") < F.col("other"))
     )
-    counted = rows.join(matrix, "token").filter(smaller).groupBy("set_id", "n", "of", "other").agg(F.count("*").alias("common"))
-    counted = counted.join(bounds.withColumnRenamed("group", "of"), "of")
+    low = F.greatest(F.col("low"), F.ceil(NEAR * F.col("n") / PARTS))
+    high = F.least(F.col("high"), F.floor(PARTS * F.col("n") / NEAR))
+    least = F.least(spare(F.col("n"), low), spare(F.col("n"), high)) - (low < high).cast("int")
+    fits = (low <= high) & (F.col("rest") > least) & (F.col("most") > least)
+    fits = fits & early(F.col("at") + 1, F.col("n"), low) & early(F.col("first") + 1, high, F.col("n"))
+    queries = rows.select("token", "set_id", "n", "family", "family_size", "weight", "rest", "at")
+    return queries.join(matrix, "token").filter(smaller & fits).select("token", "set_id", "n", "of", "other", "weight")
+
 
-    fits = (PARTS * F.col("high") >= NEAR * F.col("n")) & (PARTS * F.col("n") >= NEAR * F.col("low"))
-    least = F.least(need(F.col("n"), F.col("low")), need(F.col("n"), F.col("high")))
-    return counted.filter(fits & (F.col("common") >= least)).drop("low", "high")
+def open_groups(posted: DataFrame, members: DataFrame) -> DataFrame:
+    """(set_id, n, of, other, common): sets and groups of two families that the matrix cannot rule out, and the weight
+    by which it cannot. Groups keep their members while families merge."""
+    return matched(posted, members).groupBy("set_id", "n", "of", "other").agg(F.sum("weight").alias("common"))
 
 
 def pairs_of(opened: DataFrame, members: DataFrame) -> DataFrame:
@@ -332,8 +383,8 @@ def join(docs: DataFrame) -> DataFrame:
     rows = scratch.store(sketched.select("doc_id", "n", "set_id"), "rows")
     filled = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     names = scratch.store(filled.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "names")
-    posted = scratch.store(postings(sketched), "posted")
-    scratch.drop("sketches", "often")
+    posted = scratch.store(postings(scratch.store(shared_hashes(sketched), "shared")), "posted")
+    scratch.drop("sketches", "often", "shared")
 
     verifier = Verifier(docs, names, scratch)
     edges, last = [], "posted"
@@ -341,7 +392,7 @@ def join(docs: DataFrame) -> DataFrame:
         links, compared = verifier.linked(star_pairs(posted, wave), f"links{wave}")
         edges.append(links)
         families = components(union(edges), scratch, f"families{wave}")
-        left = with_family(posted.drop("family"), families).select("token", "set_id", "n", "family")
+        left = with_family(posted.drop("family"), families).select("token", "set_id", "n", "at", "weight", "family")
         posted = scratch.store(contested(left), f"posted{wave}")
         scratch.drop(last)
         last = f"posted{wave}"
