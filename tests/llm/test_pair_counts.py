@@ -175,3 +175,22 @@ def test_long_groups_make_no_list_of_all_their_links():
     aligner = pc.Aligner(Path(pc.MODEL_A).read_text(encoding="utf-8"), Path(pc.MODEL_B).read_bytes())
     found = aligner.align(pa.array(["ab" * 200_000]))
     assert len(found.pair) < 1_000 and found.n_links[0] >= found.n_a[0]
+
+
+def test_words_encoded_side_by_side_are_told_apart():
+    aligner = pc.Aligner(Path(pc.MODEL_A).read_text(encoding="utf-8"), Path(pc.MODEL_B).read_bytes())
+    tokenizer, given = aligner.a, []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **how):
+            given.append(len(texts))
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    rng = random.Random(3)
+    texts = [" " + "".join(rng.choices("abcdeé漢🙂.,'1", k=rng.randint(1, 9))) for _ in range(700)]
+    texts += [" ends\n", " ", "  two  ", " a　", "none", " \x00", " <|endoftext|>", " x" * 40, " last"]
+    alone = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    aligner.a = Spy()
+    assert aligner._encoded([t.encode() for t in texts], texts) == alone
+    assert sum(given) < 20
+    assert aligner._encoded([], []) == []

@@ -24,7 +24,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 from operator import attrgetter
 from typing import NamedTuple
 
@@ -55,6 +55,10 @@ REMEMBERED, OVERHEAD, LONGEST = 128 << 20, 600, 256
 _BLANKS = r"\x09-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The place between a visible character and a space. No token of either tokenizer goes across it, and none depends on what lies beyond.
 SPLIT = re.compile(rf"(?<=[^ {_BLANKS}])(?= )")
+#: The characters before which a space does not split.
+BLANKS = frozenset(re.findall(rf"[ {_BLANKS}]", "".join(map(chr, range(0x3001)))))
+#: Words that A encodes as one text.
+SIDE_BY_SIDE = 256
 #: The same place for Arrow, which knows no look-behind.
 BEFORE_SPACE = "([^ " + re.sub(r"\\u([0-9a-f]{4})", r"\\x{\1}", _BLANKS).replace(r"\x85", r"\x{85}").replace(r"\xa0", r"\x{a0}") + "]) "
 
@@ -115,9 +119,30 @@ class Aligner:
             return bytes([int(text[3:5], 16)])
         return text.replace(MARKER, " ").encode()
 
+    def _encoded(self, words: list[bytes], texts: list[str]) -> list[list[int]]:
+        """A's ids of each word. Words that ``SPLIT`` would part again are encoded as one text, and its ids told apart by their bytes."""
+        out: list[list[int]] = [[]] * len(words)
+        fit = [t[:1] == " " and t[-1] not in BLANKS for t in texts]
+        alone, joined = [i for i, f in enumerate(fit) if not f], [i for i, f in enumerate(fit) if f]
+        parts = [joined[i : i + SIDE_BY_SIDE] for i in range(0, len(joined), SIDE_BY_SIDE)]
+        found = self.a.encode_batch_fast(["".join([texts[i] for i in part]) for part in parts], add_special_tokens=False)
+        for part, x in zip(parts, found, strict=True):
+            ids, size = x.ids, np.cumsum([len(words[i]) for i in part])
+            ends = np.cumsum(self.size_a[ids])
+            last = np.searchsorted(ends, size)
+            if not len(ids) or ends[-1] != size[-1] or (ends[last] != size).any():
+                alone += part
+                continue
+            edges = [0, *(last + 1).tolist()]
+            for i, start, end in zip(part, edges, edges[1:], strict=False):
+                out[i] = ids[start:end]
+        for i, x in zip(alone, self.a.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False), strict=True):
+            out[i] = x.ids
+        return out
+
     def _learn(self, words: list[bytes]) -> list[Word]:
         texts = [w.decode() for w in words]
-        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        a = self._encoded(words, texts)
         # B sets a space before each text itself, but for an empty one.
         b = self.b.encode([t[1:] for t in texts], num_threads=1)
         b = [x if t != " " else [self.space] for t, x in zip(texts, b, strict=True)]
@@ -179,11 +204,9 @@ class Aligner:
         n_groups = np.bincount(word, minlength=n).tolist()
         edge = (8 * np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])).tolist()
         pairs, numbers = pair.tobytes(), links.astype(np.int64).tobytes()
-        columns = zip(whole.tolist(), tokens_a.tolist(), tokens_b.tolist(), n_groups, n_links, strict=True)
-        return [
-            Word(*row, data[at[i] : at[i + 1]], pairs[edge[i] : edge[i + 1]], numbers[edge[i] : edge[i + 1]])
-            for i, row in enumerate(columns)
-        ]
+        groups, edges = [data[i:j] for i, j in pairwise(at)], [slice(i, j) for i, j in pairwise(edge)]
+        kept = groups, [pairs[e] for e in edges], [numbers[e] for e in edges]
+        return list(map(Word, whole.tolist(), tokens_a.tolist(), tokens_b.tolist(), n_groups, n_links, *kept))
 
     def align(self, texts: pa.StringArray) -> Aligned:
         """The alignments of all texts. A null or empty one is a single space, of no tokens."""
@@ -219,38 +242,37 @@ class Aligner:
     def _documents(self, words: list[Word], place: np.ndarray, size: np.ndarray, empty: np.ndarray) -> Aligned:
         n, doc = len(size), np.repeat(np.arange(len(size)), size)
         whole = ~empty
-        whole[doc[~np.array([w.whole for w in words], bool)[place]]] = False
+        given, n_a, n_b, n_groups, n_links, groups, pairs, links = zip(*words, strict=True) if words else [()] * len(Word._fields)
+        whole[doc[~np.array(given, bool)[place]]] = False
 
-        def total(values: list[int]) -> np.ndarray:
+        def total(values: tuple[int, ...]) -> np.ndarray:
             # Sums of integers below 2^53 are exact as doubles.
             sums = np.bincount(doc, np.array(values, np.int64)[place], n).astype(np.int64)
             return np.where(whole, sums, 0)
 
-        groups = [w.groups for w in words]
         ends = np.cumsum(size)
         digest = [
             hashlib.sha256(b";".join([groups[i] for i in place[end - k : end].tolist()])).hexdigest() if w else ""
             for end, k, w in zip(ends.tolist(), size.tolist(), whole.tolist(), strict=True)
         ]
         # Pairs get numbers within the slice, so that a document and a pair are one integer.
-        pairs = np.frombuffer(b"".join([w.pairs for w in words]), np.int64)
-        counts = np.array([len(w.pairs) // 8 for w in words], np.int64)
-        known, number = np.unique(pairs, return_inverse=True)
+        counts = np.array(list(map(len, pairs)), np.int64) // 8
+        known, number = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_inverse=True)
         edges = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int64())
         used = whole[doc]
         taken = pa.array(place[used])
         numbers = pa.LargeListArray.from_arrays(edges, pa.array(number.astype(np.int64))).take(taken).flatten().to_numpy()
-        links = pa.array(np.frombuffer(b"".join([w.links for w in words]), np.int64))
+        links = pa.array(np.frombuffer(b"".join(links), np.int64))
         links = pa.LargeListArray.from_arrays(edges, links).take(taken).flatten().to_numpy()
         key = np.repeat(doc[used], counts[place[used]]) * max(1, len(known)) + numbers
         order = np.argsort(key, kind="stable")
         first = np.flatnonzero(np.diff(key[order], prepend=-1))
         own = key[order][first]
         return Aligned(
-            total([w.n_a for w in words]),
-            total([w.n_b for w in words]),
-            total([w.n_groups for w in words]),
-            total([w.n_links for w in words]),
+            total(n_a),
+            total(n_b),
+            total(n_groups),
+            total(n_links),
             digest,
             own // max(1, len(known)),
             known[own % max(1, len(known))],
