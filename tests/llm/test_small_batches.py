@@ -1,0 +1,57 @@
+"""What the JVM and a worker hold of a batch in the stages of the pipeline that send whole texts to Python."""
+
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from tests.llm.frames import documents
+from tickloom.llm import common, language_id, unigram
+from tickloom.llm.common import BATCH_ROWS, SMALL_BATCH, small_batches
+
+
+@pytest.mark.parametrize(("own", "inside"), [("10000", SMALL_BATCH), ("0", SMALL_BATCH), ("7", 7)])
+def test_the_sessions_own_limit_comes_back(spark, own, inside):
+    before = spark.conf.get(BATCH_ROWS)
+    try:
+        spark.conf.set(BATCH_ROWS, own)
+        with pytest.raises(ValueError), small_batches(spark):
+            assert spark.conf.get(BATCH_ROWS) == str(inside)
+            raise ValueError
+        assert spark.conf.get(BATCH_ROWS) == own
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
+@pytest.mark.parametrize(("stage", "module"), [(corpus_pipeline.identify_language, common), (corpus_pipeline.tokenize, unigram)])
+def test_a_stage_sends_texts_in_small_batches(spark, monkeypatch, tmp_path, stage, module):
+    sizes, real = str(tmp_path / "sizes"), common.slices_of
+
+    def noted(batch, *given):
+        with open(sizes, "a") as out:
+            out.write(f"{batch.num_rows}\n")
+        return real(batch, *given)
+
+    monkeypatch.setattr(module, "slices_of", noted)
+    rows = [(i, f"word{i % 7} und so", "de" if i % 2 else "en", None) for i in range(2 * SMALL_BATCH + 300)]
+    assert stage(spark, documents(spark, rows).coalesce(1), "").count() == len(rows)
+    with open(sizes) as found:
+        held = list(map(int, found))
+    assert sum(held) % len(rows) == 0 and max(held) <= SMALL_BATCH
+
+
+def test_a_slice_of_letters_and_the_words_remembered_are_small(spark, monkeypatch, tmp_path):
+    sizes, real = str(tmp_path / "sizes"), language_id.words_of
+
+    def noted(texts, letters):
+        with open(sizes, "a") as out:
+            out.write(f"{sum(map(len, texts))}\n")
+        return real(texts, letters)
+
+    docs = documents(spark, [(i, f"word{i % 7} und " * 2_500, "de" if i % 2 else "en", None) for i in range(200)]).coalesce(1)
+    model = language_id.learn(docs)
+    monkeypatch.setattr(language_id, "words_of", noted)
+    assert language_id.identify(docs, ["doc_id"], model).count() == 200
+    with open(sizes) as found:
+        assert max(map(int, found)) < 1_100_000
+    assert unigram.REMEMBERED <= 16 << 20

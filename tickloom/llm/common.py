@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
@@ -42,6 +43,21 @@ class Scratch:
             remove(self.spark, f"{self.root}/{name}")
 
 
+#: Spark's limit on the rows of an Arrow batch, which the JVM and the worker each hold whole, and what whole texts get.
+BATCH_ROWS, SMALL_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside gets Arrow batches of at most ``SMALL_BATCH`` rows; the session's own limit comes back after it."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(int(before), SMALL_BATCH) if int(before) > 0 else SMALL_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 #: Row keys of rows that their doc_id does not name lie beyond this, on either side.
 FAR = 1 << 62
 
@@ -138,6 +154,8 @@ def slices_of(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> It
     for start, end in zip(edges, edges[1:], strict=False):
         if end > start:
             yield batch.slice(start, end - start)
+    # What Arrow's allocator keeps for later would stay with a worker that waits for its next task.
+    pa.default_memory_pool().release_unused()
 
 
 def parts_of(batches: Iterator[pa.RecordBatch], sliced: str | None) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ MARKER = "▁"
 #: A word with the spaces before it. No piece goes on from a word into a space, so each is segmented by itself.
 CHUNK = re.compile(rb" *[^ ]+| +")
 #: Bytes of segmented words and their ids that a worker remembers. Those longer than ``LONG`` it does not.
-REMEMBERED = 64 << 20
+REMEMBERED = 16 << 20
 #: Characters of texts whose new words are segmented together.
 TOGETHER = 2_000_000
 #: Words of one such step, and the bytes beyond which a word takes its own.
