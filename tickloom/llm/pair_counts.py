@@ -40,6 +40,8 @@ from tickloom.llm.token_orc import LETTERS
 
 MODEL_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
+#: What stands before an id in the text of the groups: between ids of a side, before the B side, before a group, and before a word's first.
+MARKS = (",", "|", ";", "")
 #: Shards of pairs, by A id.
 SHARDS = 32
 #: Bits of a level of a perfect hash for each key.
@@ -111,6 +113,8 @@ class Aligner:
         self.size_a[list(self.bytes_a)] = list(map(len, self.bytes_a.values()))
         self.size_b = np.array(list(map(len, self.bytes_b)), np.int64)
         self.space = self.b.piece_to_id(MARKER)
+        # Each id as text behind each of the marks that may stand before it.
+        self.marked = pa.array([m + str(i) for m in MARKS for i in range(max(len(self.size_a), len(self.size_b)))])
         self.words = Remembered(REMEMBERED, OVERHEAD)
 
     def _bytes_b(self, piece: int) -> bytes:
@@ -148,37 +152,44 @@ class Aligner:
         b = [x if t != " " else [self.space] for t, x in zip(texts, b, strict=True)]
         return self._aligned(words, a, b) if words else []
 
-    def _whole(self, words: list[bytes], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
-        """Whether the tokens of both sides give each word back."""
+    def _whole(self, words: list[bytes], a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Whether the tokens of both sides, ``flattened``, give each word back."""
         fit = np.ones(len(words), bool)
-        size = np.array(list(map(len, words)), np.int64)
-        for ids, data, sizes in ((a, self.bytes_a, self.size_a), (b, self.bytes_b, self.size_b)):
-            flat, word = flattened(ids)
-            joined = b"".join(map(data.__getitem__, flat.tolist()))
-            if (np.bincount(word, sizes[flat], len(words)) == size).all() and joined == b"".join(words):
+        size, joined = np.array(list(map(len, words)), np.int64), b"".join(words)
+        for (flat, word), data, sizes in ((a, self.bytes_a, self.size_a), (b, self.bytes_b, self.size_b)):
+            tokens = list(map(data.__getitem__, flat.tolist()))
+            if (np.bincount(word, sizes[flat], len(words)) == size).all() and b"".join(tokens) == joined:
                 continue
-            fit &= [b"".join(map(data.__getitem__, x)) == w for x, w in zip(ids, words, strict=True)]
+            edges = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
+            fit &= [b"".join(tokens[i:j]) == w for (i, j), w in zip(pairwise(edges), words, strict=True)]
         return fit
 
     def _aligned(self, words: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[Word]:
         """The alignments of many words at once: their bytes stand one after the other, and so do their tokens."""
-        whole, n = self._whole(words, a, b), len(words)
-        (ids_a, word_a), (ids_b, word_b) = flattened(a), flattened(b)
-        ids_a, word_a, ids_b, word_b = ids_a[whole[word_a]], word_a[whole[word_a]], ids_b[whole[word_b]], word_b[whole[word_b]]
+        (ids_a, word_a), (ids_b, word_b), n = flattened(a), flattened(b), len(words)
+        whole = self._whole(words, (ids_a, word_a), (ids_b, word_b))
+        if not whole.all():
+            ids_a, word_a, ids_b, word_b = ids_a[whole[word_a]], word_a[whole[word_a]], ids_b[whole[word_b]], word_b[whole[word_b]]
         ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
-        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        group_a, group_b = np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b)
-        word = word_a[np.searchsorted(ends_a, ends)]
+        # A mark at each byte where a token ends; where those of both do, a group ends.
+        size = int(ends_a[-1]) + 1 if len(ends_a) else 1
+        both, of_b = np.zeros((2, size), bool)
+        both[ends_a] = of_b[ends_b] = True
+        both &= of_b
+        ends, before = np.flatnonzero(both), np.cumsum(both) - both
+        group_a, group_b = before[ends_a], before[ends_b]
+        word = word_a[both[ends_a]]
 
         # The text of the groups: each id behind the mark that stands before it.
-        side = np.concatenate([2 * group_a, 2 * group_b + 1])
-        order = np.argsort(side, kind="stable")
-        side = side[order]
-        first = np.diff(side, prepend=-1) != 0
-        opens = np.diff(word, prepend=-1) != 0
-        mark = np.where(~first, 0, np.where(side % 2 == 1, 1, np.where(opens[side // 2], 3, 2)))
-        ids = pa.array(np.concatenate([ids_a, ids_b])[order]).cast(pa.string())
-        text = pc.binary_join_element_wise(pa.array([",", "|", ";", ""]).take(pa.array(mark)), ids, "")
+        in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
+        at_a = np.arange(len(ids_a)) + (np.cumsum(in_b) - in_b)[group_a]
+        at_b = np.arange(len(ids_b)) + np.cumsum(in_a)[group_b]
+        opens = np.where(np.diff(word, prepend=-1) != 0, 3, 2)
+        entry = np.empty(len(ids_a) + len(ids_b), np.int64)
+        entries = len(self.marked) // len(MARKS)
+        entry[at_a] = ids_a + entries * np.where(np.diff(group_a, prepend=-1) != 0, opens[group_a], 0)
+        entry[at_b] = ids_b + entries * (np.diff(group_b, prepend=-1) != 0)
+        text = self.marked.take(pa.array(entry))
         offsets = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1) if len(text) else np.zeros(1, np.int32)
         data = text.buffers()[2].to_pybytes() if len(text) else b""
         tokens_a, tokens_b = np.bincount(word_a, minlength=n), np.bincount(word_b, minlength=n)
@@ -195,7 +206,8 @@ class Aligner:
         left = np.repeat(np.arange(len(of_a)), each)
         right = np.arange(len(left)) + np.repeat(start - np.cumsum(each) + each, each)
         pair, links, owner = (of_a[left] & low) << 32 | of_b[right] & low, times_a[left] * times_b[right], word[own[left]]
-        order = np.lexsort((pair, owner))
+        # Ids are below 2^20 or so, so an owner and a pair are one integer; equal ones are summed, whatever their order.
+        order = np.argsort((owner * len(self.size_a) + (pair >> 32)) * len(self.size_b) + (pair & low))
         pair, links, owner = pair[order], links[order], owner[order]
         new = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
         links = np.add.reduceat(links, new) if len(new) else links
@@ -265,7 +277,7 @@ class Aligner:
         links = pa.array(np.frombuffer(b"".join(links), np.int64))
         links = pa.LargeListArray.from_arrays(edges, links).take(taken).flatten().to_numpy()
         key = np.repeat(doc[used], counts[place[used]]) * max(1, len(known)) + numbers
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         first = np.flatnonzero(np.diff(key[order], prepend=-1))
         own = key[order][first]
         return Aligned(
