@@ -80,6 +80,29 @@ def with_row_key(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return joined.withColumn("__row", key).drop("__id", "__first")
 
 
+#: Bits of a ``sifted`` bitmap for each id, and at most in all (8 MB). With more ids than these serve, more rows are marked.
+SIFT_BITS, MOST_SIFT_BITS = 64, 1 << 26
+
+
+def sifted(rows: DataFrame, key: str, ids: DataFrame, id_count: int) -> DataFrame:
+    """``rows`` with ``__maybe``: false where the key is null or surely none of ``ids`` (one column), without a shuffle of ``rows``.
+
+    The ids set a bit each in a bitmap of bounded size, which is broadcast in pieces. What the
+    bitmap marks must go through an exact join; only these rows need to be shuffled.
+    """
+    bits = min(MOST_SIFT_BITS, SIFT_BITS << max(0, id_count - 1).bit_length())
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(bits)) + 1
+    pieces = ids.select(F.bitmap_bucket_number(place).alias("__piece"), F.bitmap_bit_position(place).alias("__bit"))
+    pieces = pieces.groupBy("__piece").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(bits)) + 1
+    placed = rows.withColumns({"__piece": F.bitmap_bucket_number(place), "__bit": F.bitmap_bit_position(place)})
+    byte = F.substring("__bits", (F.floor(F.col("__bit") / 8) + 1).cast("int"), F.lit(1))
+    found = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col("__bit") % 8).cast("int")) == 1
+    marked = placed.join(F.broadcast(pieces), "__piece", "left")
+    marked = marked.withColumn("__maybe", F.col(key).isNotNull() & F.coalesce(found, F.lit(False)))
+    return marked.select(*rows.columns, "__maybe")
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The runs of characters other than ``[\\x20\\x09-\\x0D]``, as UTF-8."""
     return text.encode().split() if text else []

@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tickloom.llm.common import Scratch, long_lists, lower_words_of, slices_of, table
+from tickloom.llm.common import Scratch, long_lists, lower_words_of, sifted, slices_of, table
 
 WORDS = 5
 #: Documents link when ``PARTS * intersection >= NEAR * union``.
@@ -182,25 +182,22 @@ def postings(shared: DataFrame) -> DataFrame:
     return rows.select("token", "set_id", n, at, "weight", F.col("set_id").alias("family"))
 
 
-def bounded(ids: DataFrame) -> DataFrame:
-    """A stored frame of ids, marked for broadcast if it has few enough rows."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_id and all hashes of the sets ``wanted`` (set_id, doc_id), from the text of one document each."""
-    chosen = docs.select("doc_id", "text").join(bounded(wanted).select("doc_id"), "doc_id", "left_semi")
+    """set_id and all hashes of the sets ``wanted`` (set_id, doc_id), from the text of one document each.
+
+    Texts are sifted by doc_id where they are read and never shuffled; the hashes are, once, by set_id. A text that passes
+    by chance may only give a wanted set the same hashes again.
+    """
+    chosen = sifted(docs.select("doc_id", "text"), "doc_id", wanted.select("doc_id"), wanted.count()).filter("__maybe")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices_of(batch, "text"):
                 found = [shingles(text) for text in part.column("text").to_pylist()]
-                columns = [part.column("doc_id"), pa.array(map(name_of, found), pa.int64()), long_lists(found)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set_id", "hashes"])
+                yield pa.RecordBatch.from_arrays([pa.array(map(name_of, found), pa.int64()), long_lists(found)], ["set_id", "hashes"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    made = chosen.mapInArrow(rows, f"doc_id {kind}, set_id long, hashes array<long>")
-    return made.join(wanted, ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"]).select("set_id", "hashes")
+    made = chosen.select("text").mapInArrow(rows, "set_id long, hashes array<long>")
+    return made.join(wanted.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"])
 
 
 class Verifier:
