@@ -34,24 +34,47 @@ def add_first_of_day(bars: DataFrame, series: Series = BY_SYMBOL) -> DataFrame:
     return add_columns(bars, {"FIRST_OF_DAY": f"NOT (DATE <=> {series.before('DATE')})"})
 
 
-def _share(column: str, label: str) -> str:
-    return f"avg(if({column} = '{label}', 1, 0))"
+# Per day, by name: what is counted or summed of its bars. Sums of these over any division of the bars are those of all.
+_COUNTS = {
+    "TOTAL_STOCKS": "count_if(FIRST_OF_DAY)",
+    "BARS": "count(*)",
+    "BARS_UP": "count_if(DAILY_DIRECTION = 'UP')",
+    "BARS_DOWN": "count_if(DAILY_DIRECTION = 'DOWN')",
+    "BARS_OUTPERFORMING": "count_if(RELATIVE_STRENGTH_DIRECTION = 'OUTPERFORM')",
+    "BARS_STRENGTHENING": "count_if(RS_TREND = 'STRENGTHENING')",
+    "BARS_VOLATILE": "count(ROLLING_VOLATILITY_20D)",
+    "VOLATILITY": "sum(ROLLING_VOLATILITY_20D)",
+}
 
 
-def market_breadth(bars: DataFrame) -> DataFrame:
-    """One row per day from bars with price, risk and strength columns side by side."""
-    daily = {
-        "TOTAL_STOCKS": "count_if(FIRST_OF_DAY)",
-        "PCT_STOCKS_UP": _share("DAILY_DIRECTION", "UP"),
-        "PCT_STOCKS_DOWN": _share("DAILY_DIRECTION", "DOWN"),
-        "PCT_STOCKS_OUTPERFORMING": _share("RELATIVE_STRENGTH_DIRECTION", "OUTPERFORM"),
-        "PCT_RS_STRENGTHENING": _share("RS_TREND", "STRENGTHENING"),
-        "AVG_MARKET_VOLATILITY": "avg(ROLLING_VOLATILITY_20D)",
+def daily_counts(bars: DataFrame) -> DataFrame:
+    """One row per day from bars with price, risk and strength columns side by side: all that breadth needs of them.
+
+    Counts of bars that were divided by symbol can be stored apart; ``breadth_of_counts`` adds them up.
+    """
+    full = bars.filter("SYMBOL IS NOT NULL AND DATE IS NOT NULL")
+    return full.groupBy("DATE").agg(*[F.expr(f"{sql} AS {name}") for name, sql in _COUNTS.items()])
+
+
+def breadth_of_counts(counts: DataFrame) -> DataFrame:
+    """The table from the ``daily_counts`` of all bars, however they were divided."""
+    added = counts.groupBy("DATE").agg(*[F.expr(f"sum({name}) AS {name}") for name in _COUNTS])
+    return _shares(added)
+
+
+def _shares(daily: DataFrame) -> DataFrame:
+    shares = {
+        "PCT_STOCKS_UP": "BARS_UP / BARS",
+        "PCT_STOCKS_DOWN": "BARS_DOWN / BARS",
+        "PCT_STOCKS_OUTPERFORMING": "BARS_OUTPERFORMING / BARS",
+        "PCT_RS_STRENGTHENING": "BARS_STRENGTHENING / BARS",
+        "AVG_MARKET_VOLATILITY": "VOLATILITY / nullif(BARS_VOLATILE, 0)",
     }
-    counted = (
-        bars.filter("SYMBOL IS NOT NULL AND DATE IS NOT NULL")
-        .groupBy("DATE")
-        .agg(*[F.expr(f"{sql} AS {name}") for name, sql in daily.items()])
-    )
     bands = " ".join(f"WHEN PCT_STOCKS_UP >= {floor}D THEN '{name}'" for name, floor in REGIMES)
-    return add_columns(counted, {"BREADTH_REGIME": f"CASE {bands} ELSE '{LOWEST_REGIME}' END"}).select(*OUTPUT)
+    regime = {"BREADTH_REGIME": f"CASE {bands} ELSE '{LOWEST_REGIME}' END"}
+    return add_columns(add_columns(daily, shares), regime).select(*OUTPUT)
+
+
+def market_breadth(bars: DataFrame) -> DataFrame:
+    """One row per day from bars with price, risk and strength columns side by side."""
+    return _shares(daily_counts(bars))

@@ -216,13 +216,17 @@ def market_frame(
     return over_chain(taken, BY_SYMBOL, step, REACHES, parts, rows, bars)
 
 
+def breadth_bars(frame: DataFrame) -> DataFrame:
+    """What breadth reads of a ``market_frame``: risk and strength only of bars with a close."""
+    measures = [*risk.OUTPUT[2:], *strength.OUTPUT[2:]]
+    own = ["SYMBOL", "DATE", "FIRST_OF_DAY", "DAILY_DIRECTION"]
+    return frame.selectExpr(*own, *[f"if(HAS_CLOSE, {c}, NULL) AS {c}" for c in dict.fromkeys(measures)])
+
+
 def table_of(frame: DataFrame, name: str) -> DataFrame:
     """One of the seven tables from a ``market_frame``: a choice of its columns and rows."""
     if name == "market_breadth":
-        measures = [*risk.OUTPUT[2:], *strength.OUTPUT[2:]]
-        own = ["SYMBOL", "DATE", "FIRST_OF_DAY", "DAILY_DIRECTION"]
-        shown = [f"if(HAS_CLOSE, {c}, NULL) AS {c}" for c in dict.fromkeys(measures)]
-        return breadth.market_breadth(frame.selectExpr(*own, *shown))
+        return breadth.market_breadth(breadth_bars(frame))
     output, rows = {
         "price_metrics": (price.OUTPUT, "true"),
         "volume_liquidity": (volume.OUTPUT, "true"),

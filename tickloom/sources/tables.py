@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,11 @@ def read_table(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(base_dir, table))
 
 
+def codec(spark: SparkSession) -> str:
+    """How tables are compressed: as the session asks, and else smaller than by Spark's own default."""
+    return spark.conf.get("spark.sql.parquet.compression.codec", None) or "zstd"
+
+
 def write_table(df: DataFrame, path: str, files: int | None = None) -> None:
     """Replace the table at ``path`` once all of ``df`` is written; until then, and after a failure, the old one stays.
 
@@ -87,9 +94,11 @@ class Replacement:
         return f"{parent}/_{name}.{kind}-{self.mark}"
 
     def write(self, df: DataFrame, path: str, files: int | None = None) -> None:
+        """Write rows of the new table at ``path``; what is written to one path in several calls adds up."""
+        mode = "append" if path in self.staged else "overwrite"
         self.staged[path] = self._beside(path, "new")
         out = df if files is None else df.hint("rebalance", files)
-        out.write.mode("overwrite").parquet(self.staged[path])
+        out.write.mode(mode).option("compression", codec(self.spark)).parquet(self.staged[path])
 
     def publish(self) -> None:
         done: list[tuple[str, str]] = []
@@ -144,13 +153,35 @@ def write_by_symbol(df: DataFrame, path: str, table: str, buckets: int | None) -
     so one shuffle here serves every derived table. Files and catalog entry
     change together: what is stored below a registered table is written through it.
     """
+    spark = df.sparkSession
     rows = df if buckets is None else df.repartition(buckets, "SYMBOL")
-    writer = rows.write.mode("overwrite").format("parquet").option("path", path)
+    writer = rows.write.mode("overwrite").format("parquet").option("path", path).option("compression", codec(spark))
     if buckets is not None:
         writer = writer.bucketBy(buckets, "SYMBOL").sortBy("SYMBOL", "DATE")
     writer.saveAsTable(table)
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """For jobs whose shuffle files nobody reads again: Spark then removes those of a query once it has run.
+
+    Left to itself, it does so when the driver happens to collect its garbage, and until then the shuffles of several steps
+    lie side by side. The setting is the session's, so queries of other threads see it too; it changes no result.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
